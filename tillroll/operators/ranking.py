@@ -13,11 +13,11 @@ def dense_index(
 ) -> DataFrame:
     """Number the distinct values of every group 0..n-1 in sorted order.
 
-    Up to ``window_limit`` values per group one window does it.  Beyond, values are range
+    The distinct values are written once.  Up to ``window_limit`` per group one window numbers them.  Beyond, values are range
     partitioned, written once, numbered inside each range, and shifted by the sizes of the ranges
     before (one row per group and range).
     """
-    distinct = values.select(group, value).distinct()
+    distinct = materialize(values.select(group, value).distinct())
     sizes = distinct.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.agg(F.max("n")).first()[0] or 0
     if largest <= window_limit:
