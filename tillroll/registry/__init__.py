@@ -1,6 +1,6 @@
 """Every runnable query over the given tables, with SQL where SQL can express it."""
 
-from tillroll.registry import groups, learning, relational, similarity, text  # noqa: F401
+from tillroll.registry import crawl, groups, learning, relational, similarity, text  # noqa: F401
 from tillroll.registry.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
