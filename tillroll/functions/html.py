@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +28,18 @@ ELEMENTS = T.ArrayType(
         ]
     )
 )
+_ARROW = pa.list_(
+    pa.struct(
+        [
+            ("pos", pa.int32()),
+            ("up", pa.list_(pa.int32())),
+            ("top", pa.bool_()),
+            ("classes", pa.list_(pa.string())),
+            ("attrs", pa.map_(pa.string(), pa.string())),
+            ("texts", pa.list_(pa.string())),
+        ]
+    )
+)
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr"}
 SELF_CLOSING = {"p", "li", "tr", "td", "th", "dt", "dd", "option"}
 CONTAINERS = {"ul", "ol", "table", "dl", "select", "div", "nav", "article", "body"}
@@ -47,6 +59,11 @@ class _Walk(HTMLParser):
     def __init__(self, selectors: dict[str, list[tuple[str, str, str]]]) -> None:
         super().__init__(convert_charrefs=True)
         self.selectors = selectors
+        self.by_last: dict[str, list] = {}
+        for name, steps in selectors.items():
+            tag, cls, id_ = steps[-1]
+            key = f"#{id_}" if id_ else f".{cls}" if cls else tag
+            self.by_last.setdefault(key, []).append((name, steps))
         self.found: dict[str, list[dict]] = {name: [] for name in selectors}
         self.open: list[tuple[str, int, set[str], str, list]] = []
         self.count = 0
@@ -71,7 +88,8 @@ class _Walk(HTMLParser):
         classes, id_ = set(values.get("class", "").split()), values.get("id", "")
         pos, mine = self.count, []
         self.count += 1
-        for name, steps in self.selectors.items():
+        near = [c for k in (tag, f"#{id_}", *(f".{c}" for c in classes)) for c in self.by_last.get(k, ())]
+        for name, steps in near:
             if self._matches(steps, tag, classes, id_):
                 nested = any(n == name for node in self.open for n, _ in node[4])
                 element = {
@@ -79,7 +97,7 @@ class _Walk(HTMLParser):
                     "up": [node[1] for node in self.open],
                     "top": not nested,
                     "classes": sorted(classes),
-                    "attrs": values,
+                    "attrs": list(values.items()),
                     "texts": [],
                 }
                 self.found[name].append(element)
@@ -120,16 +138,16 @@ def find(page: Column, selectors: dict[str, tuple[str, ...]]) -> Column:
     steps = {name: [_step(s) for s in path] for name, path in selectors.items()}
     schema = T.StructType([T.StructField(name, ELEMENTS) for name in selectors])
 
-    @F.pandas_udf(schema)
-    def walk(pages: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf(schema)
+    def walk(pages: pa.Array) -> pa.Array:
         rows = []
-        for text in pages:
+        for text in pages.to_pylist():
             walker = _Walk(steps)
             if text is not None:
                 walker.feed(text)
                 walker.close()
             rows.append(walker.found)
-        return pd.DataFrame(rows, columns=list(steps))
+        return pa.array(rows, pa.struct([(name, _ARROW) for name in steps]))
 
     return walk(page)
 

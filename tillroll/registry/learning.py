@@ -14,12 +14,20 @@ from tillroll.operators import names as nm
 from tillroll.operators import neighbours as nb
 from tillroll.operators import taxonomy as tx
 from tillroll.operators.prepare import Options
+from tillroll.plans.product_classes import classify_products
 from tillroll.plans.segmentation import segment
 from tillroll.registry import views as v
 from tillroll.registry.base import query, sql_round
 
 from tillroll.registry.relational import SCOPE_VIEWS, VALUE, features, scope
-from tillroll.registry.text import V_PRODUCT, products, tokened
+from tillroll.registry.text import (
+    CLUSTERS,
+    KEYWORD_VIEWS,
+    V_PRODUCT,
+    products,
+    tokened,
+    wide_top,
+)
 from tillroll.session import materialize
 
 # --- quality of given labels -------------------------------------------------------------------
@@ -301,6 +309,42 @@ def q_name_class_scores(spark, sf):
     return classified(spark, sf).withColumn("score", half_up(F.col("score"), 6))
 
 
+_PARENTS = ", ".join(
+    f"({n}, '{c}', {PARENTS[n][0]}, '{PARENTS[n][1]}')" for c, n in CLASSES.items()
+)
+
+
+@query(
+    "classify_products",
+    v.with_views(
+        *KEYWORD_VIEWS,
+        CLASSIFIED,
+        f"""hierarchy AS (SELECT * FROM (VALUES {_PARENTS})
+  h(sub_no, sub_name, category_no, category_name))""",
+        """placed AS (
+  SELECT item_name, h.* FROM classified c JOIN hierarchy h ON c.class_no = h.sub_no)""",
+        """matched AS (
+  SELECT p.item_name, name,
+         row_number() OVER (PARTITION BY p.item_name ORDER BY num DESC, name) AS rank
+  FROM placed p JOIN merged m ON p.sub_name = m.category AND contains(p.item_name, m.name))""",
+        "tagged AS (SELECT item_name, "
+        + ", ".join(f"max(CASE WHEN rank = {i} THEN name END) AS keyword_{i}" for i in range(1, 6))
+        + " FROM matched GROUP BY item_name)",
+    )
+    + """SELECT v.item_name AS name, category_no, category_name, sub_no, sub_name,
+  keyword_1, keyword_2, keyword_3, keyword_4, keyword_5
+FROM v_product v LEFT JOIN placed p ON v.item_name = p.item_name
+LEFT JOIN tagged t ON v.item_name = t.item_name""",
+)
+def q_classify_products(spark, sf):
+    rows = products(spark, sf).withColumn("class_no", class_case())
+    weights = nm.frequency_weights(rows, "item_name", "class_no", list(CLASSES.values()))
+    ranked = kw.merge_ranks(wide_top(spark, sf), "category", CLUSTERS)
+    return classify_products(
+        rows.withColumnRenamed("item_name", "product"), weights, class_table(spark), ranked, len(CLASSES)
+    )
+
+
 @query("name_classifier")
 def q_name_classifier(spark, sf):
     rows = products(spark, sf)
