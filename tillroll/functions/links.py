@@ -61,7 +61,7 @@ def page_number(link: Column) -> Column:
 
 
 def breadcrumb(texts: Column) -> Column:
-    """Tiers of a breadcrumb: blanks and empty entries go, the first entry (home) is dropped."""
+    """Tiers of a breadcrumb: blanks and single empty entries go, the first entry (home) is dropped."""
     joined = F.array_join(texts, "|")
     squeezed = F.regexp_replace(F.regexp_replace(joined, "[ \\n]", ""), "\\|\\|", "|")
     parts = F.split(squeezed, "\\|")

@@ -19,11 +19,13 @@ def quoted_list(values: Column) -> Column:
 def prompt(template: str, **columns: Column) -> Column:
     """Fill ``{name}`` marks of a template with columns; ``{{`` and ``}}`` stand for braces."""
     parts = []
-    for piece in re.split(r"(\{\w+\})", template):
-        if re.fullmatch(r"\{\w+\}", piece) and piece[1:-1] in columns:
+    for piece in re.split(r"(\{\{|\}\}|\{\w+\})", template):
+        if piece in ("{{", "}}"):
+            parts.append(F.lit(piece[0]))
+        elif re.fullmatch(r"\{\w+\}", piece) and piece[1:-1] in columns:
             parts.append(columns[piece[1:-1]].cast("string"))
         else:
-            parts.append(F.lit(piece.replace("{{", "{").replace("}}", "}")))
+            parts.append(F.lit(piece))
     return F.concat(*parts)
 
 
@@ -52,6 +54,6 @@ def numbered_list(reply: Column) -> Column:
     """
     kind = "map<string, string>"
     inner = F.split_part(F.split_part(reply, F.lit("{"), F.lit(2)), F.lit("}"), F.lit(1))
-    repaired = F.concat(F.lit("{"), inner, F.lit("}"))
+    repaired = F.when(reply.contains("{"), F.concat(F.lit("{"), inner, F.lit("}")))
     whole = F.from_json(reply, kind)
     return F.map_values(F.coalesce(whole, F.from_json(repaired, kind)))

@@ -67,7 +67,8 @@ def q_json_lines_to_csv(spark, sf):
 def q_glob_category(spark, sf):
     path = folder(spark, "glob")
     sinks.write_csv(v.table(spark, sf, "part").select("p_partkey", "p_name", "p_brand"), path, ["p_brand"])
-    return files.read_glob(spark, f"{path}/*/*.csv", "p_partkey long, p_name string", "p_brand=([^/]+)/")
+    schema = "p_partkey long, p_name string"
+    return files.read_glob(spark, f"{path}/*/*.csv", schema, "p_brand=([^/]+)/", partition_folders=True)
 
 
 @query("partitioned_table", "SELECT user_id, value, event_type FROM events WHERE event_type = 'click'")

@@ -77,12 +77,21 @@ def read_sample_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_glob(
-    spark: SparkSession, pattern: str, schema: str, name_pattern: str, column: str = "category"
+    spark: SparkSession,
+    pattern: str,
+    schema: str,
+    name_pattern: str,
+    column: str = "category",
+    partition_folders: bool = False,
 ) -> DataFrame:
-    """All CSV files of a path pattern, with a column taken from the path."""
-    found = F.regexp_extract(F.col("_metadata.file_path"), name_pattern, 1)
+    """All CSV files of a path pattern, with a column taken from the path.
+
+    ``partition_folders`` undoes the escapes that a partitioned write puts into folder names.
+    """
+    found = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), name_pattern, 1))
+    found = F.url_decode(found) if partition_folders else found
     reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-    return reader.csv(pattern).select("*", F.url_decode(found).alias(column))
+    return reader.csv(pattern).select("*", found.alias(column))
 
 
 def numbers(spark: SparkSession, first: int = 1, last: int = 10_000) -> DataFrame:
