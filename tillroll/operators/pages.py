@@ -32,19 +32,22 @@ def parsed(pages: DataFrame, selectors: dict[str, tuple[str, ...]]) -> DataFrame
     return pages.withColumn("el", h.find(F.col("html"), selectors)).drop("html")
 
 
-def links_in(pages: DataFrame, *path: str) -> DataFrame:
-    """Links below the selected elements: ``(page_id, url, pos, text, link)`` in document order."""
-    rows = F.transform(
-        F.filter("el.link", lambda a: a["attrs"]["href"].isNotNull()),
+def _link_rows(elements: Column) -> Column:
+    return F.transform(
+        F.filter(elements, lambda a: a["attrs"]["href"].isNotNull()),
         lambda a: F.struct(
             a["pos"].alias("pos"),
             h.joined(a).alias("text"),
             h.attribute(a, "href").alias("link"),
         ),
     )
+
+
+def links_in(pages: DataFrame, *path: str) -> DataFrame:
+    """Links below the selected elements: ``(page_id, url, pos, text, link)`` in document order."""
     return (
         parsed(pages, {"link": (*path, "a")})
-        .select("page_id", "url", F.explode(rows).alias("a"))
+        .select("page_id", "url", F.explode(_link_rows(F.col("el.link"))).alias("a"))
         .select("page_id", "url", "a.*")
     )
 
@@ -88,18 +91,24 @@ def category_rows(
 
     Pages without a first tier give no rows.
     """
-    # The whole list is one window partition per page.
-    items = carry_headings(links_in(pages, *menu), marks)
-    upper = page_tiers(pages, *crumbs).select(
-        "page_id",
-        F.get("tiers", 0).alias("tier1_category_name"),
-        F.coalesce(F.get("tiers", 1), F.lit("")).alias("tier2_category_name"),
+    tiers = lk.breadcrumb(h.all_texts(F.col("el.crumb")))
+    listed = (
+        parsed(pages, {"link": (*menu, "a"), "crumb": crumbs})
+        .withColumn("tiers", tiers)
+        .filter(F.coalesce(F.get("tiers", 0), F.lit("")) != "")
+        .select(
+            "page_id",
+            F.get("tiers", 0).alias("tier1_category_name"),
+            F.coalesce(F.get("tiers", 1), F.lit("")).alias("tier2_category_name"),
+            F.explode(_link_rows(F.col("el.link"))).alias("a"),
+        )
+        .select("page_id", "tier1_category_name", "tier2_category_name", "a.*")
     )
     link = lk.absolute_link(F.col("link"), host)
     if old_host:
         link = lk.rename_host(link, old_host, host.split("//")[-1])
     return (
-        items.join(upper.filter(F.coalesce("tier1_category_name", F.lit("")) != ""), "page_id")
+        carry_headings(listed, marks)
         .withColumn("category_link", link)
         .select(
             "page_id",

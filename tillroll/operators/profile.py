@@ -33,16 +33,15 @@ def group_size(df: DataFrame, label: str = "label") -> DataFrame:
 
 def group_describe(df: DataFrame, columns: list[str], label: str = "label") -> DataFrame:
     """Mean, sample deviation, minimum, quartiles and maximum per group and column."""
-    basic = (
-        _long(df, label, columns)
-        .groupBy(label, "column")
-        .agg(
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
+    cast = df.select(label, *[F.col(c).cast("double").alias(c) for c in columns])
+    measures = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    wide = cast.groupBy(label).agg(
+        *[
+            F.struct(F.lit(c).alias("column"), *[f(c).alias(m) for m, f in measures.items()]).alias(c)
+            for c in columns
+        ]
     )
+    basic = wide.select(label, F.explode(F.array(*columns)).alias("s")).select(label, "s.*")
     quantiles = (
         exact_quantiles(df, [label], columns, list(STATISTICS))
         .groupBy(label, "column")

@@ -25,6 +25,25 @@ def exact_quantiles(
     ``exact_limit`` rows are left in it.
     """
     numeric = df.select(*groups, *[F.col(c).cast("double").alias(c) for c in columns])
+    largest = numeric.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    if (largest or 0) <= exact_limit:
+        per_column = F.array(
+            *[
+                F.struct(F.lit(c).alias("column"), F.col(f"q{i}").alias("q"))
+                for i, c in enumerate(columns)
+            ]
+        )
+        return (
+            numeric.groupBy(*groups)
+            .agg(*[F.percentile(c, wanted).alias(f"q{i}") for i, c in enumerate(columns)])
+            .select(*groups, F.explode(per_column).alias("c"))
+            .filter(F.col("c.q").isNotNull())
+            .select(
+                *groups, "c.column", F.explode(F.arrays_zip(wanted.alias("prob"), F.col("c.q").alias("q"))).alias("z")
+            )
+            .select(*groups, "column", F.col("z.prob").alias("prob"), F.col("z.q").alias("value"))
+        )
     long = numeric.unpivot(groups, columns, "column", "value").filter(F.col("value").isNotNull())
     keys = [*groups, "column"]
     bounds = (
@@ -32,19 +51,6 @@ def exact_quantiles(
         .agg(F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
         .collect()
     )
-    if max((b["n"] for b in bounds), default=0) <= exact_limit:
-        wanted = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs]))
-        return (
-            long.groupBy(*keys)
-            .agg(wanted.alias("q"))
-            .select(
-                *keys,
-                F.explode(
-                    F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("prob"), "q")
-                ).alias("z"),
-            )
-            .select(*keys, F.col("z.prob").alias("prob"), F.col("z.q").alias("value"))
-        )
     return _by_narrowing(long, keys, bounds, probs, exact_limit)
 
 

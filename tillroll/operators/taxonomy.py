@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,14 +14,23 @@ REST_WORD = "其他"
 
 
 def two_way_difference(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
-    """Values found on one side only, per column: rows ``(side, column, value)``."""
-    parts = []
-    for c in columns:
-        a, b = (d.select(F.col(c).alias("value")).distinct() for d in (left, right))
-        for side, x, y in (("left", a, b), ("right", b, a)):
-            only = x.join(y, "value", "left_anti")
-            parts.append(only.select(F.lit(side).alias("side"), F.lit(c).alias("column"), "value"))
-    return reduce(DataFrame.unionByName, parts)
+    """Values found on one side only, per column: rows ``(side, column, value)``.
+
+    One aggregate over both sides; repeats of a value are reduced before the exchange.
+    """
+    sides = [
+        d.select(F.lit(i).alias("is_right"), *[F.col(c).cast("string").alias(c) for c in columns])
+        for i, d in enumerate((left, right))
+    ]
+    return (
+        sides[0]
+        .unionAll(sides[1])
+        .unpivot(["is_right"], columns, "column", "value")
+        .groupBy("column", "value")
+        .agg(F.min("is_right").alias("first"), F.max("is_right").alias("last"))
+        .filter(F.col("first") == F.col("last"))
+        .select(F.when(F.col("first") == 0, "left").otherwise("right").alias("side"), "column", "value")
+    )
 
 
 def without_noise(

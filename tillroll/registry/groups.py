@@ -10,7 +10,15 @@ from tillroll.operators import prepare as pr
 from tillroll.operators import profile as pf
 from tillroll.registry import views as v
 from tillroll.registry.base import query, sql_round
-from tillroll.registry.relational import RFM, SCOPE_VIEWS, features, feature_views, scope
+from tillroll.registry.relational import RFM, SCOPE_VIEWS, feature_views, features, scope
+from tillroll.session import materialize
+
+
+
+def feature_table(spark, sf):
+    """The feature table, written once as the statement of the warehouse does."""
+    return materialize(features(spark, sf))
+
 
 FEATURES = v.with_views(*feature_views())
 LEVEL_CASE = " ".join(f"WHEN '{k}' THEN '{n}'" for k, n in rfm.LEVEL_NAMES.items())
@@ -37,7 +45,8 @@ def all_three(fn: str) -> tuple[str, str, str]:
 
 
 def levels(spark, sf, how, letters=None):
-    out = pr.rfm_levels(ft.rfm_base(scope(spark, sf), v.END), how, letters)
+    base = materialize(ft.rfm_base(scope(spark, sf), v.END))
+    out = pr.rfm_levels(base, how, letters)
     out = out.select("mid", "pma_no_fin", "rfm_level")
     return out if letters else out.withColumn("level_name", rfm.level_name(F.col("rfm_level")))
 
@@ -85,7 +94,7 @@ def q_rfm_level_mode(spark, sf):
 FROM rfmlist GROUP BY pma_no_fin""",
 )
 def q_rfm_split(spark, sf):
-    base = ft.rfm_base(scope(spark, sf), v.END)
+    base = materialize(ft.rfm_base(scope(spark, sf), v.END))
     half = [F.col(f"rfm_{x}_split") for x in ("recency", "monetary")]
     rounded = [F.round(c.cast("decimal(28,10)"), 4).cast("double") for c in half]
     parts = [
@@ -138,7 +147,7 @@ _CODES = " UNION ALL ".join(
 
 
 def coded_features(spark, sf):
-    return pr.fill_missing(pr.select_features(features(spark, sf), ["personal", "active"]))
+    return pr.fill_missing(pr.select_features(feature_table(spark, sf), ["personal", "active"]))
 
 
 @query("label_codes", FEATURES + _CODES)
@@ -173,7 +182,8 @@ def q_label_decode(spark, sf):
 
 # A label that both engines can compute: the last digit of the member number, halved.
 def grouped(spark, sf):
-    return features(spark, sf).withColumn("label", (F.substring("mid", 9, 1).cast("int") / 2).cast("int"))
+    label = (F.substring("mid", 9, 1).cast("int") / 2).cast("int")
+    return feature_table(spark, sf).withColumn("label", label)
 
 
 GROUPED = (

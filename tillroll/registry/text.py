@@ -12,6 +12,7 @@ from tillroll.operators import taxonomy as tx
 from tillroll.operators.ranking import dense_index
 from tillroll.registry import views as v
 from tillroll.registry.base import query, sql_round
+from tillroll.session import materialize
 
 # Product names with CJK characters, brackets, fees and emoji around the words of the part table.
 DECOR = ["特大杯熱咖啡☕", "【限定】抑菌潔翼11片", "外送費（雙北）", "-平台費 會員", "冰拿鐵!大杯"]
@@ -599,6 +600,7 @@ def q_tag_whitelist(spark, sf):
         "turn",
         replies.json_list(F.col("reply"), "tags").alias("tags"),
     )
+    rows = materialize(rows)
     kept = tx.allowed_tags(rows, "id", "tags", tx.tag_counter(rows, "tags", 3))
     return kept.select("conv_id", "turn", F.array_join("kept_tags", "|").alias("kept_tags"))
 

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.tables import read_table, spread
+
 TODAY = dt.date(2024, 2, 1)
 START = dt.date(1995, 1, 1)
 WINDOW_DAYS = 2410  # covers every order date
@@ -25,8 +27,12 @@ ADDRESSES = [
 ]
 
 
+LARGE = {"lineitem", "documents", "pages", "conversations", "part", "embeddings"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = read_table(spark, f"{sf}/{name}.parquet")
+    return spread(df) if name in LARGE else df
 
 
 def _code(column: str) -> F.Column:
