@@ -27,19 +27,29 @@ MEDOID_SAMPLES = 5
 MEDOID_CANDIDATES = 20
 
 
-def _total(terms: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms, F.lit(0.0))
+def _literal(value) -> str:
+    """SQL text of a centre value."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    return str(value)
 
 
-def square_distance(numeric: list[str], centre: dict) -> Column:
-    """Squared Euclidean distance of the row to a centre."""
-    gaps = [F.col(c).cast("double") - F.lit(float(centre[c])) for c in numeric]
-    return _total([g * g for g in gaps])
+def _distance_sql(numeric: list[str], centre: dict) -> str:
+    """Squared Euclidean distance of the row to a centre, as SQL text.
+
+    Fits build hundreds of distances per round; one parsed text each is far cheaper than a tree of
+    column calls.
+    """
+    gaps = [f"pow(double(`{c}`) - ({float(centre[c])!r}D), 2)" for c in numeric]
+    return " + ".join(gaps) or "0D"
 
 
-def mismatches(categorical: list[str], centre: dict) -> Column:
-    """Number of categorical columns that differ from the centre."""
-    return _total([F.when(F.col(c).eqNullSafe(F.lit(centre[c])), 0.0).otherwise(1.0) for c in categorical])
+def _mismatch_sql(categorical: list[str], centre: dict) -> str:
+    """Number of categorical columns that differ from the centre, as SQL text."""
+    return " + ".join(f"if(`{c}` <=> {_literal(centre[c])}, 0D, 1D)" for c in categorical)
 
 
 @dataclass(frozen=True)
@@ -53,21 +63,21 @@ class Centres:
     root: bool = False
     cost: float = math.nan
 
-    def distance(self, centre: dict) -> Column:
-        d = square_distance(self.numeric, centre) if self.numeric else F.lit(0.0)
+    def distance_sql(self, centre: dict) -> str:
+        d = _distance_sql(self.numeric, centre)
         if self.root:
-            d = F.sqrt(d)
+            d = f"sqrt({d})"
         if self.categorical:
-            d = d + F.lit(float(self.gamma)) * mismatches(self.categorical, centre)
+            d = f"{d} + {float(self.gamma)!r}D * ({_mismatch_sql(self.categorical, centre)})"
         return d
 
     def nearest(self) -> Column:
         """Struct of the smallest distance and its label; ties go to the smaller label."""
-        options = [
-            F.struct(self.distance(c).alias("cost"), F.lit(j).alias("label"))
+        options = ", ".join(
+            f"named_struct('cost', {self.distance_sql(c)}, 'label', {j})"
             for j, c in enumerate(self.centres)
-        ]
-        return F.array_min(F.array(*options))
+        )
+        return F.expr(f"array_min(array({options}))")
 
     def label(self, df: DataFrame, name: str = "label") -> DataFrame:
         return df.withColumn("_near", self.nearest()).select(
@@ -266,14 +276,14 @@ def _swap_medoids(df, points, model: Centres, columns, max_iter) -> Centres:
             for r in labelled.groupBy("_label").agg(*[F.avg(c).alias(c) for c in columns]).collect()
         }
         centres = list(model.centres)
-        gaps = [
-            square_distance(columns, means[j].asDict()) if j in means else F.lit(0.0)
+        gaps = ", ".join(
+            _distance_sql(columns, means[j].asDict()) if j in means else "0D"
             for j in range(len(centres))
-        ]
+        )
         closest = Window.partitionBy("_label").orderBy("_gap", *columns)
         near = (
             model.label(points, "_label")
-            .withColumn("_gap", F.array(*gaps)[F.col("_label")])
+            .withColumn("_gap", F.expr(f"array({gaps})[_label]"))
             .withColumn("_rank", F.row_number().over(closest))
             .filter(F.col("_rank") <= MEDOID_CANDIDATES)
             .collect()
@@ -283,9 +293,7 @@ def _swap_medoids(df, points, model: Centres, columns, max_iter) -> Centres:
             options_of[r["_label"]].append({c: r[c] for c in columns})
         trials = list(options_of.items())
         sums = [
-            F.sum(
-                F.when(F.col("_label") == j, F.sqrt(square_distance(columns, option)))
-            ).alias(f"s_{j}_{i}")
+            F.expr(f"sum(if(_label = {j}, sqrt({_distance_sql(columns, option)}), NULL)) AS s_{j}_{i}")
             for j, options in trials
             for i, option in enumerate(options)
         ]
@@ -311,7 +319,7 @@ def cluster_statistics(df: DataFrame, columns: list[str], label: str = "label")
     if len(rows) > MAX_CLUSTERS:
         raise ValueError(f"{label} has more than {MAX_CLUSTERS} values; these are no clusters")
     means = df.sparkSession.createDataFrame(rows, found.schema)
-    gap = _total([(F.col(c) - F.col(f"m_{c}")) * (F.col(c) - F.col(f"m_{c}")) for c in columns])
+    gap = F.expr(" + ".join(f"pow(`{c}` - `m_{c}`, 2)" for c in columns))
     return (
         values.join(F.broadcast(means), label)
         .withColumn("_gap", gap)

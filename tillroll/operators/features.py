@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import places
-from tillroll.functions.numbers import half_up, money
+from tillroll.functions.numbers import cents, half_up
 
 KEYS = ["mid", "pma_no_fin"]
 
@@ -40,6 +40,11 @@ def window_end(start: dt.date, window_days: int) -> dt.date:
     return start + dt.timedelta(days=window_days - 1)
 
 
+def known_members(members: DataFrame, min_mid_length: int = 2) -> DataFrame:
+    """Ids that lines may refer to; for the semi join they need not be unique."""
+    return members.filter(F.length("mid") > min_mid_length).select("mid")
+
+
 def member_profile(
     members: DataFrame,
     today: dt.date,
@@ -101,7 +106,7 @@ def _value_columns(qty: Column, all_cnt: Column, sales: Column) -> dict[str, Col
 def category_value(lines: DataFrame) -> DataFrame:
     """Units, share of the member's units, average unit value and their product per category."""
     per_category = lines.groupBy(*KEYS).agg(
-        F.sum("item_cont").alias("qty"), F.sum(money(F.col("mm_sales"))).alias("sales")
+        F.sum("item_cont").alias("qty"), (F.sum(cents(F.col("mm_sales"))) / 100).alias("sales")
     )
     member = Window.partitionBy("mid")
     return (
@@ -175,7 +180,7 @@ def rfm_base(lines: DataFrame, end: dt.date) -> DataFrame:
         F.count_distinct("rec_no").alias("rfm_frequency"),
         F.max("data_date").alias("last_date"),
         F.sum("item_cont").alias("qty"),
-        F.sum(money(F.col("mm_sales"))).alias("sales"),
+        (F.sum(cents(F.col("mm_sales"))) / 100).alias("sales"),
     )
     return _rfm_columns(
         agg.withColumn(

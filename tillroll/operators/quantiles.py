@@ -15,7 +15,7 @@ def exact_quantiles(
     groups: list[str],
     columns: list[str],
     probs: list[float],
-    exact_limit: int = 1_000_000,
+    exact_limit: int = 100_000,
 ) -> DataFrame:
     """Linearly interpolated quantiles as rows ``(groups, column, prob, value)``.
 

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import places
-from tillroll.functions.numbers import half_up, money
+from tillroll.functions.numbers import cents, half_up
 from tillroll.operators import features as ft
 
 KEYS = ft.KEYS
+NO_REGION = "\uffff"  # sorts behind every region
 
 COLUMNS = [
     "mid", "pma_no_fin", "qty", "avg_qty", "aov", "cv_ratio", "cv",
@@ -31,14 +32,14 @@ def _receipt_features(
 ) -> DataFrame:
     days = festivals.select(F.col("start_date").alias("data_date")).distinct()
     receipts = lines.groupBy(*KEYS, "rec_no", "data_date", "sale_time").agg(
-        F.sum("item_cont").alias("qty"), F.sum(money(F.col("mm_sales"))).alias("sales")
+        F.sum("item_cont").alias("qty"), F.sum(cents(F.col("mm_sales"))).alias("cents")
     )
     totals = (
         receipts.join(days.withColumn("is_weekend", F.lit(True)), "data_date", "left")
         .groupBy(*KEYS)
         .agg(
             F.sum("qty").alias("qty"),
-            F.sum("sales").alias("sales"),
+            (F.sum("cents") / 100).alias("sales"),
             F.count_distinct("rec_no").alias("rfm_frequency"),
             F.max("data_date").alias("last_date"),
             *ft._time_counts(),
@@ -56,7 +57,7 @@ def _receipt_features(
 
 
 def _store_features(lines: DataFrame, stores: DataFrame) -> DataFrame:
-    """Area counts and the leading city; city counts per key are bounded by the list of cities."""
+    """Area counts and the leading city of every key."""
     per_store = lines.groupBy(*KEYS, "store_no").agg(F.count(F.lit(1)).alias("n"))
     by_old = ft.store_cities(stores, "old_store_no").select(
         F.col("old_store_no").alias("store_no"), F.col("city").alias("city_old")
@@ -75,36 +76,27 @@ def _store_features(lines: DataFrame, stores: DataFrame) -> DataFrame:
     per_city = located.groupBy(*KEYS, "city").agg(
         F.sum("n").alias("n"), *[area_sum(c, "n") for c in ft.AREA_CODES]
     )
-    counted = F.when(F.col("city").isNull(), 0).otherwise(F.col("n")).alias("n")
-    folded = per_city.groupBy(*KEYS).agg(
+    n = F.when(F.col("city").isNull(), 0).otherwise(F.col("n"))
+    region = places.city_region(F.col("city"))
+    # Largest and smallest of the cities (regions) with the highest count; equal means only one.
+    folded = per_city.withColumn("region", region).groupBy(*KEYS).agg(
         *[F.sum(f"area_{c}").alias(f"area_{c}") for c in ft.AREA_CODES],
-        F.collect_list(
-            F.struct(counted, F.col("city"), places.city_region(F.col("city")).alias("region"))
-        ).alias("cities"),
-    )
-    top = F.array_max(F.transform("cities", lambda c: c["n"]))
-    leading = F.filter("cities", lambda c: c["n"] == top)
-    regions = F.array_distinct(
-        F.filter(F.transform("leading", lambda c: c["region"]), lambda r: r.isNotNull())
+        F.max(F.struct(n, "city")).alias("last_city"),
+        F.min(F.struct(-n, "city")).alias("first_city"),
+        F.max(F.struct(n, "region")).alias("last_region"),
+        F.min(F.struct(-n, F.coalesce("region", F.lit(NO_REGION)).alias("region"))).alias("first_region"),
     )
+    city, region = F.col("last_city.city"), F.col("last_region.region")
     in_city_scope = ~F.col("pma_no_fin").isin(ft.EXCLUDED_FOR_CITY)
-    return (
-        folded.withColumn("leading", leading)
-        .withColumn("regions", regions)
-        .select(
-            *KEYS,
-            *[f"area_{c}" for c in ft.AREA_CODES],
-            F.when(
-                in_city_scope,
-                F.when(F.size("leading") == 1, F.col("leading")[0]["city"]).otherwise(
-                    places.CROSS_CITY
-                ),
-            ).alias("active_city"),
-            F.when(
-                in_city_scope,
-                F.when(F.size("regions") == 1, F.col("regions")[0]).otherwise(places.CROSS_REGION),
-            ).alias("active_region"),
-        )
+    active_city = F.when(city.eqNullSafe(F.col("first_city.city")), city).otherwise(places.CROSS_CITY)
+    active_region = F.when(region == F.col("first_region.region"), region).otherwise(
+        places.CROSS_REGION
+    )
+    return folded.select(
+        *KEYS,
+        *[f"area_{c}" for c in ft.AREA_CODES],
+        F.when(in_city_scope, active_city).alias("active_city"),
+        F.when(in_city_scope, active_region).alias("active_region"),
     )
 
 
@@ -129,10 +121,11 @@ def member_features(
     """One row per member and category with value, RFM, time, area, city and profile columns."""
     end = ft.window_end(start, window_days)
     profile = ft.member_profile(members, today)
-    scope = ft.lines_in_scope(lines, start, end, profile)
+    known = ft.known_members(members)
+    scope = ft.lines_in_scope(lines, start, end, known)
     receipts = _receipt_features(scope, festivals, start, end, compat)
     if compat:
-        city_scope = ft.lines_in_scope(lines, start, end, profile, excluded=ft.EXCLUDED_FOR_CITY)
+        city_scope = ft.lines_in_scope(lines, start, end, known, excluded=ft.EXCLUDED_FOR_CITY)
         located = _store_features_compat(scope, city_scope, stores)
     else:
         located = _store_features(scope, stores)

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call sites per column double the time to build a plan from Python.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
