@@ -51,9 +51,11 @@ def test_scope_keeps_window_job_and_members(spark):
         line(rec="out", pma="22"),
         line(rec="stranger", mid="zzz"),
     ]
-    members = spark.createDataFrame([("m01",)], "mid string")
-    got = ft.lines_in_scope(lines(spark, data), START, END, members)
-    assert sorted(r["rec_no"] for r in got.collect()) == ["in", "last"]
+    members = spark.createDataFrame([("m01",), ("m01",)], "mid string")
+    got = ft.lines_in_scope(lines(spark, data), START, END)
+    assert sorted(r["rec_no"] for r in got.collect()) == ["in", "last", "stranger"]
+    value = ft.of_known_members(ft.category_value(got), members)
+    assert [(r["mid"], r["qty"]) for r in value.collect()] == [("m01", 2)]
 
 
 def test_category_value_rounds_and_survives_zero_units(spark):

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import places
 from tillroll.functions.numbers import cents, half_up
+from tillroll.session import small
 
 KEYS = ["mid", "pma_no_fin"]
 
@@ -40,9 +41,14 @@ def window_end(start: dt.date, window_days: int) -> dt.date:
     return start + dt.timedelta(days=window_days - 1)
 
 
-def known_members(members: DataFrame, min_mid_length: int = 2) -> DataFrame:
-    """Ids that lines may refer to; for the semi join they need not be unique."""
-    return members.filter(F.length("mid") > min_mid_length).select("mid")
+def of_known_members(features: DataFrame, members: DataFrame, min_mid_length: int = 2) -> DataFrame:
+    """Keep the features of known members.
+
+    The member is a key of every feature, so this filters aggregated rows: the raw lines of a very
+    active member are never brought together for a join.
+    """
+    known = members.filter(F.length("mid") > min_mid_length).select("mid")
+    return features.join(known, "mid", "left_semi")
 
 
 def member_profile(
@@ -74,19 +80,16 @@ def lines_in_scope(
     lines: DataFrame,
     start: dt.date,
     end: dt.date,
-    members: DataFrame | None = None,
     job_id: str | None = JOB_ID,
     excluded: Iterable[str] = tuple(EXCLUDED),
 ) -> DataFrame:
-    """Lines of the window, the job and the known members, without excluded categories."""
+    """Lines of the window and the job, without excluded categories."""
     kept = lines.filter(
         F.col("data_date").between(F.lit(start), F.lit(end))
         & ~F.col("pma_no_fin").isin(list(excluded))
     )
     if job_id is not None:
         kept = kept.filter(F.col("job_id") == job_id)
-    if members is not None:
-        kept = kept.join(members.select("mid"), "mid", "left_semi")
     return kept
 
 
@@ -170,6 +173,7 @@ def purchase_time(
     ``compat`` keeps the fixed window length of seven days in the weekday rate.
     """
     window_days = COMPAT_WINDOW_DAYS if compat else (end - start).days + 1
+    festivals = small(festivals.select("start_date"))
     counts = _receipts(lines, festivals).groupBy(*KEYS).agg(*_time_counts())
     return _preference_flags(counts, festival_count(festivals, start, end), window_days)
 
@@ -215,7 +219,7 @@ def area_pivot(
 ) -> DataFrame:
     """Lines per store area, one column per area code."""
     per_store = lines.groupBy(*KEYS, "store_no").agg(F.count(F.lit(1)).alias("n"))
-    joined = per_store.join(current_stores(stores), "store_no", "left")
+    joined = per_store.join(small(current_stores(stores)), "store_no", "left")
     sums = [
         F.coalesce(F.sum(F.when(F.col("master_area_no") == c, F.col("n"))), F.lit(0)).alias(
             f"area_{c}"
@@ -253,6 +257,7 @@ def store_city_fallback(lines: DataFrame, stores: DataFrame, compat: bool = Fals
     Lines are counted per store before the joins.
     """
     per_store = lines.groupBy(*KEYS, "store_no").agg(F.count(F.lit(1)).alias("n_lines"))
+    stores = small(stores)
     by_number = store_cities(stores).withColumnRenamed("city", "city_now")
     by_old_number = store_cities(
         stores, "old_store_no", rank_by="store_no" if compat else "old_store_no"

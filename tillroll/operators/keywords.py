@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.session import small
+
 DICTIONARY_CHUNK = 500
 
 
@@ -125,15 +127,17 @@ def match_keywords(
         .drop("chunk")
     )
     hits = F.slice(F.filter("entries", lambda e: F.col(key).contains(e["name"])), 1, n)
+    # Grouping by the pair as one value keeps the rows of a hot class apart after the join.
+    pair = F.struct(F.col(key), F.col(by)).alias("pair")
     found = (
         products.select(key, by)
         .distinct()
-        .join(lists, by, "left")
-        .groupBy(key, by)
+        .join(small(lists), by, "left")
+        .groupBy(pair)
         .agg(F.sort_array(F.flatten(F.collect_list(hits))).alias("hits"))
     )
     return found.select(
-        key, by, F.transform(F.slice("hits", 1, n), lambda e: e["name"]).alias("keywords")
+        "pair.*", F.transform(F.slice("hits", 1, n), lambda e: e["name"]).alias("keywords")
     )
 
 

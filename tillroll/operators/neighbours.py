@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.operators.taxonomy import fixed_sample
-from tillroll.session import materialize
+from tillroll.session import materialize, small
 
 DIGITS = 4
 MAX_BROADCAST_VALUES = 4_000_000  # numbers in a broadcast reference matrix: 32 MB
@@ -183,6 +183,7 @@ def _nearest_by_cells(queries, refs, k, metric, skip_same, n_refs, tile_rows) ->
             "cell",
         )
     )
+    tiles = F.broadcast(tiles)  # one row per pivot, at most MAX_PIVOTS
     q_side = routed.join(tiles, "cell").select(
         "cell",
         F.pmod(F.xxhash64("query_id"), F.col("q_tiles")).cast("int").alias("q_tile"),
@@ -271,10 +272,12 @@ def two_stage_label(queries: DataFrame, level_1: DataFrame, level_2: DataFrame)
     )
     chosen = queries.join(first, "query_id")
     candidates = chosen.join(
-        level_2.select(
-            F.col("parent").alias("label_1"),
-            F.col("label").alias("label_2"),
-            F.col("vector").alias("label_vector"),
+        small(
+            level_2.select(
+                F.col("parent").alias("label_1"),
+                F.col("label").alias("label_2"),
+                F.col("vector").alias("label_vector"),
+            )
         ),
         "label_1",
         "left",
@@ -282,8 +285,10 @@ def two_stage_label(queries: DataFrame, level_1: DataFrame, level_2: DataFrame)
     score = F.round(cosine(F.col("vector"), F.col("label_vector")), DIGITS)
     return (
         candidates.withColumn("score_2", score)
-        .groupBy("query_id", "label_1", "score_1")
+        .groupBy("query_id")
         .agg(
+            F.first("label_1").alias("label_1"),
+            F.first("score_1").alias("score_1"),
             F.max("score_2").alias("score_2"),
             F.min_by("label_2", F.struct(-F.col("score_2"), F.col("label_2"))).alias("label_2"),
         )

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tillroll.functions import rfm
 from tillroll.operators.quantiles import exact_quantiles
 from tillroll.operators.ranking import dense_index
+from tillroll.session import small
 
 # The feature catalogue, group -> (column, format).
 CATALOGUE = {
@@ -161,7 +162,7 @@ def rfm_levels(
     by: str = "pma_no_fin",
 ) -> DataFrame:
     """Add ``rfm_level``: one digit per measure (or two measures) against its split point."""
-    splits = rfm_splits(df, how, by)
+    splits = small(rfm_splits(df, how, by))
     kept = rfm.kept_letters(list(letters) if letters is not None else None)
     digits = [
         rfm.level_flag(x, F.col(RFM_COLUMNS[x]), F.col(f"{RFM_COLUMNS[x]}_split")) for x in kept

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.numbers import half_up
 from tillroll.operators.quantiles import exact_quantiles
+from tillroll.session import small
 
 STATISTICS = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
 
@@ -147,7 +148,7 @@ def histogram(
     bounds = counts.groupBy(*keys).agg(
         F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total")
     )
-    joined = counts.join(bounds, keys) if keys else counts.crossJoin(F.broadcast(bounds))
+    joined = counts.join(small(bounds), keys) if keys else counts.crossJoin(F.broadcast(bounds))
     width = (F.col("hi") - F.col("lo")) / bins
     bucket = F.when(F.col("hi") == F.col("lo"), 0).otherwise(
         F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("lo")) / width).cast("int"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tillroll.functions import places
 from tillroll.functions.numbers import cents, half_up
 from tillroll.operators import features as ft
+from tillroll.session import small
 
 KEYS = ft.KEYS
 NO_REGION = "\uffff"  # sorts behind every region
@@ -120,13 +121,14 @@ def member_features(
 ) -> DataFrame:
     """One row per member and category with value, RFM, time, area, city and profile columns."""
     end = ft.window_end(start, window_days)
+    festivals, stores = small(festivals.select("start_date")), small(stores)
     profile = ft.member_profile(members, today)
-    known = ft.known_members(members)
-    scope = ft.lines_in_scope(lines, start, end, known)
+    scope = ft.lines_in_scope(lines, start, end)
     receipts = _receipt_features(scope, festivals, start, end, compat)
     if compat:
-        city_scope = ft.lines_in_scope(lines, start, end, known, excluded=ft.EXCLUDED_FOR_CITY)
+        city_scope = ft.lines_in_scope(lines, start, end, excluded=ft.EXCLUDED_FOR_CITY)
         located = _store_features_compat(scope, city_scope, stores)
     else:
         located = _store_features(scope, stores)
-    return receipts.join(located, KEYS, "left").join(profile, "mid", "left").select(*COLUMNS)
+    # Lines of unknown members leave here, as aggregated rows, together with the profile join.
+    return receipts.join(profile, "mid").join(located, KEYS, "left").select(*COLUMNS)

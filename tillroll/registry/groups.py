@@ -10,7 +10,7 @@ from tillroll.operators import prepare as pr
 from tillroll.operators import profile as pf
 from tillroll.registry import views as v
 from tillroll.registry.base import query, sql_round
-from tillroll.registry.relational import RFM, SCOPE_VIEWS, feature_views, features, scope
+from tillroll.registry.relational import RFM, SCOPE_VIEWS, feature_views, features, rfm_rows
 from tillroll.session import materialize
 
 
@@ -45,7 +45,7 @@ def all_three(fn: str) -> tuple[str, str, str]:
 
 
 def levels(spark, sf, how, letters=None):
-    base = materialize(ft.rfm_base(scope(spark, sf), v.END))
+    base = materialize(rfm_rows(spark, sf))
     out = pr.rfm_levels(base, how, letters)
     out = out.select("mid", "pma_no_fin", "rfm_level")
     return out if letters else out.withColumn("level_name", rfm.level_name(F.col("rfm_level")))
@@ -94,7 +94,7 @@ def q_rfm_level_mode(spark, sf):
 FROM rfmlist GROUP BY pma_no_fin""",
 )
 def q_rfm_split(spark, sf):
-    base = materialize(ft.rfm_base(scope(spark, sf), v.END))
+    base = materialize(rfm_rows(spark, sf))
     half = [F.col(f"rfm_{x}_split") for x in ("recency", "monetary")]
     rounded = [F.round(c.cast("decimal(28,10)"), 4).cast("double") for c in half]
     parts = [

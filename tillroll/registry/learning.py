@@ -19,7 +19,7 @@ from tillroll.plans.segmentation import segment
 from tillroll.registry import views as v
 from tillroll.registry.base import query, sql_round
 
-from tillroll.registry.relational import SCOPE_VIEWS, VALUE, features, scope
+from tillroll.registry.relational import SCOPE_VIEWS, VALUE, features, known, scope
 from tillroll.registry.text import (
     CLUSTERS,
     KEYWORD_VIEWS,
@@ -37,7 +37,7 @@ KS = list(range(2, 9))
 
 
 def value_rows(spark, sf):
-    return ft.category_value(scope(spark, sf))
+    return known(spark, sf, ft.category_value(scope(spark, sf)))
 
 
 def banded(df, k: int):

@@ -65,3 +65,15 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """A configuration table as local rows, so that joins with it need no exchange of the big side.
+
+    A table with more rows than ``max_rows`` stays what it is and joins like any other.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    return df if rows.num_rows > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
