@@ -123,14 +123,19 @@ def _receipts(lines: DataFrame, festivals: DataFrame) -> DataFrame:
     """Distinct receipts with a flag for purchases on a festival day."""
     days = festivals.select(F.col("start_date").alias("data_date")).distinct()
     receipts = lines.select(*KEYS, "rec_no", "data_date", "sale_time").distinct()
-    return receipts.join(days.withColumn("is_weekend", F.lit(True)), "data_date", "left")
+    return with_time(receipts, days)
+
+
+def with_time(receipts: DataFrame, days: DataFrame) -> DataFrame:
+    """Add the part of the day, and ``is_weekend`` for the given days (null for others)."""
+    part = places.day_part(F.col("sale_time"))
+    return receipts.withColumn("day_part", part).join(days.withColumn("is_weekend", F.lit(True)), "data_date", "left")
 
 
 def _time_counts() -> list[Column]:
     weekend = F.col("is_weekend").isNotNull()
     parts = [
-        F.count(F.when(places.in_day_part(F.col("sale_time"), part), 1)).alias(part)
-        for part in places.DAY_PARTS
+        F.count(F.when(F.col("day_part") == part, 1)).alias(part) for part in places.DAY_PARTS
     ]
     return [
         F.count(F.when(~weekend, 1)).alias("weekday_cnt"),

@@ -36,7 +36,7 @@ def _receipt_features(
         F.sum("item_cont").alias("qty"), F.sum(cents(F.col("mm_sales"))).alias("cents")
     )
     totals = (
-        receipts.join(days.withColumn("is_weekend", F.lit(True)), "data_date", "left")
+        ft.with_time(receipts, days)
         .groupBy(*KEYS)
         .agg(
             F.sum("qty").alias("qty"),
