@@ -107,16 +107,36 @@ def q_k_scores(spark, sf):
 
 @query(
     "best_k",
-    SCORED
-    + """SELECT metric, CAST(best_k AS INTEGER) AS best_k FROM (
+    SCORED.rstrip()
+    + """,
+curve AS (
+  SELECT k, (hi - value) / (hi - lo) - (k - kl) / (kh - kl) AS gap, 1.0 / (n - 1) AS step
+  FROM scored, (SELECT max(value) AS hi, min(value) AS lo, CAST(min(k) AS DOUBLE) AS kl,
+                       CAST(max(k) AS DOUBLE) AS kh, count(*) AS n FROM scored WHERE metric = 'elbow') r
+  WHERE metric = 'elbow'),
+around AS (
+  SELECT *, lag(gap) OVER (ORDER BY k) AS before, lead(gap) OVER (ORDER BY k) AS after FROM curve),
+marked AS (
+  SELECT *, gap >= coalesce(before, gap) AND gap >= coalesce(after, gap) AS top,
+         gap <= coalesce(before, gap) AND gap <= coalesce(after, gap) AS bottom FROM around),
+started AS (
+  SELECT *, max(CASE WHEN top THEN 1 ELSE 0 END) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS begun
+  FROM marked),
+limits AS (
+  SELECT k, after,
+    last_value(CASE WHEN begun = 0 THEN NULL WHEN bottom THEN 0.0 WHEN top THEN gap - step END IGNORE NULLS)
+      OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS lim,
+    last_value(CASE WHEN top THEN k END IGNORE NULLS)
+      OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS candidate
+  FROM started),
+indices AS (
   SELECT metric, first(k ORDER BY CASE WHEN metric = 'davies-bouldin' THEN value ELSE -value END, k) AS best_k
-  FROM scored WHERE metric <> 'elbow' AND value IS NOT NULL GROUP BY metric
+  FROM scored WHERE metric <> 'elbow' AND value IS NOT NULL GROUP BY metric)
+SELECT metric, CAST(best_k AS INTEGER) AS best_k FROM (
+  SELECT metric, best_k FROM indices
   UNION ALL
-  SELECT 'elbow', first(k ORDER BY gap DESC, k) FROM (
-    SELECT k, (hi - value) / (hi - lo) - (k - kl) / (kh - kl) AS gap
-    FROM scored, (SELECT max(value) AS hi, min(value) AS lo, CAST(min(k) AS DOUBLE) AS kl,
-                         CAST(max(k) AS DOUBLE) AS kh FROM scored WHERE metric = 'elbow') r
-    WHERE metric = 'elbow') g) t""",
+  SELECT 'elbow', coalesce((SELECT first(candidate ORDER BY k) FROM limits WHERE after < lim),
+                           (SELECT best_k FROM indices WHERE metric = 'calinski-harabasz'))) t""",
 )
 def q_best_k(spark, sf):
     return cl.best_k(scores(spark, sf))
