@@ -40,3 +40,8 @@ def blank_words_count(text: Column) -> Column:
 def same(left: Column, right: Column) -> Column:
     """Equality that holds for two nulls."""
     return left.eqNullSafe(right)
+
+
+def arrow_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Hand texts to Python workers in batches that stay small even if texts are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

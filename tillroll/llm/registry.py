@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, mixing
+from tillroll.llm import decontaminate, language, licenses, mixing, neighbours, simhash, weighted_sampling
 from tillroll.llm.common import blank_words_count, table
 from tillroll.session import materialize
 
@@ -139,3 +141,58 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = materialize(sized(table(spark, folder, "documents")).select("doc_id", "source", "digest", "size"))
     mixed = mixing.mix(docs, mixing.shard_quotas(docs), ["doc_id", "size"])
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_query("op3_simhash")
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_copies(table(spark, folder, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@_query("op4_language")
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language.predict(docs, language.fit_not_held_out(docs))
+
+
+def _edited_rows():
+    """Fingerprints of texts, of edited texts and of the next texts; one function per task."""
+    sampler = weighted_sampling.Sampler()
+
+    def run(ids: list, texts: list[str], nexts: list[str]) -> pa.RecordBatch:
+        edited = [t[: len(t) - len(t) // 3] + n[: len(t) // 3] for t, n in zip(texts, nexts)]
+        other = [i for i, n in enumerate(nexts) if i + 1 == len(texts) or n is not texts[i + 1]]
+        found = sampler.signatures([weighted_sampling.terms(t) for t in [*texts, *edited, *(nexts[i] for i in other)]])
+        own, cut, more = found[: len(texts)], found[len(texts) : 2 * len(texts)], found[2 * len(texts) :]
+        after = own[[min(i + 1, len(texts) - 1) for i in range(len(texts))]]
+        after[other] = more
+        return pa.RecordBatch.from_pydict(
+            {
+                "doc_id": pa.array(ids, pa.int64()),
+                "n_chars": pa.array([len(t) for t in texts], pa.int64()),
+                "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in edited],
+                "fingerprint": [weighted_sampling.hex_digits(x) for x in own],
+                "edited_fingerprint": [weighted_sampling.hex_digits(x) for x in cut],
+                "near_edited": (own == cut).mean(1),
+                "near_next": (own == after).mean(1),
+            }
+        )
+
+    return run
+
+
+@_query("op5_weighted_fingerprint")
+def op5_weighted_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.with_next(
+        table(spark, folder, "documents"),
+        "doc_id",
+        "text",
+        _edited_rows,
+        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+        "near_edited double, near_next double",
+    )
+
+
+@_query("op6_license_scan")
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents")).drop("spans")
