@@ -9,7 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, language, licenses, mixing, neighbours, simhash, weighted_sampling
+from tillroll.llm import (
+    decontaminate,
+    language,
+    licenses,
+    mixing,
+    neighbours,
+    pages,
+    simhash,
+    weighted_sampling,
+)
 from tillroll.llm.common import blank_words_count, table
 from tillroll.session import materialize
 
@@ -196,3 +205,9 @@ def op5_weighted_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op6_license_scan")
 def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents")).drop("spans")
+
+
+@_query("op1_consensus_text")
+def op1_consensus_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = pages.main_texts(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
