@@ -16,6 +16,7 @@ from tillroll.llm import (
     mixing,
     neighbours,
     pages,
+    personal,
     simhash,
     weighted_sampling,
 )
@@ -211,3 +212,11 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op1_consensus_text(spark: SparkSession, folder: str) -> DataFrame:
     found = pages.main_texts(table(spark, folder, "pages"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@_query("op9_personal_data")
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal.per_document(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", *[f"n_{k}" for k in personal.KINDS], F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
