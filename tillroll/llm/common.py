@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Word characters of the contracts: digits, a-z and everything beyond ASCII; the text is lower-cased
@@ -45,3 +45,48 @@ def same(left: Column, right: Column) -> Column:
 def arrow_batches(spark: SparkSession, rows: int = 512) -> None:
     """Hand texts to Python workers in batches that stay small even if texts are long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+#: Characters kept on either side of a match.
+_NEAR = 60
+_PIECES = "array<struct<kind:string,at:int,x:struct<gap:int,before:string,after:string,value:string>>>"
+
+
+def _pieces(text: Column, kind: str, expression: str, maybe: Column) -> Column:
+    """Matches of one expression with what stands before each; a last entry holds the rest of the text."""
+    both = F.zip_with(
+        F.split(text, expression, -1),
+        F.regexp_extract_all(text, F.lit(f"({expression})"), F.lit(0)),
+        lambda gap, value: F.struct(
+            F.char_length(gap).alias("gap"),
+            F.right(gap, F.lit(_NEAR)).alias("before"),
+            F.left(gap, F.lit(_NEAR)).alias("after"),
+            value.alias("value"),
+        ),
+    )
+    numbered = F.transform(both, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("at"), x.alias("x")))
+    return F.when(maybe, numbered).otherwise(F.array().cast(_PIECES))
+
+
+def matches(
+    docs: DataFrame, id_column: str, text: str, expressions: dict[str, tuple[str, Column]], *more: str
+) -> DataFrame:
+    """All non-overlapping matches of each expression: places in code points, and what stands around.
+
+    ``expressions``: kind to ``(expression, whether a text can match)``; expressions mustn't hold groups
+    that capture.  Rows ``(id, text_hash, kind, at, start, end, value, before, after, *more)``, once for
+    repeated rows; a text is read once, and only matches and their surroundings leave that stage.
+    """
+    own = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"), *more)
+    every = [_pieces(F.col("text"), kind, expression, maybe) for kind, (expression, maybe) in expressions.items()]
+    rows = own.select("id", "text_hash", *more, F.explode(F.concat(*every)).alias("p")).select(
+        "id", "text_hash", *more, "p.kind", "p.at", "p.x.*"
+    )
+    rows = rows.dropDuplicates(["id", "text_hash", "kind", "at"])
+    order = Window.partitionBy("id", "text_hash", "kind").orderBy("at")
+    length = F.coalesce(F.char_length("value"), F.lit(0))
+    end = F.sum(F.col("gap") + length).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = rows.withColumn("end", end.cast("long")).withColumn("after", F.lead("after").over(order))
+    return placed.filter("value is not null").select(
+        "id", "text_hash", "kind", "at", (F.col("end") - F.char_length("value")).alias("start"), "end", "value", "before", "after", *more
+    )

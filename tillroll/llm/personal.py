@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import same
+from tillroll.llm.common import matches, same
 from tillroll.session import materialize
 
 #: Kinds in the order of the results.
@@ -47,7 +47,6 @@ SUPPORT = 3
 PATTERN_CONFIDENCE = 0.8
 #: From this score on a value counts as found.
 VALUE_CONFIDENCE = 0.9
-_NEAR = 60
 
 
 def _digits(value: Column) -> Column:
@@ -93,51 +92,15 @@ def _shape(value: Column) -> Column:
     )
 
 
-def _pieces(text: Column, kind: str, expression: str) -> Column:
-    """Matches of one expression with what stands before each; a last entry holds the rest of the text."""
-    values = F.regexp_extract_all(text, F.lit(f"({expression})"), F.lit(0))
-    both = F.zip_with(
-        F.split(text, expression, -1),
-        values,
-        lambda gap, value: F.struct(
-            F.char_length(gap).alias("gap"),
-            F.right(gap, F.lit(_NEAR)).alias("before"),
-            F.left(gap, F.lit(_NEAR)).alias("after"),
-            value.alias("value"),
-        ),
-    )
-    numbered = F.transform(both, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("at"), x.alias("x")))
-    guard = _GUARDS[kind]
-    maybe = text.contains(guard) if guard in ("@", "+") else text.rlike(guard)
-    return F.when(maybe, numbered).otherwise(F.array().cast(_PIECES))
-
-
-_PIECES = "array<struct<kind:string,at:int,x:struct<gap:int,before:string,after:string,value:string>>>"
-
-
 def _finds(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """Valid base finds, and candidates that overlap none of them.
 
     ``(id, text_hash, kind, start, end, value, before, after, base)`` in code points, end exclusive;
     ``before`` and ``after`` are up to two words and one word next to the find, lower-cased.
     """
-    own = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
-    every = [_pieces(F.col("text"), kind, expression) for kind, expression in {**_BASE, "candidate": _CANDIDATE}.items()]
-    rows = own.select("id", "text_hash", F.explode(F.concat(*every)).alias("p")).select(
-        "id", "text_hash", "p.kind", "p.at", "p.x.*"
-    )
-    # Repeated rows of a table have the same finds once.
-    rows = rows.dropDuplicates(["id", "text_hash", "kind", "at"])
-    by_kind = Window.partitionBy("id", "text_hash", "kind").orderBy("at")
-    upto = by_kind.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.sum(F.col("gap") + F.coalesce(F.char_length("value"), F.lit(0))).over(upto)
-    placed = (
-        rows.withColumn("end", end.cast("long"))
-        .withColumn("next", F.lead("after").over(by_kind))
-        .filter("value is not null")
-        .withColumn("start", F.col("end") - F.char_length("value"))
-        .withColumn("base", F.col("kind") != "candidate")
-    )
+    whole = F.col("text")
+    guarded = {k: (e, whole.contains(_GUARDS[k]) if _GUARDS[k] in "@+" else whole.rlike(_GUARDS[k])) for k, e in {**_BASE, "candidate": _CANDIDATE}.items()}
+    placed = matches(docs, id_column, text, guarded).withColumn("base", F.col("kind") != "candidate")
     kept = placed.withColumn("kind", F.when(F.col("base"), F.col("kind")).otherwise(_shape(F.col("value")))).filter(
         F.col("kind").isNotNull() & (~F.col("base") | _valid(F.col("kind"), F.col("value")))
     )
@@ -148,7 +111,7 @@ def _finds(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     coming = F.min(F.when(F.col("base"), F.col("start"))).over(ahead)
     clear = (F.coalesce(reached, F.lit(0)) <= F.col("start")) & (F.coalesce(coming, F.col("end")) >= F.col("end"))
     before = F.regexp_extract(F.lower("before"), r"((?:\S+\s+)?\S+)\s*$", 1)
-    after = F.regexp_extract(F.lower("next"), r"^\s*(\S+)", 1)
+    after = F.regexp_extract(F.lower("after"), r"^\s*(\S+)", 1)
     return (
         kept.withColumn("clear", clear)
         .filter("base or clear")

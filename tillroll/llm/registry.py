@@ -17,6 +17,8 @@ from tillroll.llm import (
     neighbours,
     pages,
     personal,
+    quotes,
+    secrets,
     simhash,
     weighted_sampling,
 )
@@ -220,3 +222,65 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *[f"n_{k}" for k in personal.KINDS], F.sha2("base_spans", 256).alias("base_sha256"), "spans"
     )
+
+
+_SQL_MARKS = r"'^[ \t]*(?:>[ \t]?)+'"
+_SQL_LEVEL = f"len(regexp_replace(regexp_extract({{0}}, {_SQL_MARKS}), '[^>]', '', 'g'))"
+OP7_SQL = rf"""
+WITH RECURSIVE split AS (
+  SELECT conv_id, turn, role, text, string_split_regex(text, '\r\n|\r|\n') AS l FROM conversations),
+numbered AS (
+  SELECT conv_id, turn, text, unnest(l) AS line, unnest(range(len(l))) AS pos
+  FROM (SELECT DISTINCT conv_id, turn, text, l FROM split WHERE turn IS NOT NULL AND text IS NOT NULL)),
+leveled AS (
+  SELECT conv_id, turn, text, pos, {_SQL_LEVEL.format("line")} AS level,
+         regexp_replace(line, {_SQL_MARKS}, '') AS body FROM numbered),
+marked AS (
+  SELECT *, CASE WHEN level IS DISTINCT FROM lag(level) OVER w THEN 1 ELSE 0 END AS fresh
+  FROM leveled WINDOW w AS (PARTITION BY conv_id, turn, text ORDER BY pos)),
+runs AS (SELECT *, sum(fresh) OVER (PARTITION BY conv_id, turn, text ORDER BY pos) AS run FROM marked),
+bodies AS (
+  SELECT conv_id, turn, level, body FROM runs UNION ALL
+  SELECT conv_id, turn, level, string_agg(body, ' ' ORDER BY pos) FROM runs GROUP BY conv_id, turn, text, run, level),
+units AS (
+  SELECT DISTINCT conv_id, turn, level, trim(regexp_replace(lower(body), '\s+', ' ', 'g')) AS unit
+  FROM bodies WHERE trim(regexp_replace(lower(body), '\s+', ' ', 'g')) <> ''),
+origins AS (SELECT conv_id, unit, min(turn) AS origin FROM units WHERE level = 0 GROUP BY ALL),
+votes AS (
+  SELECT u.conv_id, u.turn, u.level, origin, sum(len(u.unit)) AS chars
+  FROM units u JOIN origins o ON u.conv_id IS NOT DISTINCT FROM o.conv_id AND u.unit = o.unit
+  WHERE u.level > 0 AND origin < u.turn GROUP BY ALL),
+replies AS (
+  SELECT conv_id, turn, origin AS parent FROM votes
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, chars DESC, origin DESC) = 1),
+walk AS (
+  SELECT conv_id, turn, parent, parent AS root, 1 AS depth FROM replies UNION ALL
+  SELECT w.conv_id, w.turn, w.parent, r.parent, depth + 1
+  FROM walk w JOIN replies r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND w.root = r.turn),
+ways AS (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY depth DESC) = 1)
+SELECT s.conv_id, s.turn, s.role,
+       regexp_replace(array_to_string(list_filter(l, x -> {_SQL_LEVEL.format("x")} = 0), chr(10)), '^\s+|\s+$', '', 'g') AS text,
+       CAST(coalesce(list_max(list_transform(l, x -> {_SQL_LEVEL.format("x")})), 0) AS INT) AS quote_level,
+       w.parent AS parent_turn, coalesce(w.root, s.turn) AS thread_turn, CAST(coalesce(w.depth, 0) AS BIGINT) AS reply_depth
+FROM split s LEFT JOIN ways w ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.turn = w.turn
+"""
+
+
+@_query("op7_quotation_links", OP7_SQL)
+def op7_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    linked = quotes.link_quotes(table(spark, folder, "conversations"))
+    return linked.select("conv_id", "turn", "role", "text", "quote_level", "parent_turn", "thread_turn", "reply_depth")
+
+
+@_query("op8_secret_scan")
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"), learn_from=~language.is_held_out(F.col("id")))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "start",
+        "end",
+        language.is_held_out(F.col("id")).alias("held_out"),
+        F.sha2("value", 256).alias("value_sha256"),
+        "probability",
+        "is_secret",
+    )
