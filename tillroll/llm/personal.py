@@ -223,10 +223,13 @@ def per_document(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     )
 
 
-def redact(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def redact(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: str | None = None, **options
+) -> DataFrame:
     """``docs`` with every find in the text replaced by its kind in angle brackets; all columns.
 
     Overlapping finds are replaced together, by the first one's kind.  Other texts stay as they are.
+    ``length`` names a column with the text's code points, which follows where the text changes.
     """
     found = personal_data(docs, id_column, text, **options)
     order = Window.partitionBy("id", "text_hash").orderBy("start", F.col("end").desc(), "kind")
@@ -255,8 +258,9 @@ def redact(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **opt
     tail = F.substring(whole, last + 1, F.char_length(whole))
     cut_text = F.concat(F.array_join(F.transform("__cuts", piece), ""), tail)
     both = same(F.col(id_column), F.col("__id")) & (F.xxhash64(text) == F.col("__hash"))
-    return (
-        docs.join(cuts, both, "left")
-        .withColumn(text, F.when(F.col("__cuts").isNull(), whole).otherwise(cut_text))
-        .drop("__id", "__hash", "__cuts")
-    )
+    kept = F.col("__cuts").isNull()
+    out = docs.join(cuts, both, "left").withColumn(text, F.when(kept, whole).otherwise(cut_text))
+    if length:
+        kind = docs.schema[length].dataType
+        out = out.withColumn(length, F.when(kept, F.col(length)).otherwise(F.char_length(text).cast(kind)))
+    return out.drop("__id", "__hash", "__cuts")

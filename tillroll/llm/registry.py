@@ -259,8 +259,8 @@ walk AS (
   FROM walk w JOIN replies r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND w.root = r.turn),
 ways AS (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY depth DESC) = 1)
 SELECT s.conv_id, s.turn, s.role,
-       regexp_replace(array_to_string(list_filter(l, x -> {_SQL_LEVEL.format("x")} = 0), chr(10)), '^\s+|\s+$', '', 'g') AS text,
-       CAST(coalesce(list_max(list_transform(l, x -> {_SQL_LEVEL.format("x")})), 0) AS INT) AS quote_level,
+       regexp_replace(array_to_string(list_filter(l, lambda x: {_SQL_LEVEL.format("x")} = 0), chr(10)), '^\s+|\s+$', '', 'g') AS text,
+       CAST(coalesce(list_max(list_transform(l, lambda x: {_SQL_LEVEL.format("x")})), 0) AS INT) AS quote_level,
        w.parent AS parent_turn, coalesce(w.root, s.turn) AS thread_turn, CAST(coalesce(w.depth, 0) AS BIGINT) AS reply_depth
 FROM split s LEFT JOIN ways w ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.turn = w.turn
 """
