@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import html
+import re
+
+import pytest
+from brute import SMALL, frame  # noqa: F401
+
+from tillroll.llm import pages
+
+SCHEMA = "page_id long, url string, html string, text string, host string, path string"
+MENU = '<nav><ul><li><a href="/a">Home</a></li></ul></nav><div class="ad">Buy now, a long advert text. </div>'
+BODY = "<p>First &amp; <b>bold</b>ly&nbsp;said.</p>\n<p>Second   paragraph<br>goes on.</p>"
+
+
+def page(article, around=MENU):
+    return f'<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body>{around}{article}<footer>&copy; us</footer></body></html>'
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        (None, ""),
+        ("", ""),
+        ("plain words only", "plain words only"),
+        (page(f"<article><h1>Title</h1>{BODY}</article>"), "Title First & boldly said. Second paragraph goes on."),
+        (page("<article><h1>A</h1><p><b>open<br><p>next</p></article>"), "A open next"),
+        (page("<article><p>cut off in the mid").split("<foot")[0] + "</artic", "cut off in the mid"),
+        (page(f'<main><div class="post-12">{BODY}</div><div class="comments"><p>{"Reader says. " * 40}</p></div></main>'), "First & boldly said. Second paragraph goes on."),
+        (page(f'<div id="sidebar"><p>{"Side text. " * 30}</p></div><div class="content">{BODY}</div>'), "First & boldly said. Second paragraph goes on."),
+        (page(f'<article>{BODY}<aside>More</aside><form>Name <input></form><script>var a="</p>";</script><!-- no <p>x</p> --></article>'), "First & boldly said. Second paragraph goes on."),
+        (page(f'<div class="cookie-notice">We use cookies. {"x " * 90}</div><section>{BODY}</section>'), "First & boldly said. Second paragraph goes on."),
+        (page("<article><ul><li>one<li>two</ul><table><tr><td>a<td>b</table><pre>x\n y</pre></article>"), "one two a b x y"),
+        (page("<article><p>1 &lt; 2 &#x41;&#66; a < b</p></article>"), "1 < 2 AB a < b"),
+        ("<nav>menu</nav><script>x()</script>", ""),
+        ("<p" * 2000, ""),
+        ("<div>" * 3000 + "deep text", "deep text"),
+    ],
+)
+def test_single_pages(source, text):
+    parsed = pages.parse(source)
+    best = pages.best_container(parsed)
+    own = None if best is None else parsed.paths[best]
+    assert pages.extract(source, own) == text == pages.extract(source, "no such path")
+
+
+def test_host_decides_against_a_single_page(frame):
+    usual = page(f'<div class="story-1">{BODY}</div><div class="more"><p>short</p></div>')
+    odd = page(f'<div class="story-77"><p>tiny</p></div><div class="more"><p>{"long teaser text " * 9}</p></div>')
+    rows = [(i, f"http://H.org/{i}", usual, "c", "c", "c") for i in range(5)]
+    rows += [(9, "http://h.org/9", odd, "c", "c", "c"), (10, "https://other.org/", odd, "c", "c", "c")]
+    rows += [(11, None, odd, "c", "c", "c"), (None, "http://h.org/x", None, "c", "c", "c"), rows[0]]
+    got = pages.main_texts(frame(rows, SCHEMA))
+    texts = [(r.page_id, r.text) for r in got.collect()]
+    assert len(texts) == len(rows)
+    by_id = dict(texts)
+    assert by_id[0] == "First & boldly said. Second paragraph goes on."
+    assert by_id[9] == "tiny" and by_id[10].startswith("long teaser") and by_id[11].startswith("long teaser")
+    assert by_id[None] == ""
+
+
+def test_empty_table(frame):
+    assert pages.main_texts(frame([], SCHEMA)).count() == 0
+
+
+def test_given_pages(spark):
+    table = spark.read.parquet(f"{SMALL}/pages.parquet")
+    got = {r.page_id: r.text for r in pages.main_texts(table).collect()}
+    for r in table.collect():
+        inner = re.search(r"<article>(.*?)(</article>|$)", r.html, re.S)[1]
+        assert got[r.page_id] == " ".join(html.unescape(re.sub(r"<[^>]*(>|$)", " ", inner)).split())

@@ -65,6 +65,7 @@ _TOKEN = re.compile(
 )
 _HINT = re.compile(r"""\b(class|id|role)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++)""", re.I)
 _DIGITS = re.compile(r"[0-9]+")
+_CUT_OFF = re.compile(r"<[a-zA-Z/!]")
 _PARTS = re.compile(r"[^a-z]+")
 
 
@@ -135,9 +136,9 @@ def parse(source: str | None) -> Page:
         if not m["more"].endswith("/"):
             stack.append(len(page.names) - 1)
     rest = source[at:]
-    cut = rest.rfind("<")
-    if cut >= 0 and re.match(r"</?[a-zA-Z!]?[^>]*\Z", rest[cut:]):
-        rest = rest[:cut]
+    open_tag = _CUT_OFF.search(rest, rest.rfind(">") + 1)
+    if open_tag:
+        rest = rest[: open_tag.start()]
     if rest:
         page.chunks.append((stack[-1], rest))
     return page
