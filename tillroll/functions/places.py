@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 # They must equal the reference's for right results.
 COUNTY_MARKS = ["縣", "市"]
-DISTRICT_MARKS = ["鄉", "鎮", "市", "區"]
 UNKNOWN_CITY = "X"
 CROSS_CITY = "跨縣市"
 CROSS_REGION = "跨區域"
@@ -36,27 +35,10 @@ def formal_tai(col: Column) -> Column:
     return F.translate(col, "台", "臺")
 
 
-def address_kind(address: Column) -> Column:
-    """How the address names its district: A/B/C by position, D county only, E anything else."""
-    in_county = F.substring(address, 3, 1).isin(COUNTY_MARKS)
-
-    def district_at(position: int) -> Column:
-        return in_county & F.substring(address, position, 1).isin(DISTRICT_MARKS)
-
-    return (
-        F.when(district_at(5), "A_city_dist")
-        .when(district_at(6), "B_city_dist")
-        .when(district_at(7), "C_city_dist")
-        .when(in_county, "D_city")
-        .otherwise("E_Otrs")
-    )
-
-
 def address_city(address: Column) -> Column:
     """City of an address: its first three characters, or ``X`` where no county is named."""
-    city = F.when(address_kind(address) == "E_Otrs", UNKNOWN_CITY).otherwise(
-        F.substring(address, 1, 3)
-    )
+    named = F.substring(address, 3, 1).isin(COUNTY_MARKS)
+    city = F.when(named, F.substring(address, 1, 3)).otherwise(UNKNOWN_CITY)
     return formal_tai(city)
 
 

@@ -17,13 +17,16 @@ def quoted_list(values: Column) -> Column:
 
 
 def prompt(template: str, **columns: Column) -> Column:
-    """Fill ``{name}`` marks of a template with columns; ``{{`` and ``}}`` stand for braces."""
+    """Fill ``{name}`` marks of a template with columns; ``{{`` and ``}}`` stand for braces.
+
+    A null column fills in nothing; the rest of the prompt stays.
+    """
     parts = []
     for piece in re.split(r"(\{\{|\}\}|\{\w+\})", template):
         if piece in ("{{", "}}"):
             parts.append(F.lit(piece[0]))
         elif re.fullmatch(r"\{\w+\}", piece) and piece[1:-1] in columns:
-            parts.append(columns[piece[1:-1]].cast("string"))
+            parts.append(F.coalesce(columns[piece[1:-1]].cast("string"), F.lit("")))
         else:
             parts.append(F.lit(piece))
     return F.concat(*parts)
@@ -32,7 +35,7 @@ def prompt(template: str, **columns: Column) -> Column:
 def json_object(reply: Column) -> Column:
     """From the first to the last brace of a reply, on one line; null without braces."""
     flat = F.translate(reply, "\n", " ")
-    found = F.regexp_extract(flat, r"(\{.*\})", 1)
+    found = F.regexp_extract(flat, r"(?s)(\{.*\})", 1)
     return F.when(found != "", found)
 
 

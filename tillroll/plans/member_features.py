@@ -63,19 +63,20 @@ def _store_features(lines: DataFrame, stores: DataFrame) -> DataFrame:
     by_old = ft.store_cities(stores, "old_store_no").select(
         F.col("old_store_no").alias("store_no"), F.col("city").alias("city_old")
     )
+    # One row per store: how many open versions it has in each area.  Several open versions count a
+    # line in several areas, but never twice for the city.
+    open_in = ft.current_stores(stores).groupBy("store_no").agg(
+        *[F.count(F.when(F.col("master_area_no") == c, 1)).alias(f"in_{c}") for c in ft.AREA_CODES]
+    )
     located = (
-        per_store.join(ft.current_stores(stores), "store_no", "left")
+        per_store.join(open_in, "store_no", "left")
         .join(ft.store_cities(stores), "store_no", "left")
         .join(by_old, "store_no", "left")
         .withColumn("city", F.coalesce("city", "city_old"))
     )
-
-    def area_sum(code: str, column: str) -> F.Column:
-        hit = F.when(F.col("master_area_no") == code, F.col(column))
-        return F.coalesce(F.sum(hit), F.lit(0)).alias(f"area_{code}")
-
     per_city = located.groupBy(*KEYS, "city").agg(
-        F.sum("n").alias("n"), *[area_sum(c, "n") for c in ft.AREA_CODES]
+        F.sum("n").alias("n"),
+        *[F.coalesce(F.sum(F.col("n") * F.col(f"in_{c}")), F.lit(0)).alias(f"area_{c}") for c in ft.AREA_CODES],
     )
     n = F.when(F.col("city").isNull(), 0).otherwise(F.col("n"))
     region = places.city_region(F.col("city"))

@@ -10,7 +10,7 @@ from tillroll.operators import prepare as pr
 from tillroll.operators import profile as pf
 from tillroll.registry import views as v
 from tillroll.registry.base import query, sql_round
-from tillroll.registry.relational import RFM, SCOPE_VIEWS, feature_views, features, rfm_rows
+from tillroll.registry.relational import RFM, SCOPE_VIEWS, SUMS, feature_views, features, rfm_rows
 from tillroll.session import materialize
 
 
@@ -27,11 +27,11 @@ LEVEL_CASE = " ".join(f"WHEN '{k}' THEN '{n}'" for k, n in rfm.LEVEL_NAMES.items
 def level_sql(r_split: str, f_split: str, m_split: str, level: str, named: bool) -> str:
     name = f", CASE rfm_level {LEVEL_CASE} END AS level_name" if named else ""
     return (
-        v.with_views(*SCOPE_VIEWS, RFM)
+        v.with_views(*SCOPE_VIEWS, SUMS, RFM)
         + f"""SELECT mid, pma_no_fin, rfm_level{name} FROM (
-  SELECT r.mid, r.pma_no_fin, {level} AS rfm_level FROM rfmlist r JOIN (
+  SELECT r.mid, r.pma_no_fin, {level} AS rfm_level FROM visit_value r JOIN (
     SELECT pma_no_fin, {r_split} AS rs, {f_split} AS fs, {m_split} AS ms
-    FROM rfmlist GROUP BY pma_no_fin) s ON r.pma_no_fin = s.pma_no_fin) t"""
+    FROM visit_value GROUP BY pma_no_fin) s ON r.pma_no_fin = s.pma_no_fin) t"""
     )
 
 
@@ -67,18 +67,18 @@ def q_rfm_level_two(spark, sf):
 
 
 def _mode(column: str) -> str:
-    return f"""(SELECT x FROM (SELECT {column} AS x, count(*) AS n FROM rfmlist i
+    return f"""(SELECT x FROM (SELECT {column} AS x, count(*) AS n FROM visit_value i
       WHERE i.pma_no_fin = o.pma_no_fin GROUP BY 1 ORDER BY n DESC, x LIMIT 1) q)"""
 
 
 @query(
     "rfm_level_mode",
-    v.with_views(*SCOPE_VIEWS, RFM)
+    v.with_views(*SCOPE_VIEWS, SUMS, RFM)
     + f"""SELECT mid, pma_no_fin, rfm_level, CASE rfm_level {LEVEL_CASE} END AS level_name FROM (
-  SELECT r.mid, r.pma_no_fin, {R} || {FQ} || {M} AS rfm_level FROM rfmlist r JOIN (
+  SELECT r.mid, r.pma_no_fin, {R} || {FQ} || {M} AS rfm_level FROM visit_value r JOIN (
     SELECT pma_no_fin, {_mode("rfm_recency")} AS rs, {_mode("rfm_frequency")} AS fs,
            {_mode("rfm_monetary")} AS ms
-    FROM (SELECT DISTINCT pma_no_fin FROM rfmlist) o) s ON r.pma_no_fin = s.pma_no_fin) t""",
+    FROM (SELECT DISTINCT pma_no_fin FROM visit_value) o) s ON r.pma_no_fin = s.pma_no_fin) t""",
 )
 def q_rfm_level_mode(spark, sf):
     return levels(spark, sf, "mode")
@@ -86,12 +86,12 @@ def q_rfm_level_mode(spark, sf):
 
 @query(
     "rfm_split",
-    v.with_views(*SCOPE_VIEWS, RFM)
+    v.with_views(*SCOPE_VIEWS, SUMS, RFM)
     + f"""SELECT pma_no_fin, {sql_round("avg(rfm_recency)", 4)} AS mean_recency,
   {sql_round("avg(rfm_monetary)", 4)} AS mean_monetary,
   {sql_round("median(rfm_recency)", 4)} AS median_recency,
   {sql_round("median(rfm_monetary)", 4)} AS median_monetary
-FROM rfmlist GROUP BY pma_no_fin""",
+FROM visit_value GROUP BY pma_no_fin""",
 )
 def q_rfm_split(spark, sf):
     base = materialize(rfm_rows(spark, sf))

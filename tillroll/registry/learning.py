@@ -19,7 +19,7 @@ from tillroll.plans.segmentation import segment
 from tillroll.registry import views as v
 from tillroll.registry.base import query, sql_round
 
-from tillroll.registry.relational import SCOPE_VIEWS, VALUE, features, known, scope
+from tillroll.registry.relational import SCOPE_VIEWS, SUMS, VALUE, features, known, scope
 from tillroll.registry.text import (
     CLUSTERS,
     KEYWORD_VIEWS,
@@ -50,9 +50,9 @@ def banded(df, k: int):
 _POINTS = ",\n".join(
     [
         f"""banded AS (
-  SELECT k, CAST(least(k - 1, floor(CAST(qty AS DOUBLE) * k / (SELECT max(qty) + 1 FROM cvlist))) AS INTEGER) AS label,
+  SELECT k, CAST(least(k - 1, floor(CAST(qty AS DOUBLE) * k / (SELECT max(qty) + 1 FROM member_value))) AS INTEGER) AS label,
          CAST(qty AS DOUBLE) AS x1, aov AS x2, cv_ratio AS x3
-  FROM cvlist, (SELECT unnest([{", ".join(map(str, KS))}]) AS k) ks)""",
+  FROM member_value, (SELECT unnest([{", ".join(map(str, KS))}]) AS k) ks)""",
         """centre AS (
   SELECT k, label, count(*) AS n, avg(x1) AS c1, avg(x2) AS c2, avg(x3) AS c3
   FROM banded GROUP BY k, label)""",
@@ -85,7 +85,7 @@ _POINTS = ",\n".join(
     ELSE lik - ((kk - 1) + 3 * kk + 1) / 2.0 * ln(total) END FROM summed)""",
     ]
 )
-SCORED = v.with_views(*SCOPE_VIEWS, VALUE, _POINTS)
+SCORED = v.with_views(*SCOPE_VIEWS, SUMS, VALUE, _POINTS)
 
 
 def scores(spark, sf):

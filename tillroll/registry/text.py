@@ -515,7 +515,7 @@ def reply_rows(spark, sf, template: str):
     )
 
 
-REPLY = 'Here you are:\n{{"note": "x",\n"product_name": {listed}}}\nThank you'
+REPLY = 'Here you are:\r\n{{"note": "x",\r\n"product_name": {listed}}}\r\nThank you'
 V_WORDS = f"""v_words AS (
   SELECT conv_id, turn, {tokens_sql("text")} AS w FROM conversations WHERE role = 'assistant')"""
 
@@ -556,13 +556,14 @@ def q_reply_fallback(spark, sf):
 @query(
     "prompt_column",
     v.with_views(V_PRODUCT)
-    + """SELECT p_partkey, 'Name 12 products of ' || category || ' such as "' || replace(item_name, '"', '')
+    + """SELECT p_partkey, 'Name 12 products of ' || CASE WHEN item % 7 = 0 THEN '' ELSE category END || ' such as "' || replace(item_name, '"', '')
   || '", "' || item_type || '", in {"product_name": []}' AS prompt FROM v_product""",
 )
 def q_prompt_column(spark, sf):
     samples = replies.quoted_list(F.array("item_name", "item_type"))
     template = 'Name {n} products of {category} such as {samples} in {{"product_name": []}}'
-    filled = replies.prompt(template, n=F.lit(12), category=F.col("category"), samples=samples)
+    category = F.when(F.col("item") % 7 != 0, F.col("category"))  # some products have none
+    filled = replies.prompt(template, n=F.lit(12), category=category, samples=samples)
     return products(spark, sf).select("p_partkey", filled.alias("prompt"))
 
 

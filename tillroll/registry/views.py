@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators import features as ft
 from tillroll.sources.tables import read_table, spread
 
 TODAY = dt.date(2024, 2, 1)
@@ -95,12 +96,8 @@ V_POS = """v_pos AS (
          CAST(l_extendedprice AS DECIMAL(18,2)) AS mm_sales
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
 
-EXCLUDED_SQL = (
-    "('22','62','69','70','80','81','88','96','97','98','99','100','400')"
-)
-EXCLUDED_CITY_SQL = (
-    "('22','54','55','58','62','69','70','80','81','82','88','96','97','98','99','100','200','400')"
-)
+EXCLUDED_SQL = f"({', '.join(map(repr, ft.EXCLUDED))})"
+EXCLUDED_CITY_SQL = f"({', '.join(map(repr, ft.EXCLUDED_FOR_CITY))})"
 
 
 def _scope_sql(name: str, excluded: str) -> str:
@@ -155,18 +152,20 @@ V_EVENT_FESTIVAL = """v_event_festival AS (
 
 
 def stores(spark: SparkSession, sf: str) -> DataFrame:
+    """Three versions of every store, the first closed, the other two open in different areas."""
     supplier = table(spark, sf, "supplier")
-    version = F.explode(F.array(F.lit(0), F.lit(1))).alias("v")
+    version = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("v")
     address = F.get(
         F.array(*[F.lit(a) for a in ADDRESSES]), (F.col("s_nationkey") + F.col("v")) % 6
     )
+    area = (F.col("s_nationkey") + F.when(F.col("v") == 2, 3).otherwise(0)) % 11 + 1
     return supplier.select("*", version).select(
         F.col("s_suppkey").cast("string").alias("store_no"),
         (F.col("s_suppkey") + 100000).cast("string").alias("old_store_no"),
         address.alias("address"),
-        F.lpad((F.col("s_nationkey") % 11 + 1).cast("string"), 2, "0").alias("master_area_no"),
+        F.lpad(area.cast("string"), 2, "0").alias("master_area_no"),
         F.date_add(F.lit(dt.date(2000, 1, 1)), F.col("v") * 365).alias("eff_date_from"),
-        F.when(F.col("v") == 1, "9999-12-31").otherwise("2000-12-30").alias("eff_date_to"),
+        F.when(F.col("v") == 0, "2000-12-30").otherwise("9999-12-31").alias("eff_date_to"),
         F.lit("0").alias("store_test_flag"),
     )
 
@@ -175,11 +174,11 @@ _ADDRESS_CASE = " ".join(f"WHEN {i} THEN '{a}'" for i, a in enumerate(ADDRESSES)
 V_STORE = f"""v_store AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS store_no, CAST(s_suppkey + 100000 AS VARCHAR) AS old_store_no,
          CASE (s_nationkey + v) % 6 {_ADDRESS_CASE} END AS address,
-         lpad(CAST(s_nationkey % 11 + 1 AS VARCHAR), 2, '0') AS master_area_no,
+         lpad(CAST((s_nationkey + CASE v WHEN 2 THEN 3 ELSE 0 END) % 11 + 1 AS VARCHAR), 2, '0') AS master_area_no,
          DATE '2000-01-01' + v * 365 AS eff_date_from,
-         CASE WHEN v = 1 THEN '9999-12-31' ELSE '2000-12-30' END AS eff_date_to,
+         CASE v WHEN 0 THEN '2000-12-30' ELSE '9999-12-31' END AS eff_date_to,
          '0' AS store_test_flag
-  FROM supplier, (VALUES (0), (1)) versions(v))"""
+  FROM supplier, (VALUES (0), (1), (2)) versions(v))"""
 
 
 def areas(spark: SparkSession, sf: str) -> DataFrame:
@@ -208,9 +207,9 @@ CITY_CASE = """replace(CASE WHEN substring(address, 3, 1) IN ('縣', '市')
 
 def store_city_sql(name: str, key: str, rank_by: str) -> str:
     return f"""{name} AS (
-  SELECT {key}, {CITY_CASE} AS city FROM (
-    SELECT *, row_number() OVER (PARTITION BY {rank_by} ORDER BY eff_date_from DESC) AS srl
-    FROM v_store WHERE store_test_flag = '0') s WHERE srl = 1)"""
+  SELECT {key}, {CITY_CASE} AS city
+  FROM (SELECT arg_max({key}, eff_date_from) AS {key}, arg_max(address, eff_date_from) AS address
+        FROM v_store WHERE store_test_flag = '0' GROUP BY {rank_by}))"""
 
 
 def with_views(*views: str) -> str:
