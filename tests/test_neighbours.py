@@ -30,14 +30,16 @@ def brute(q, r, k, metric, skip):
 
 @pytest.mark.parametrize("metric", ["l2", "cosine"])
 @pytest.mark.parametrize("skip", [False, True])
-def test_both_searches_equal_brute_force(spark, metric, skip):
+def test_searches_in_blocks_equal_brute_force(spark, metric, skip):
     rng = np.random.default_rng(1)
     # A third of all points sits in one tight blob.
     points = np.concatenate([rng.normal(0, 1, (80, 5)), rng.normal(3, 1e-3, (40, 5))])
     q, r = frame(spark, points, "query_id"), frame(spark, points, "ref_id")
     want = brute(points, points, 4, metric, skip)
-    for size in (nb.MAX_BROADCAST_VALUES, 10):
-        near = nb.nearest(q, r, 4, metric, skip, max_broadcast_values=size, tile_rows=15)
+    found = []
+    for size in (nb.MAX_BROADCAST_VALUES, 100):
+        near = nb.nearest(q, r, 4, metric, skip, max_broadcast_values=size, blocks_at_once=4)
+        found.append(sorted(map(tuple, near.collect())))
         got = {}
         for x in near.orderBy("query_id", "rank").collect():
             got.setdefault(x["query_id"], []).append((x["ref_id"], x["score"]))
@@ -46,13 +48,14 @@ def test_both_searches_equal_brute_force(spark, metric, skip):
             # Costs within the rounding noise of each other may swap ids, never scores.
             assert scores == pytest.approx([abs(c) for _, c in hits], abs=2e-4)
             assert len(got[i]) == 4 and (not skip or i not in [j for j, _ in got[i]])
+    assert found[0] == found[1]
 
 
 def test_fewer_references_than_k(spark):
     q = frame(spark, np.eye(3), "query_id")
     r = frame(spark, np.eye(3)[:2], "ref_id")
     assert nb.nearest(q, r, 5).count() == 6
-    assert nb.nearest(q, r, 5, max_broadcast_values=1, tile_rows=1).count() == 6
+    assert nb.nearest(q, r, 5, max_broadcast_values=1).count() == 6
 
 
 def test_vote_ties_threshold_and_nulls(spark):
@@ -77,6 +80,15 @@ def test_two_stage_stays_below_the_chosen_parent(spark):
     assert (got["label_1"], got["label_2"]) == ("A", "a2")
 
 
+def test_two_stage_tie_goes_to_the_smaller_label(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, vector array<double>")
+    names = [f"L{i}" for i in range(9, 0, -1)]
+    one = spark.createDataFrame([(n, [1.0, 0.0]) for n in names], "label string, vector array<double>")
+    two = spark.createDataFrame([(n, n + x, [1.0, 0.0]) for n in names for x in "ba"], "parent string, label string, vector array<double>")
+    got = nb.two_stage_label(q, one, two).first()
+    assert (got["label_1"], got["label_2"]) == ("L1", "L1a")
+
+
 def brute_groups(points, eps, min_points):
     p = points.astype("float32").astype(float)
     close = ((p[:, None] - p[None]) ** 2).sum(2) <= eps * eps

@@ -89,6 +89,17 @@ def test_quantiles_match_numpy_with_hot_values(spark, limit):
     assert len(got) == 12
 
 
+def test_quantiles_of_odd_numbers_are_the_same_on_both_sides(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [("a", float(i % 7)) for i in range(40)] + [("a", nan)] * 9 + [("a", None)]
+    data += [("b", x) for x in (inf, -inf, 1.0, 2.0, 2.0, inf, 3.0)] + [("c", nan), ("d", None)]
+    df = spark.createDataFrame(data, "g string, x double")
+    probs = [0.0, 0.25, 0.5, 1.0]
+    got = [sorted(map(tuple, exact_quantiles(df, ["g"], ["x"], probs, limit).collect())) for limit in (1000, 3)]
+    assert got[0] == got[1] and {r[0] for r in got[0]} == {"a", "b"}
+    assert [r[3] for r in got[0] if r[0] == "a"] == [np.quantile([i % 7 for i in range(40)], p) for p in probs]
+
+
 def test_value_share_counts_blanks_apart(spark):
     df = spark.createDataFrame([(0, "a"), (0, "a"), (0, "b"), (0, " "), (0, None)], "label int, c string")
     got = {r["value"]: (r["cnt"], r["pct"], r["null_cnt"], r["null_pct"]) for r in pf.value_share(df, ["c"]).collect()}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.session import materialize
+
 
 def accuracy(df: DataFrame, actual: str, predicted: list[str]) -> DataFrame:
     """Accuracy per prediction column over its non-null rows, with the number of nulls."""
@@ -56,9 +58,10 @@ def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def class_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """True/false positives and negatives per class.
 
-    Works on the counts per (actual, predicted), so no class is ever one task of raw rows.
+    Works on the counts per (actual, predicted), so no class is ever one task of raw rows.  They are
+    written once: the predictions may be the result of a long search.
     """
-    cells = confusion(df, actual, predicted)
+    cells = materialize(confusion(df, actual, predicted))
     sides = cells.select(
         "cnt",
         F.explode(
@@ -91,7 +94,8 @@ def class_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Precision, recall, F1 and support per class, with macro and weighted averages."""
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     zero = F.lit(0.0)
-    rows = class_counts(df, actual, predicted).select(
+    counts = materialize(class_counts(df, actual, predicted))  # one row per class, read three times
+    rows = counts.select(
         F.col("class").cast("string").alias("class"),
         F.coalesce(F.try_divide(tp, tp + fp), zero).alias("precision"),
         F.coalesce(F.try_divide(tp, tp + fn), zero).alias("recall"),

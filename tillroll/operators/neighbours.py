@@ -7,19 +7,19 @@ result does not depend on the partitioning.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.operators.taxonomy import fixed_sample
+from tillroll.operators.ranking import dense_index
 from tillroll.session import materialize, small
 
 DIGITS = 4
 MAX_BROADCAST_VALUES = 4_000_000  # numbers in a broadcast reference matrix: 32 MB
-TILE_ROWS = 20_000
-MAX_PIVOTS = 2_048
+BLOCKS_AT_ONCE = 8  # blocks between two merges
 _BLOCK = 1_000_000
 
 
@@ -85,18 +85,38 @@ def nearest(
     metric: str = "l2",
     skip_same_id: bool = False,
     max_broadcast_values: int = MAX_BROADCAST_VALUES,
-    tile_rows: int = TILE_ROWS,
+    blocks_at_once: int = BLOCKS_AT_ONCE,
 ) -> DataFrame:
     """The ``k`` nearest references of every query: rows ``(query_id, ref_id, score, rank)``.
 
     ``queries`` has ``(query_id, vector)``, ``refs`` has ``(ref_id, vector)``.  The score is the
-    squared distance (``l2``) or the cosine.  A reference matrix of checked size is broadcast;
-    a larger one takes the exact partitioned search of ``_nearest_by_cells``.
+    squared distance (``l2``) or the cosine.  References are cut into blocks of at most about
+    ``max_broadcast_values`` numbers.  Each block is broadcast and searched in Arrow batches of the
+    queries, which stay where they are; ``k`` pairs per query and block go on.  The search is exact,
+    with the same arithmetic whatever the number of blocks.
     """
     size = refs.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
-    if (size["n"] or 0) * (size["d"] or 0) > max_broadcast_values:
-        return _nearest_by_cells(queries, refs, k, metric, skip_same_id, size["n"], tile_rows)
-    local = refs.select("ref_id", "vector").orderBy("ref_id").toPandas()
+    values = (size["n"] or 0) * (size["d"] or 0)
+    n_blocks = max(1, -(-values // max_broadcast_values))
+    refs, queries = refs.select("ref_id", "vector"), queries.select("query_id", "vector")
+    if n_blocks == 1:
+        return _ranked(_search(queries, refs, k, metric, skip_same_id), k, metric)
+    block = F.pmod(F.xxhash64("ref_id"), F.lit(n_blocks)).cast("int")
+    stored = materialize(refs.withColumn("block", block), partition_by=["block"])
+    best = None
+    for start in range(0, n_blocks, blocks_at_once):
+        found = [
+            _search(queries, stored.filter(F.col("block") == b), k, metric, skip_same_id)
+            for b in range(start, min(n_blocks, start + blocks_at_once))
+        ]
+        merged = reduce(DataFrame.unionAll, found if best is None else [best, *found])
+        best = materialize(_ranked(merged, k, metric).drop("rank"))
+    return _ranked(best, k, metric)
+
+
+def _search(queries: DataFrame, block: DataFrame, k: int, metric: str, skip_same: bool) -> DataFrame:
+    """The ``k`` best references of one block, whose size was checked, for every query."""
+    local = block.select("ref_id", "vector").orderBy("ref_id").toPandas()
     held = queries.sparkSession.sparkContext.broadcast(
         (local["ref_id"].to_numpy("int64"), _matrix(local["vector"]))
     )
@@ -106,116 +126,10 @@ def nearest(
         for b in batches:
             if len(b):
                 yield _block_top(
-                    b["query_id"].to_numpy("int64"), _matrix(b["vector"]), r_ids, r, k, metric, skip_same_id
+                    b["query_id"].to_numpy("int64"), _matrix(b["vector"]), r_ids, r, k, metric, skip_same
                 )
 
-    pairs = queries.select("query_id", "vector").mapInPandas(search, _PAIR_SCHEMA)
-    cost = -F.col("score") if metric == "cosine" else F.col("score")
-    # All pairs of a query come from one task; at most k rows per query are ranked.
-    order = Window.partitionBy("query_id").orderBy(cost, "ref_id")
-    return pairs.withColumn("rank", F.row_number().over(order))
-
-
-def _nearest_by_cells(queries, refs, k, metric, skip_same, n_refs, tile_rows) -> DataFrame:
-    """Exact search without comparing every query with every reference.
-
-    References go to the cell of their nearest pivot.  For every query, the sizes and radii of the
-    cells bound the k-th distance from above, and the triangle inequality rules out cells that lie
-    behind this bound.  Cells are cut into tiles of bounded size on both sides, so neither a hot
-    cell nor a popular one lands in one task, and the k best per tile are merged.
-    Cosine uses unit vectors, whose squared distance is ``2 - 2 cosine``.
-    """
-    spark = queries.sparkSession
-    n_pivots = int(min(MAX_PIVOTS, max(2, n_refs // tile_rows + 1)))
-    prep = _unit if metric == "cosine" else (lambda m: m)
-    sample = fixed_sample(refs.select("ref_id", "vector"), "ref_id", n_pivots).toPandas()
-    pivots = spark.sparkContext.broadcast(prep(_matrix(sample["vector"])))
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                d = np.sqrt(_square_distances(prep(_matrix(b["vector"])), pivots.value))
-                cell = d.argmin(1)
-                yield b.assign(cell=cell.astype("int32"), reach=d[np.arange(len(b)), cell])
-
-    placed = materialize(
-        refs.select("ref_id", "vector").mapInPandas(
-            assign, "ref_id long, vector array<float>, cell int, reach double"
-        )
-    )
-    stats = placed.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.max("reach").alias("radius")
-    )
-    cells = stats.orderBy("cell").toPandas()  # one row per pivot
-    held = spark.sparkContext.broadcast(
-        (cells["cell"].to_numpy(), cells["n"].to_numpy(), cells["radius"].to_numpy())
-    )
-    need = k + 1 if skip_same else k
-    # Rounded costs within 1e-4 of the bound can still win a tie.
-    slack = 10.0**-DIGITS * (2.0 if metric == "cosine" else 1.0) + 1e-9
-
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, n, radius = held.value
-        for b in batches:
-            if not len(b):
-                continue
-            d = np.sqrt(_square_distances(prep(_matrix(b["vector"])), pivots.value[ids]))
-            far = d + radius
-            order = far.argsort(1)
-            enough = (np.cumsum(n[order], axis=1) >= need).argmax(1)
-            total = n.sum()
-            bound = far[np.arange(len(b)), order[np.arange(len(b)), enough]]
-            bound = np.full(len(b), np.inf) if total < need else bound
-            near = d - radius <= np.sqrt(bound[:, None] ** 2 + slack) + 1e-9
-            yield b.assign(cells=[ids[row].tolist() for row in near])
-
-    routed = materialize(
-        queries.select("query_id", "vector")
-        .mapInPandas(route, "query_id long, vector array<float>, cells array<int>")
-        .withColumn("cell", F.explode("cells"))
-        .drop("cells")
-    )
-    tiles = (
-        routed.groupBy("cell")
-        .agg(F.ceil(F.count(F.lit(1)) / F.lit(tile_rows)).cast("int").alias("q_tiles"))
-        .join(
-            stats.select("cell", F.ceil(F.col("n") / F.lit(tile_rows)).cast("int").alias("r_tiles")),
-            "cell",
-        )
-    )
-    tiles = F.broadcast(tiles)  # one row per pivot, at most MAX_PIVOTS
-    q_side = routed.join(tiles, "cell").select(
-        "cell",
-        F.pmod(F.xxhash64("query_id"), F.col("q_tiles")).cast("int").alias("q_tile"),
-        F.explode(F.sequence(F.lit(0), F.col("r_tiles") - 1)).alias("r_tile"),
-        "query_id",
-        "vector",
-    )
-    r_side = placed.join(tiles, "cell").select(
-        "cell",
-        F.explode(F.sequence(F.lit(0), F.col("q_tiles") - 1)).alias("q_tile"),
-        F.pmod(F.xxhash64("ref_id"), F.col("r_tiles")).cast("int").alias("r_tile"),
-        "ref_id",
-        "vector",
-    )
-
-    def tile(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        r = r.sort_values("ref_id")
-        return _block_top(
-            q["query_id"].to_numpy("int64"),
-            _matrix(q["vector"]),
-            r["ref_id"].to_numpy("int64"),
-            _matrix(r["vector"]),
-            k,
-            metric,
-            skip_same,
-        )
-
-    keys = ["cell", "q_tile", "r_tile"]
-    pairs = (
-        q_side.groupBy(*keys).cogroup(r_side.groupBy(*keys)).applyInPandas(tile, _PAIR_SCHEMA)
-    )
-    return _ranked(pairs, k, metric)
+    return queries.mapInPandas(search, _PAIR_SCHEMA)
 
 
 def vote(
@@ -266,7 +180,10 @@ def two_stage_label(queries: DataFrame, level_1: DataFrame, level_2: DataFrame)
     ("Other") is a row of both like any other.  The labels of one parent are few, so they join as
     candidates of the queries that chose the parent; the choice is an aggregate per query.
     """
-    numbered = level_1.withColumn("ref_id", F.xxhash64("label"))
+    # Numbered in order of the labels, so that a tie goes to the smaller label.
+    keyed = level_1.withColumn("all", F.lit(0))
+    code = dense_index(keyed, "all", "label").select("label", F.col("code").cast("long").alias("ref_id"))
+    numbered = level_1.join(code, "label")
     first = nearest_label(queries, numbered).withColumnsRenamed(
         {"best": "label_1", "score": "score_1"}
     )

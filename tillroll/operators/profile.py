@@ -8,12 +8,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.numbers import half_up
 from tillroll.operators.quantiles import exact_quantiles
-from tillroll.session import small
+from tillroll.session import materialize, small
 
 STATISTICS = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
 
@@ -143,8 +143,9 @@ def histogram(
     keys = [by] if by else []
     value = F.col(column).cast("double")
     values = df.select(*keys, value.alias("v")).filter(F.col("v").isNotNull())
-    # Distinct values are fewer than rows and carry their counts through the join.
-    counts = values.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
+    # Distinct values are fewer than rows and carry their counts through the join; written once, as
+    # bounds and bins both read them.
+    counts = materialize(values.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n")))
     bounds = counts.groupBy(*keys).agg(
         F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total")
     )
@@ -165,11 +166,7 @@ def histogram(
 def run_summary(df: DataFrame, parameters: dict[str, str], label: str = "label") -> DataFrame:
     """Group sizes and shares, with the parameters of the run on every row."""
     sizes = group_size(df, label)
-    rows = Window.partitionBy()
-    return sizes.select(
-        *[F.lit(value).alias(name) for name, value in parameters.items()],
-        F.sum("cnt").over(rows).alias("data_length"),
-        label,
-        "cnt",
-        "pct",
+    total = sizes.agg(F.sum("cnt").alias("data_length"))
+    return sizes.crossJoin(F.broadcast(total)).select(  # one row by construction (global aggregate)
+        *[F.lit(value).alias(name) for name, value in parameters.items()], "data_length", label, "cnt", "pct"
     )

@@ -22,9 +22,10 @@ def exact_quantiles(
     The groups are few (segments, categories); their rows may be many.  Groups of up to
     ``exact_limit`` rows use the built-in exact aggregate.  Larger ones never bring their values
     together: counting passes narrow the value range around each wanted rank until at most
-    ``exact_limit`` rows are left in it.
+    ``exact_limit`` rows are left in it, or until a pass narrows it no further.  NaN counts as missing.
     """
-    numeric = df.select(*groups, *[F.col(c).cast("double").alias(c) for c in columns])
+    known = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns]
+    numeric = df.select(*groups, *known)
     largest = numeric.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     wanted = F.array(*[F.lit(float(p)) for p in probs])
     if (largest or 0) <= exact_limit:
@@ -56,7 +57,7 @@ def exact_quantiles(
 
 def _by_narrowing(long, keys, bounds, probs, exact_limit) -> DataFrame:
     spark = long.sparkSession
-    open_ranks, found = {}, {}
+    open_ranks, found, stuck = {}, {}, set()
     for b in bounds:
         key = tuple(b[k] for k in keys)
         for p in probs:
@@ -77,7 +78,7 @@ def _by_narrowing(long, keys, bounds, probs, exact_limit) -> DataFrame:
             if lo == hi:
                 found[state] = lo
                 del open_ranks[state]
-        large = {s: r for s, r in open_ranks.items() if r[3] > exact_limit}
+        large = {s: r for s, r in open_ranks.items() if r[3] > exact_limit and s not in stuck}
         if not large:
             break
         bucket = F.least(F.lit(BINS), F.width_bucket("value", "lo", "hi", F.lit(BINS)))
@@ -95,6 +96,8 @@ def _by_narrowing(long, keys, bounds, probs, exact_limit) -> DataFrame:
             for row in sorted(rows, key=lambda r: r["lo"]):
                 if offset < row["n"]:
                     open_ranks[state] = (row["lo"], row["hi"], offset, row["n"])
+                    if open_ranks[state] == large[state]:  # infinite bounds can't be cut into bins
+                        stuck.add(state)
                     break
                 offset -= row["n"]
     if open_ranks:
@@ -121,5 +124,6 @@ def _by_narrowing(long, keys, bounds, probs, exact_limit) -> DataFrame:
             position = p * (b["n"] - 1)
             low = found[(key, math.floor(position))]
             high = found[(key, math.ceil(position))]
-            out.append((*key, float(p), low + (high - low) * (position - math.floor(position))))
+            part = position - math.floor(position)
+            out.append((*key, float(p), low if part == 0 or low == high else low + (high - low) * part))
     return spark.createDataFrame(out, f"{key_schema}, prob double, value double")

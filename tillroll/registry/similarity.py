@@ -252,7 +252,7 @@ other AS (
 level_1 AS (
   SELECT 'G' || g AS label, list(x ORDER BY pos) AS e FROM (
     SELECT label % 3 AS g, pos, avg(x) AS x FROM cell GROUP BY 1, 2) m GROUP BY g
-  UNION ALL SELECT 'Other', e FROM other),
+  UNION ALL SELECT 'Other', e FROM other UNION ALL SELECT 'G9', e FROM other),
 below AS (SELECT parent, label, e FROM level_2
           UNION ALL SELECT l.label, 'Other', o.e FROM level_1 l, other o),
 vec AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"""
@@ -296,7 +296,8 @@ def q_two_stage_label(spark, sf):
         F.col("all").alias("label"), "vector"
     )
     level_1 = nb.mean_vectors(data.withColumn("g", group), "g").select(F.col("g").alias("label"), "vector")
-    level_1 = level_1.unionByName(other)
+    # A second label with the vector of the rest label: every query that is nearest to it is a tie.
+    level_1 = level_1.unionByName(other).unionByName(other.withColumn("label", F.lit("G9")))
     level_2 = nb.mean_vectors(data, "label").select(
         group.alias("parent"), F.col("label").cast("string").alias("label"), "vector"
     )
