@@ -42,6 +42,21 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+#: Bounds of a table of keys that is broadcast: about 100 MB as a hash table.
+KEY_ROWS, KEY_BYTES = 1_000_000, 1 << 25
+
+
+def broadcast_keys(keys: DataFrame, size: Column | None = None) -> DataFrame:
+    """A written table of keys, marked for broadcast while it is below the bounds.
+
+    The other side of the join, whole texts, then stays where it is.  A larger table is left to a
+    shuffled join.  ``size``: bytes of a row, by default those of its values as text.
+    """
+    of_row = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in keys.columns), F.lit(0))
+    n, total = keys.agg(F.count(F.lit(1)), F.sum(of_row if size is None else size)).first()
+    return F.broadcast(keys) if n <= KEY_ROWS and (total or 0) <= KEY_BYTES else keys
+
+
 def arrow_batches(spark: SparkSession, rows: int = 512) -> None:
     """Hand texts to Python workers in batches that stay small even if texts are long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

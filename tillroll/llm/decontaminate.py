@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import NOT_WORD, same, words
+from tillroll.llm.common import NOT_WORD, broadcast_keys, same, words
 from tillroll.session import materialize
 
 #: Words in a window.
@@ -163,7 +163,8 @@ def remove_documents(
 ) -> DataFrame:
     """``docs`` without the contaminated documents; all columns, clean rows unchanged."""
     bad = contamination(docs, benchmark, id_column, text, **options).filter("contaminated")
-    return docs.join(materialize(_of_rows(bad, id_column)), _same_row(id_column, text), "left_anti")
+    keys = broadcast_keys(materialize(_of_rows(bad, id_column)))
+    return docs.join(keys, _same_row(id_column, text), "left_anti")
 
 
 def remove_spans(
@@ -182,7 +183,7 @@ def remove_spans(
     )
     cut = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(F.concat(F.array_join(kept, ""), tail))
     return (
-        docs.join(found, _same_row(id_column, text), "left")
+        docs.join(broadcast_keys(found, 32 + 8 * F.size("__spans")), _same_row(id_column, text), "left")
         .withColumn(text, cut)
         .drop("__found_id", "__found_hash", "__spans")
     )

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import matches, same
+from tillroll.llm.common import broadcast_keys, matches, same
 from tillroll.session import materialize
 
 #: Kinds in the order of the results.
@@ -259,7 +259,7 @@ def redact(
     cut_text = F.concat(F.array_join(F.transform("__cuts", piece), ""), tail)
     both = same(F.col(id_column), F.col("__id")) & (F.xxhash64(text) == F.col("__hash"))
     kept = F.col("__cuts").isNull()
-    out = docs.join(cuts, both, "left").withColumn(text, F.when(kept, whole).otherwise(cut_text))
+    out = docs.join(broadcast_keys(cuts, 32 + 24 * F.size("__cuts")), both, "left").withColumn(text, F.when(kept, whole).otherwise(cut_text))
     if length:
         kind = docs.schema[length].dataType
         out = out.withColumn(length, F.when(kept, F.col(length)).otherwise(F.char_length(text).cast(kind)))

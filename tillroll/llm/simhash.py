@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import arrow_batches, same
+from tillroll.llm.common import arrow_batches, broadcast_keys, same
 from tillroll.operators.density import connected_components
 from tillroll.session import materialize
 
@@ -420,7 +420,7 @@ def drop_near_copies(
     dropped = materialize(
         rows.filter(key != F.col("kept")).select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     )
-    left = docs.join(dropped, same(F.col(id_column), F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left_anti")
+    left = docs.join(broadcast_keys(dropped), same(F.col(id_column), F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left_anti")
     repeated = rows.filter(key == F.col("kept")).groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     if repeated.filter("n > 1").limit(1).count() == 0:
         return left
