@@ -138,6 +138,28 @@ def test_name_clusters_split_unlike_names(spark):
     assert got[names[0]] != got[names[8]]
 
 
+def test_names_without_long_tokens_keep_a_row(spark):
+    names = [f"red ring r{i}x" for i in range(6)] + ["a b", "!!!", "c"]
+    df = spark.createDataFrame([("c", n) for n in names] + [("d", "x y"), ("d", "z")], "category string, item_name string")
+    df = df.withColumn("tokens", F.split("item_name", " "))
+    got = {(r["category"], r["item_name"]): r["cluster"] for r in nm.name_clusters(df, 2).collect()}
+    assert len(got) == 11
+    assert len({got["c", n] for n in ("a b", "c")}) == 1 and got["c", "a b"] != got["c", "red ring r0x"]
+
+
+def test_classes_are_the_same_in_blocks(spark):
+    names = ["red ring", "hot plate red", "old", "!!!", "", None, "ring ring plate"]
+    df = spark.createDataFrame([(n,) for n in names], "product string")
+    rows = [("red", [0.5, 0.1, 0.4]), ("ring", [0.2, 0.7, 0.1]), ("plate", [0.3, 0.3, 0.4]), ("ring ring", [0.0, 1.0, 0.0])]
+    weights = spark.createDataFrame(rows, "gram string, weights array<double>")
+    got = [
+        sorted(map(tuple, nm.classify_names(df, weights, 3, bias=[0.0, 0.01, 0.1], unknown=[0.1, 0.2, 0.0], max_values=m).collect()), key=repr)
+        for m in (1000, 3)
+    ]
+    assert got[0] == got[1] and len(got[0]) == 7
+    assert dict((r[0], r[1:]) for r in got[0])["!!!"] == (3, 0.1)
+
+
 def test_trained_weights_agree_with_the_model(spark):
     data = [("red ring", "ring"), ("hot plate", "plate"), ("old ring", "ring"), ("new plate", "plate")]
     df = spark.createDataFrame(data, "product string, kind string")

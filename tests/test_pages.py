@@ -42,7 +42,7 @@ def test_nested_matches_count_texts_once(spark):
 def test_null_and_empty_pages(spark):
     df = spark.createDataFrame([(1, "u", None), (2, "v", "")], "page_id long, url string, html string")
     assert pg.links_in(df, "nav").count() == 0
-    records = pg.product_records_a(df, day()).collect()
+    records = pg.with_tiers(pg.product_records_a(df, day())).collect()
     assert len(records) == 2 and records[0]["item_brand"] is None and records[0]["tier1"] is None
 
 
@@ -60,7 +60,7 @@ RECORD_A = """
 
 
 def test_record_a(spark):
-    r = pg.product_records_a(page(spark, RECORD_A), day()).first()
+    r = pg.with_tiers(pg.product_records_a(page(spark, RECORD_A), day()), least=3).first()
     assert (r["item_brand"], r["item_name"]) == ("B", "B tea")
     assert (r["market_price"], r["promotional_price"], r["discounted_price"]) == (1290, None, 9)
     assert r["item_spec"] == {"香味": "花"} and r["data_date"] == "20230825"
@@ -130,8 +130,10 @@ def test_drain_continues_where_it_stopped(spark, tmp_path):
     push(["b", "c"], 2)
     push(["d"], 60)
     push(["a", "d"], 62)  # the first "a" is older than the interval
+    push(["e", "e", "d"], -600)  # far behind all others: a new key and a repeat after the interval
+    push(["a"], 59)  # late, but less than the interval before one that was let through
     got = sorted(r["hash_id"] for r in spark.read.parquet(out).collect())
-    assert got == ["a", "a", "b", "c", "d"]
+    assert got == ["a", "a", "b", "c", "d", "d", "e"]
 
 
 def test_stream_routing_and_fan_out(spark, tmp_path):

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # Text in a category link that tells its tier, checked in this order.
 TIER_MARKS = {"tier4": "DgrpCategory", "tier3": "MgrpCategory", "tier2": "LgrpCategory"}
-MAX_TIERS = 5
 # End of fixed values.
 
 
@@ -74,9 +73,9 @@ def tier_path(tiers: Column, base: str = "content") -> Column:
     return F.concat_ws("/", F.lit(base), F.filter(names, lambda t: t != ""))
 
 
-def tier_columns(tiers: Column) -> dict[str, Column]:
-    """``tier1 .. tier5`` of a tier list, null where it is shorter."""
-    return {f"tier{i + 1}": F.get(tiers, i) for i in range(MAX_TIERS)}
+def tier_columns(tiers: Column, depth: int) -> dict[str, Column]:
+    """``tier1 .. tier<depth>`` of a tier list, null where it is shorter."""
+    return {f"tier{i + 1}": F.get(tiers, i) for i in range(depth)}
 
 
 def deepest_tier(columns: list[str]) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
@@ -27,6 +29,7 @@ from tillroll.operators.learning import row_matrix
 from tillroll.session import materialize
 
 PARALLEL_CATEGORIES = 4
+MAX_WEIGHT_VALUES = 8_000_000  # numbers in a broadcast weight matrix: 64 MB
 MAX_GRAM_WIDTH = 4_096  # a square matrix of this width is 128 MB on the driver
 
 
@@ -36,7 +39,7 @@ def name_clusters(
     category: str = "category",
     name: str = "item_name",
     tokens: str = "tokens",
-    rank: int = 50,
+    rank: int | None = None,
     seed: int = 42,
     max_iter: int = 100,
 ) -> DataFrame:
@@ -44,8 +47,8 @@ def name_clusters(
 
     The profile of a name is its row of cosines with all names of the category.  With unit rows
     ``X = U S V'`` the rows of ``X X'`` and of ``X V S`` have the same distances, so K-means on the
-    latter needs no square matrix.  ``rank`` limits the kept singular values; it is exact where the
-    vocabulary of a category is not larger.  Tokens of one character are left out.
+    latter needs no square matrix.  All singular values are kept, which is exact; ``rank`` keeps fewer
+    on request.  Tokens of one character are left out; a name without any other has the zero profile.
     """
     long_tokens = F.filter(tokens, lambda t: F.length(t) > 1)
     rows = materialize(
@@ -66,12 +69,15 @@ def name_clusters(
 
 def _profile_clusters(part: DataFrame, name: str, k, rank, seed, max_iter) -> DataFrame:
     spark = part.sparkSession
-    counter = CountVectorizer(inputCol="_tokens", outputCol="_counts")
+    width = part.select(F.explode("_tokens").alias("t")).agg(F.count_distinct("t")).first()[0]
+    if not width:
+        return part.select(name, F.lit(0).alias("cluster"))
+    counter = CountVectorizer(inputCol="_tokens", outputCol="_counts", vocabSize=width)
     norm = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0)
     model = Pipeline(stages=[counter, norm]).fit(part)
     units = model.transform(part)
     vocabulary = model.stages[0].vocabulary
-    loads = _loads(row_matrix(units, "_unit"), len(vocabulary), rank)
+    loads = _loads(row_matrix(units, "_unit"), len(vocabulary), rank or len(vocabulary))
     table = spark.createDataFrame(
         [(t, [float(x) for x in row]) for t, row in zip(vocabulary, loads)],
         "token string, load array<double>",
@@ -90,7 +96,10 @@ def _profile_clusters(part: DataFrame, name: str, k, rank, seed, max_iter) -> Da
         .groupBy(name)
         .agg(Summarizer.sum(array_to_vector(scaled)).alias("_vector"))
     )
-    vectors = materialize(vectors)
+    zero = array_to_vector(F.array(*[F.lit(0.0)] * len(loads[0])))
+    vectors = materialize(
+        part.select(name).join(vectors, name, "left").withColumn("_vector", F.coalesce("_vector", zero))
+    )
     means = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_vector", predictionCol="cluster")
     return means.fit(vectors).transform(vectors).select(name, "cluster")
 
@@ -171,36 +180,80 @@ def classify_names(
     name: str = "product",
     bias: list[float] | None = None,
     unknown: list[float] | None = None,
+    max_values: int = MAX_WEIGHT_VALUES,
 ) -> DataFrame:
     """Class with the best score for every distinct name: ``(name, class_no, score)``.
 
     The score of a class is the mean weight over the grams of the name plus the bias.  ``weights``
-    has one row per gram with one weight per class; grams without a row take ``unknown``.  Classes
-    are numbered from 1 and ties go to the smaller number.
+    has one row per gram with one weight per class; grams without a row take ``unknown``.  A name
+    without grams is scored by the bias alone.  Classes are numbered from 1 and ties go to the smaller
+    number.
+
+    The weights are a matrix whose size is counted; names are scored where they are, in Arrow batches.
+    A larger matrix is cut into blocks of grams, whose sums per name are added up.
     """
-    zeros = [0.0] * n_classes
-    known = F.coalesce("weights", F.lit(unknown or zeros))
-    grams = gram_counts(names.select(name).distinct(), name, name)
-    # A left join keeps unknown grams; one row per gram keeps a frequent gram from fanning out.
-    summed = (
-        grams.join(weights, "gram", "left")
-        .withColumn("_v", array_to_vector(known))
-        .groupBy(name)
-        .agg(Summarizer.mean(F.col("_v"), F.col("n").cast("double")).alias("_mean"))
-    )
-    scores = F.zip_with(vector_to_array("_mean"), F.lit(bias or zeros), lambda a, b: a + b)
-    best = F.array_max(
-        F.transform(scores, lambda s, i: F.struct(F.round(s, 9).alias("score"), (-i).alias("minus")))
+    distinct = names.select(name).distinct()
+    own = F.coalesce(text.with_bigrams(text.name_tokens(F.col(name))), F.array().cast("array<string>"))
+    grams = distinct.select(name, own.alias("grams"))
+    n_blocks = max(1, -(-weights.count() * n_classes // max_values))
+    block = F.pmod(F.xxhash64("gram"), F.lit(n_blocks))
+    sums = [
+        _block_sums(grams, weights.filter(block == b) if n_blocks > 1 else weights, n_classes, name)
+        for b in range(n_blocks)
+    ]
+    if n_blocks == 1:
+        summed = sums[0]
+    else:
+        cells = reduce(DataFrame.unionAll, sums).select(name, "n", "known", F.posexplode("sums").alias("c", "x"))
+        per_class = cells.groupBy(name, "n", "c").agg(F.sum("known").alias("known"), F.sum("x").alias("x"))
+        in_order = F.sort_array(F.collect_list(F.struct("c", "x")))
+        summed = per_class.groupBy(name, "n", "known").agg(F.transform(in_order, lambda s: s["x"]).alias("sums"))
+    per_unknown, start = F.lit(unknown or [0.0] * n_classes), F.lit(bias or [0.0] * n_classes)
+
+    def score(total: F.Column, i: F.Column) -> F.Column:
+        mean = (total + (F.col("n") - F.col("known")) * F.get(per_unknown, i)) / F.col("n")
+        return F.when(F.col("n") > 0, mean).otherwise(0.0) + F.get(start, i)
+
+    ranked = F.transform(
+        F.transform("sums", score), lambda s, i: F.struct(F.round(s, 9).alias("score"), (-i).alias("minus"))
     )
-    return summed.withColumn("_best", best).select(
+    return summed.withColumn("_best", F.array_max(ranked)).select(
         name, (1 - F.col("_best.minus")).alias("class_no"), F.col("_best.score").alias("score")
     )
 
 
+def _block_sums(grams: DataFrame, weights: DataFrame, n_classes: int, name: str) -> DataFrame:
+    """Sums of the weights of a counted block: ``(name, n, known, sums)``, one row per name."""
+    local = weights.select("gram", "weights").toPandas()
+    matrix = np.array(local["weights"].tolist(), float).reshape(len(local), n_classes)
+    held = grams.sparkSession.sparkContext.broadcast(({g: i for i, g in enumerate(local["gram"])}, matrix))
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, values = held.value
+        for b in batches:
+            rows = [[place[g] for g in own if g in place] for own in b["grams"]]
+            yield pd.DataFrame(
+                {
+                    name: b[name],
+                    "n": b["grams"].map(len),
+                    "known": [len(r) for r in rows],
+                    "sums": [values[r].sum(0) for r in rows],
+                }
+            )
+
+    return grams.mapInPandas(add, f"`{name}` string, n long, known long, sums array<double>")
+
+
 def train_classifier(
-    df: DataFrame, name: str, label: str, max_iter: int = 20, vocabulary: int = 1 << 18
+    df: DataFrame, name: str, label: str, max_iter: int = 20, vocabulary: int | None = None
 ) -> PipelineModel:
-    """Linear classifier over the mean of the gram vectors of a name."""
+    """Linear classifier over the mean of the gram vectors of a name.
+
+    All grams have a vector; ``vocabulary`` keeps only the most frequent ones on request.
+    """
+    if vocabulary is None:
+        grams = with_grams(df, name).select(F.explode("_grams").alias("g"))
+        vocabulary = max(1, grams.agg(F.count_distinct("g")).first()[0])
     stages = [
         StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc"),
         CountVectorizer(inputCol="_grams", outputCol="_counts", vocabSize=vocabulary),

@@ -11,6 +11,7 @@ from tillroll.functions import html as h
 from tillroll.functions import links as lk
 from tillroll.functions.numbers import price, strip_noise
 from tillroll.functions.text import clean
+from tillroll.session import materialize
 
 # Price and rating labels of shop A, the constant removed from shop B's activities.
 PRICE_LABELS = {
@@ -43,6 +44,17 @@ def _link_rows(elements: Column) -> Column:
     )
 
 
+def _link_rows_of(tiers: Column, elements: Column) -> Column:
+    """Link rows that carry the first two tiers of their page."""
+
+    def row(a: Column) -> Column:
+        first = F.get(tiers, 0).alias("tier1_category_name")
+        second = F.coalesce(F.get(tiers, 1), F.lit("")).alias("tier2_category_name")
+        return F.struct(first, second, *[a[c].alias(c) for c in ("pos", "text", "link")])
+
+    return F.transform(_link_rows(elements), row)
+
+
 def links_in(pages: DataFrame, *path: str) -> DataFrame:
     """Links below the selected elements: ``(page_id, url, pos, text, link)`` in document order."""
     return (
@@ -92,17 +104,13 @@ def category_rows(
     Pages without a first tier give no rows.
     """
     tiers = lk.breadcrumb(h.all_texts(F.col("el.crumb")))
+    # The rows are filtered behind the explode: a filter on the parsed page itself would be moved below
+    # it and parse every page a second time.
     listed = (
         parsed(pages, {"link": (*menu, "a"), "crumb": crumbs})
-        .withColumn("tiers", tiers)
-        .filter(F.coalesce(F.get("tiers", 0), F.lit("")) != "")
-        .select(
-            "page_id",
-            F.get("tiers", 0).alias("tier1_category_name"),
-            F.coalesce(F.get("tiers", 1), F.lit("")).alias("tier2_category_name"),
-            F.explode(_link_rows(F.col("el.link"))).alias("a"),
-        )
-        .select("page_id", "tier1_category_name", "tier2_category_name", "a.*")
+        .select("page_id", F.explode(_link_rows_of(tiers, F.col("el.link"))).alias("a"))
+        .filter(F.coalesce("a.tier1_category_name", F.lit("")) != "")
+        .select("page_id", "a.*")
     )
     link = lk.absolute_link(F.col("link"), host)
     if old_host:
@@ -300,7 +308,7 @@ def product_records_a(pages: DataFrame, data_date: Column) -> DataFrame:
         for name, label in INDICATORS.items()
     }
     activity = F.regexp_replace(F.array_join(h.all_texts(el("activity")), ""), "[ \\n]", "")
-    record = parsed(pages, SELECTORS_A).select(
+    return parsed(pages, SELECTORS_A).select(
         "page_id",
         h.first_text(el("brand")).alias("item_brand"),
         F.trim(F.array_join(h.all_texts(el("name")), "")).alias("item_name"),
@@ -324,7 +332,16 @@ def product_records_a(pages: DataFrame, data_date: Column) -> DataFrame:
         lk.breadcrumb(h.all_texts(el("crumb"))).alias("tiers"),
         lk.link_key(F.col("url")).alias("hash_id"),
     )
-    return record.withColumns(lk.tier_columns(F.col("tiers")))
+
+
+def with_tiers(records: DataFrame, tiers: str = "tiers", least: int = 1) -> DataFrame:
+    """Add ``tier1, tier2, ...`` as deep as the deepest tier list, ``least`` of them at least.
+
+    The records are written once, so that finding the depth does not parse the pages again.
+    """
+    stored = materialize(records)
+    depth = stored.agg(F.max(F.size(tiers))).first()[0] or 0
+    return stored.withColumns(lk.tier_columns(F.col(tiers), max(depth, least)))
 
 
 def _cards_b() -> Column:

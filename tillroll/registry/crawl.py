@@ -79,25 +79,25 @@ def q_link_clean(spark, sf):
     )
 
 
+# Every tenth page has four more entries in its menu.
+DEEPER = '<li><a href="/x6">x 6</a></li><li><a href="/x7">x7</a></li><li><a href="/x8">x8</a></li><li><a href="/x9">x9</a></li>'
+DEPTH = 9
+
+
 @query(
     "breadcrumb",
-    """SELECT page_id, list_extract(t, 1) AS tier1, list_extract(t, 2) AS tier2,
+    f"""SELECT page_id, {", ".join(f"list_extract(t, {i}) AS tier{i}" for i in range(1, DEPTH + 1))},
   'content/' || array_to_string(t, '/') AS path FROM (
   SELECT page_id, list_transform(m, lambda x: replace(x, ' ', ''))[2:] AS t FROM (
-    SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>.*?</nav>', 0), '<a href="[^"]*">([^<]*)</a>', 1) AS m
+    SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>.*?</nav>', 0), '<a href="[^"]*">([^<]*)</a>', 1)
+      || CASE page_id % 10 WHEN 0 THEN ['x 6', 'x7', 'x8', 'x9'] ELSE [] END AS m
     FROM pages) p) q""",
 )
 def q_breadcrumb(spark, sf):
-    tiers = pg.page_tiers(pages(spark, sf), "nav", "ul", "li")
-    columns = lk.tier_columns(F.col("tiers"))
-    return tiers.select(
-        "page_id",
-        columns["tier1"].alias("tier1"),
-        columns["tier2"].alias("tier2"),
-        lk.tier_path(F.col("tiers")).alias("path"),
-    )
-
-
+    longer = F.replace("html", F.lit("</ul></nav>"), F.lit(DEEPER + "</ul></nav>"))
+    deep = pages(spark, sf).withColumn("html", F.when(F.col("page_id") % 10 == 0, longer).otherwise(F.col("html")))
+    tiers = pg.with_tiers(pg.page_tiers(deep, "nav", "ul", "li"), least=DEPTH)
+    return tiers.withColumn("path", lk.tier_path(F.col("tiers"))).drop("url", "tiers")
 
 
 @query(
@@ -238,19 +238,35 @@ def folder(spark, name):
     return f"{durable_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Each copy of a link comes as a file of its own: one on time, one a minute later, one a day before or
+# after.  The day is longer than the interval, so every link comes out twice, whatever the order.
+DEDUP_DAYS = 1
+
+
 @query(
     "stream_dedup",
-    f"WITH {COPIES} SELECT DISTINCT sha256(link) AS hash_id, link FROM copies",
+    f"""WITH {COPIES}, links AS (SELECT DISTINCT link FROM copies)
+SELECT sha256(link) AS hash_id, link, DATE '2024-01-01' + CAST(d AS INTEGER) AS day
+FROM links, (VALUES (0), ({DEDUP_DAYS})) days(d) WHERE len(link) % 2 = 0
+UNION ALL
+SELECT sha256(link), link, DATE '2024-01-01' - CAST(d AS INTEGER)
+FROM links, (VALUES (0), ({DEDUP_DAYS})) days(d) WHERE len(link) % 2 = 1""",
 )
 def q_stream_dedup(spark, sf):
     source, out, mark = (folder(spark, f"dedup-{x}") for x in ("in", "out", "mark"))
-    stamped = copies(spark, sf).select(
-        lk.link_key(F.col("link")).alias("hash_id"), "link", F.lit(dt.datetime(2024, 1, 1)).alias("ts")
-    )
-    stamped.write.json(source)
-    stream = qu.messages(spark, source, "hash_id string, link string, ts timestamp")
-    qu.drain(qu.dedup(stream).select("hash_id", "link"), out, mark)
-    return spark.read.parquet(out)
+    length = F.length("link")
+    noon = F.lit(dt.datetime(2024, 1, 1, 12)) + F.make_dt_interval(mins=length)
+    day = F.when(length % 2 == 0, DEDUP_DAYS).otherwise(-DEDUP_DAYS)
+    shift = {1: F.make_dt_interval(mins=F.lit(1)), 2: F.make_dt_interval(days=day), 0: F.make_dt_interval()}
+    rows = copies(spark, sf).withColumn("copy", F.col("seq") % 3)
+    for copy, later in shift.items():
+        stamped = rows.filter(F.col("copy") == copy).select(
+            lk.link_key(F.col("link")).alias("hash_id"), "link", (noon + later).alias("ts")
+        )
+        stamped.write.mode("append").json(source)
+    stream = qu.messages(spark, source, "hash_id string, link string, ts timestamp", files_per_batch=2)
+    qu.drain(qu.dedup(stream), out, mark)
+    return spark.read.parquet(out).select("hash_id", "link", F.col("ts").cast("date").alias("day"))
 
 
 @query(
@@ -344,7 +360,7 @@ def pages_a(spark, sf):
 FROM part""",
 )
 def q_product_record_a(spark, sf):
-    records = pg.product_records_a(pages_a(spark, sf), F.lit(v.TODAY))
+    records = pg.with_tiers(pg.product_records_a(pages_a(spark, sf), F.lit(v.TODAY)), least=3)
     prefix = "goods_commend_indicator_"
     return records.select(
         "page_id", "item_brand", "item_name", "market_price", "promotional_price", "discounted_price",

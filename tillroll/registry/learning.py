@@ -304,7 +304,8 @@ score AS (
 classified AS (
   SELECT item_name, class_no, score FROM (
     SELECT *, row_number() OVER (PARTITION BY item_name ORDER BY score DESC, class_no) AS r
-    FROM score) t WHERE r = 1)"""
+    FROM score) t WHERE r = 1
+  UNION ALL SELECT DISTINCT item_name, 1, 0.0 FROM toks WHERE len(t) = 0)"""
 
 
 def class_case():

@@ -22,7 +22,10 @@ def products(spark, sf):
     decor = F.get(F.array(*[F.lit(d) for d in DECOR]), F.col("p_size") % 5)
     return v.table(spark, sf, "part").select(
         "p_partkey",
-        F.concat("p_name", F.lit(" "), decor).alias("item_name"),
+        F.when(F.col("p_partkey") % 97 == 0, "!!!")  # a name without tokens
+        .when(F.col("p_partkey") % 89 == 0, "a b")  # and one with tokens of one character only
+        .otherwise(F.concat("p_name", F.lit(" "), decor))
+        .alias("item_name"),
         F.col("p_brand").alias("item_type"),
         F.col("p_type").alias("category"),
         F.col("p_size").alias("item"),
@@ -31,7 +34,8 @@ def products(spark, sf):
 
 _DECOR_CASE = " ".join(f"WHEN {i} THEN '{d}'" for i, d in enumerate(DECOR))
 V_PRODUCT = f"""v_product AS (
-  SELECT p_partkey, p_name || ' ' || CASE p_size % 5 {_DECOR_CASE} END AS item_name,
+  SELECT p_partkey, CASE WHEN p_partkey % 97 = 0 THEN '!!!' WHEN p_partkey % 89 = 0 THEN 'a b'
+           ELSE p_name || ' ' || CASE p_size % 5 {_DECOR_CASE} END END AS item_name,
          p_brand AS item_type, p_type AS category, p_size AS item
   FROM part)"""
 

@@ -6,8 +6,13 @@ once even if executors or the driver are lost and the drain is started again.
 
 from __future__ import annotations
 
+from bisect import bisect
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 # Status codes and the number of attempts after which a link is given up.
 DONE, TIMEOUT, TOO_MANY, FAILED = 200, 408, 429, 500
@@ -21,9 +26,38 @@ def messages(spark: SparkSession, path: str, schema: str, files_per_batch: int =
     return reader.json(path)
 
 
-def dedup(stream: DataFrame, key: str = "hash_id", ts: str = "ts", interval: str = "5 minutes") -> DataFrame:
-    """Drop repeats of a key that come within the interval; older state is forgotten."""
-    return stream.withWatermark(ts, interval).dropDuplicatesWithinWatermark([key])
+def dedup(
+    stream: DataFrame,
+    key: str = "hash_id",
+    ts: str = "ts",
+    interval: str = "5 minutes",
+) -> DataFrame:
+    """Drop a message if one with its key was let through less than ``interval`` before or after it.
+
+    Messages may come in any order: every key comes out at least once, however late, and again when it
+    repeats after the interval.  The state of a key is the times at which it was let through; it is kept
+    as long as the checkpoint, because a key that was forgotten could not be told from a new one.  A
+    null time counts as the epoch.
+    """
+    step = pd.Timedelta(interval) // pd.Timedelta(microseconds=1)
+
+    def let_through(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        passed = sorted(state.get[0]) if state.exists else []
+        for part in frames:
+            times = part[ts].fillna(pd.Timestamp(0)).astype("datetime64[us]").astype("int64")
+            kept = []
+            for row, t in times.sort_values(kind="stable").items():
+                at = bisect(passed, t)
+                near = passed[max(0, at - 1) : at + 1]
+                if all(abs(t - x) >= step for x in near):
+                    passed.insert(at, t)
+                    kept.append(row)
+            yield part.loc[kept]
+        state.update((passed,))
+
+    return stream.groupBy(key).applyInPandasWithState(
+        let_through, stream.schema, "passed array<long>", "append", GroupStateTimeout.NoTimeout
+    )
 
 
 def fan_out(stream: DataFrame, children: str, name: str) -> DataFrame:
