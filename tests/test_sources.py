@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from conftest import rows
@@ -68,11 +69,46 @@ def test_durable_dir_needs_a_shared_folder_on_a_cluster():
     from tillroll import session
 
     class Conf:
+        def __init__(self, master):
+            self.master = master
+
         def get(self, key, default=None):
-            return "yarn" if key == "spark.master" else default
+            return self.master if key == "spark.master" and self.master else default
 
-    class Fake:
-        conf = Conf()
+    for master in ("yarn", None):  # an unknown master may be a cluster
+        fake = type("Fake", (), {"conf": Conf(master)})()
+        with pytest.raises(ValueError):
+            session.durable_dir(fake)
+        assert not session.is_local(fake)
 
-    with pytest.raises(ValueError):
-        session.durable_dir(Fake())
+
+def test_release_deletes_what_a_run_wrote(spark):
+    from tillroll import session
+
+    session.release(spark)
+    kept = session.materialize(spark.range(5))
+    folder = kept.inputFiles()[0].rpartition("/")[0].removeprefix("file:").replace("//", "")
+    assert os.path.isdir(folder) and kept.count() == 5
+    assert session.release(spark) == 1 and not os.path.exists(folder) and session.release(spark) == 0
+
+
+def test_small_is_bounded_in_rows_and_bytes(spark):
+    from tillroll import session
+
+    def local(df):
+        return "LocalTableScan" in df._jdf.queryExecution().executedPlan().toString()
+
+    texts = spark.range(50).selectExpr("id", "repeat('x', 1000) AS t")
+    assert local(session.small(texts)) and session.small(texts).count() == 50
+    for bounded in (session.small(texts, max_rows=49), session.small(texts, max_bytes=40_000)):
+        assert not local(bounded) and bounded.count() == 50
+    assert local(session.small(spark.range(50))) and not local(session.small(spark.range(50), max_rows=49))
+
+
+def test_texts_survive_csv(spark, tmp_path):
+    texts = ["", None, "  x  ", 'a "q", b', '"', "one\r\ntwo\rthree\n", "\\", "\\ n", "é|,", "\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    for sep in (",", "|"):
+        sinks.write_csv(df, str(tmp_path / "t"), sep=sep)
+        back = files.read_csv(spark, str(tmp_path / "t"), "i int, t string", sep=sep, own=True)
+        assert {r["i"]: r["t"] for r in back.collect()} == dict(enumerate(texts))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from tillroll.functions import links as lk
 from tillroll.operators import pages as pg
 from tillroll.registry import views as v
 from tillroll.registry.base import query
-from tillroll.session import durable_dir
+from tillroll.session import run_folder
 from tillroll.streaming import queue as qu
 
 HOST = "https://shop.example.com"
@@ -235,7 +234,7 @@ def q_last_attempt(spark, sf):
 
 
 def folder(spark, name):
-    return f"{durable_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return run_folder(spark, name)
 
 
 # Each copy of a link comes as a file of its own: one on time, one a minute later, one a day before or

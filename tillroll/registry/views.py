@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators import features as ft
-from tillroll.sources.tables import read_table, spread
+from tillroll.session import is_local
+from tillroll.sources.tables import read_table
 
 TODAY = dt.date(2024, 2, 1)
 START = dt.date(1995, 1, 1)
@@ -32,8 +33,12 @@ LARGE = {"lineitem", "documents", "pages", "conversations", "part", "embeddings"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A given table.  On one machine, a large one in a single file is dealt out to the cores."""
     df = read_table(spark, f"{sf}/{name}.parquet")
-    return spread(df) if name in LARGE else df
+    if name not in LARGE or not is_local(spark):
+        return df
+    cores = spark.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
 
 
 def _code(column: str) -> F.Column:

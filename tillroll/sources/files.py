@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.prepare import require_columns
 
+#: Stands for null in files that also hold empty texts.
+NULL_MARK = "\\N"
+
 
 def read_csv(
     spark: SparkSession,
@@ -15,26 +18,43 @@ def read_csv(
     columns: list[str] | None = None,
     header: bool = True,
     sep: str = ",",
+    own: bool = False,
 ) -> DataFrame:
-    """CSV from any file system; ``columns`` are read and checked, others are not parsed."""
-    df = (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("sep", sep)
-        .option("escape", '"')
-        .csv(path)
-    )
+    """CSV from any file system; ``columns`` are read and checked, others are not parsed.
+
+    ``own`` reads what ``sinks.write_csv`` wrote: line breaks inside quotes, and its mark for null.
+    Such files can't be split; the writer bounds their number of rows.
+    """
+    reader = spark.read.schema(schema).option("header", header).option("sep", sep).option("escape", '"')
+    df = (with_breaks(reader) if own else reader).csv(path)
     return require_columns(df, columns).select(*columns) if columns else df
 
 
+def with_breaks(reader):
+    """Reader or writer options under which every text survives, with line breaks, empty or null."""
+    options = {
+        "multiLine": True,
+        "lineSep": "\n",
+        "nullValue": NULL_MARK,
+        "emptyValue": "",
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+        "quote": '"',
+        "escape": '"',
+        "maxColumns": 20_480,
+    }
+    return reader.options(**options)
+
+
 def read_indexed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV whose first column is a row index, which is dropped."""
     return read_csv(spark, path, f"_row_index string, {schema}").drop("_row_index")
 
 
 def read_lines(spark: SparkSession, path: str, name: str = "product") -> DataFrame:
-    """One value per line, no header."""
-    return spark.read.schema(f"{name} string").option("header", False).option("sep", "\u0001").csv(path)
+    """One value per line, no header; quotes are part of the value and empty lines are dropped."""
+    lines = spark.read.text(path).filter(F.col("value") != "")
+    return lines.select(F.col("value").alias(name))
 
 
 def read_first_words(spark: SparkSession, path: str, name: str = "name") -> DataFrame:
@@ -90,7 +110,7 @@ def read_glob(
     """
     found = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), name_pattern, 1))
     found = F.url_decode(found) if partition_folders else found
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
+    reader = with_breaks(spark.read.schema(schema)).option("header", True)
     return reader.csv(pattern).select("*", found.alias(column))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.keywords import top_n
+from tillroll.sources.files import with_breaks
 
 
 def run_path(base: str, overwrite: bool, run_ts: str) -> str:
@@ -19,9 +20,17 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """CSV with header in UTF-8, one folder per value of the partition columns."""
-    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+FILE_ROWS = 1_000_000
+
+
+def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, sep: str = ",") -> None:
+    """CSV with header in UTF-8, one folder per value of the partition columns.
+
+    Line breaks, quotes, blanks at the edges and empty texts survive; null has a mark of its own.  Files
+    have at most ``FILE_ROWS`` rows, as a file with line breaks in its texts is read by one task.
+    """
+    writer = with_breaks(df.write.mode("overwrite")).option("header", True).option("sep", sep)
+    writer = writer.option("maxRecordsPerFile", FILE_ROWS).option("emptyValue", '""')
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 

@@ -32,13 +32,3 @@ def read_table(spark: SparkSession, path: str, name: str | None = None) -> DataF
     """Parquet table at ``path``; ``name`` adds the known warehouse schema."""
     reader = spark.read.schema(SCHEMAS[name]) if name else spark.read
     return reader.parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with fewer splits than cores out to all cores.
-
-    A large table has more splits than cores and stays as it is; a small file in one split would
-    keep all work before the first exchange in one task.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
