@@ -406,3 +406,10 @@ def review_rows(records: DataFrame) -> DataFrame:
     return records.select(
         "hash_id", F.posexplode("goods_commend_review_card_list").alias("card_no", "card")
     ).select("hash_id", "card_no", "card.*")
+
+
+def cards_of_products(records: DataFrame) -> DataFrame:
+    """Review cards of all pages of a product in one list, in the order of the pages: ``(hash_id, cards)``."""
+    cards = F.struct("page_id", F.col("goods_commend_review_card_list").alias("cards"))
+    in_order = F.sort_array(F.collect_list(cards))
+    return records.groupBy("hash_id").agg(F.flatten(F.transform(in_order, lambda p: p["cards"])).alias("cards"))

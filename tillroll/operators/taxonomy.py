@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import contains_any, starts_with_any
+from tillroll.operators.ranking import dense_index
 
 # Words that mark delivery fees, platform fees, tips and rest categories.
 FEE_WORDS = ["外送費", "外送員小費", "平台費"]
@@ -89,6 +92,40 @@ def fixed_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(hash_order(key), key).limit(n)
 
 
+def fraction_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """About ``fraction`` of the keys, the same ones in every run; null keys are never drawn."""
+    return hash_split(df, key, fraction).filter("is_test").drop("is_test")
+
+
+def draws(df: DataFrame, key: str, n: int, seed: str = "draw") -> DataFrame:
+    """``n`` single draws with replacement: rows ``(draw, *columns)``, the same ones in every run.
+
+    Distinct keys are numbered, and the hash of a draw's number picks a position.  Null keys are never
+    drawn; of several rows with one key, one stands for all.
+    """
+    known = df.filter(F.col(key).isNotNull()).dropDuplicates([key])
+    numbered = dense_index(known.withColumn("all", F.lit(0)), "all", key, "place").select(
+        F.col(key).alias("drawn_key"), "place"
+    )
+    total = numbered.agg(F.count(F.lit(1)).alias("total"))
+    digest = F.md5(F.concat(F.lit(f"{seed}-"), F.col("draw").cast("string")))
+    place = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.col("total"))
+    wanted = (
+        df.sparkSession.range(n)
+        .withColumnRenamed("id", "draw")
+        .crossJoin(F.broadcast(total))  # one row by construction (global aggregate)
+        .filter("total > 0")
+        .select("draw", place.cast("int").alias("place"))
+    )
+    found = wanted.join(numbered, "place").select("draw", "drawn_key")
+    return found.join(known, F.col("drawn_key") == F.col(key)).drop("drawn_key")
+
+
+def all_of(*lists: DataFrame) -> DataFrame:
+    """Values of several one-column lists, each once."""
+    return reduce(DataFrame.unionAll, lists).distinct()
+
+
 def stratified_sample(df: DataFrame, by: str, name: str, n: int = 4) -> DataFrame:
     """``n`` distinct names per category, the same ones in every run."""
     names = df.select(by, name).distinct()

@@ -1,6 +1,15 @@
 """Every runnable query over the given tables, with SQL where SQL can express it."""
 
-from tillroll.registry import crawl, files, groups, learning, relational, similarity, text  # noqa: F401
+from tillroll.registry import (  # noqa: F401
+    crawl,
+    files,
+    groups,
+    learning,
+    relational,
+    similarity,
+    text,
+    workflow,
+)
 from tillroll.registry.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -645,12 +645,36 @@ def q_hash_split(spark, sf):
     return tx.hash_split(v.table(spark, sf, "documents").select("doc_id"), "doc_id", 0.6)
 
 
-@query("fraction_sample")
+@query(
+    "fraction_sample",
+    """SELECT doc_id, lang FROM documents
+WHERE CAST(CAST('0x' || substring(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 < 0.1""",
+)
 def q_fraction_sample(spark, sf):
-    return v.table(spark, sf, "documents").select("doc_id", "lang").sample(fraction=0.1, seed=42)
+    return tx.fraction_sample(v.table(spark, sf, "documents").select("doc_id", "lang"), "doc_id", 0.1)
+
 
+N_DRAWS = 10_000
 
-@query("replacement_sample")
+
+@query(
+    "replacement_sample",
+    f"""WITH numbered AS (
+  SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS place, count(*) OVER () AS total FROM documents),
+drawn AS (SELECT unnest(range({N_DRAWS})) AS draw)
+SELECT draw, doc_id, lang FROM drawn JOIN numbered
+ON place = CAST('0x' || substring(md5('draw-' || draw), 1, 8) AS BIGINT) % total""",
+)
 def q_replacement_sample(spark, sf):
-    docs = v.table(spark, sf, "documents").select("doc_id", "lang")
-    return docs.sample(withReplacement=True, fraction=0.5, seed=42)
+    return tx.draws(v.table(spark, sf, "documents").select("doc_id", "lang"), "doc_id", N_DRAWS)
+
+
+@query(
+    "union_dedup",
+    """SELECT p_type AS category FROM part GROUP BY p_type HAVING count(*) < 330
+UNION SELECT p_type FROM part WHERE p_size > 49""",
+)
+def q_union_dedup(spark, sf):
+    part = v.table(spark, sf, "part").withColumnRenamed("p_type", "category")
+    rare = pf.value_counts(part, "category").filter("cnt < 330").select("category")
+    return tx.all_of(rare, part.filter("p_size > 49").select("category"))
