@@ -58,12 +58,23 @@ def test_kmodes_cost_does_not_rise(blobs):
     assert labels <= {0, 1, 2}
 
 
-@pytest.mark.parametrize("sample_rows", [1000, 30])
-def test_kmedoids_whole_and_sampled(blobs, sample_rows):
-    model = cl.kmedoids(blobs, ["x", "y"], 3, max_iter=10, sample_rows=sample_rows)
+@pytest.mark.parametrize("init", ["hash", "first"])
+def test_kmedoids_are_rows_and_cost_is_theirs(blobs, init):
+    model = cl.kmedoids(blobs, ["x", "y"], 3, max_iter=20, restarts=4, init=init)
     assert pure(partition_of(model.label(blobs)))
-    rows = {(r["x"], r["y"]) for r in blobs.collect()}
-    assert all((m["x"], m["y"]) in rows for m in model.centres)
+    data = [(r["x"], r["y"]) for r in blobs.collect()]
+    medoids = [(m["x"], m["y"]) for m in model.centres]
+    assert set(medoids) <= set(data)
+    assert model.cost == pytest.approx(sum(min(math.dist(p, m) for m in medoids) for p in data))
+
+
+def test_costs_are_those_of_the_returned_centres(blobs):
+    for rounds in (0, 1, 30):
+        model = cl.kmodes(blobs, ["c", "truth"], 2, rounds, init="first")
+        assert model.cost == blobs.agg(F.sum(model.nearest()["cost"])).first()[0]
+        labelled, cost, centres = cl.kmeans(blobs, ["x", "y"], 3, rounds, init="first")
+        data = [(r["x"], r["y"]) for r in blobs.collect()]
+        assert cost == pytest.approx(sum(min((x - a) ** 2 + (y - b) ** 2 for a, b in centres) for x, y in data))
 
 
 def test_quality_of_one_cluster_and_single_rows(spark):

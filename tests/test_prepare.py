@@ -24,6 +24,8 @@ from tillroll.operators.ranking import dense_index
         {"k": 3, "rfm_letters": ("r",)},
         {"k": 3, "rfm_letters": ("r", "x")},
         {"k": 3, "groups": ("nothing",)},
+        {"k": 3, "init": "x"},
+        {"k": 3, "restarts": 0},
     ],
 )
 def test_wrong_options(bad):

@@ -8,8 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import dataclass, field
-from functools import reduce
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -19,11 +18,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.operators.neighbours import _square_distances
-
 MAX_CLUSTERS = 10_000
-MEDOID_SAMPLE = 2_000
-MEDOID_SAMPLES = 5
 MEDOID_CANDIDATES = 20
 
 
@@ -85,10 +80,16 @@ class Centres:
         )
 
 
-def _starting_rows(df: DataFrame, columns: list[str], k: int, seed: int) -> list[dict]:
-    """``k`` different rows in a fixed pseudo-random order."""
+STARTS = ("hash", "first")
+
+
+def _starting_rows(df: DataFrame, columns: list[str], k: int, seed: int, init: str = "hash") -> list[dict]:
+    """``k`` different rows: in a fixed pseudo-random order, or the first in the order of the columns."""
+    if init not in STARTS:
+        raise ValueError(f"init must be one of {STARTS}")
     key = F.md5(F.concat_ws("\u0001", F.lit(seed), *[F.col(c).cast("string") for c in columns]))
-    rows = df.select(*columns).distinct().orderBy(key, *columns).limit(k).collect()
+    order = [key, *columns] if init == "hash" else columns
+    rows = df.select(*columns).distinct().orderBy(*order).limit(k).collect()
     return [r.asDict() for r in rows]
 
 
@@ -98,22 +99,21 @@ def _rounds(
     update: dict[str, Column],
     max_iter: int,
 ) -> Centres:
-    """Alternate labelling and centre update until nothing changes."""
+    """Alternate labelling and centre update until nothing changes; the cost is that of the result."""
     model = start
-    for _ in range(max_iter):
+    for turn in range(max_iter + 1):
         rows = (
             df.withColumn("_near", model.nearest())
             .groupBy(F.col("_near.label").alias("_label"))
             .agg(F.sum("_near.cost").alias("_cost"), *[c.alias(n) for n, c in update.items()])
             .collect()
         )
+        model = replace(model, cost=float(sum(r["_cost"] for r in rows)))
         fresh = {r["_label"]: {n: r[n] for n in update} for r in rows}
         centres = [fresh.get(j, old) for j, old in enumerate(model.centres)]
-        cost = float(sum(r["_cost"] for r in rows))
-        done = centres == model.centres or not cost < model.cost and not math.isnan(model.cost)
-        model = Centres(centres, model.numeric, model.categorical, model.gamma, model.root, cost)
-        if done:
+        if centres == model.centres or turn == max_iter:
             break
+        model = replace(model, centres=centres)
     return model
 
 
@@ -122,24 +122,21 @@ def _best(fits: list[Centres]) -> Centres:
 
 
 def kmodes(
-    df: DataFrame, columns: list[str], k: int, max_iter: int = 100, seed: int = 50, restarts: int = 1
+    df: DataFrame,
+    columns: list[str],
+    k: int,
+    max_iter: int = 100,
+    seed: int = 50,
+    restarts: int = 1,
+    init: str = "hash",
 ) -> Centres:
     """K-modes: centres are the most frequent values, distance counts differing columns.
 
     The smallest of several equally frequent values is taken.
     """
     update = {c: F.mode(c, True) for c in columns}
-    return _best(
-        [
-            _rounds(
-                df,
-                Centres(_starting_rows(df, columns, k, seed + i), categorical=columns),
-                update,
-                max_iter,
-            )
-            for i in range(restarts)
-        ]
-    )
+    starts = [_starting_rows(df, columns, k, seed + i, init) for i in range(restarts)]
+    return _best([_rounds(df, Centres(s, categorical=columns), update, max_iter) for s in starts])
 
 
 def default_gamma(df: DataFrame, numeric: list[str]) -> float:
@@ -157,12 +154,13 @@ def kprototypes(
     max_iter: int = 100,
     seed: int = 50,
     restarts: int = 1,
+    init: str = "hash",
 ) -> Centres:
     """K-prototypes: squared distance of the numbers plus ``gamma`` per differing category."""
     weight = default_gamma(df, numeric) if gamma is None else gamma
     update = {c: F.avg(F.col(c).cast("double")) for c in numeric}
     update.update({c: F.mode(c, True) for c in categorical})
-    starts = [_starting_rows(df, numeric + categorical, k, seed + i) for i in range(restarts)]
+    starts = [_starting_rows(df, numeric + categorical, k, seed + i, init) for i in range(restarts)]
     return _best(
         [_rounds(df, Centres(s, numeric, categorical, weight), update, max_iter) for s in starts]
     )
@@ -177,11 +175,22 @@ def kmeans(
     weight: str | None = None,
     scale: bool = False,
     restarts: int = 1,
+    init: str = "parallel",
 ) -> tuple[DataFrame, float, list[np.ndarray]]:
     """K-means labels, cost and centres; ``weight`` counts a row by a column.
 
-    Of several restarts the cheapest is kept.
+    Of several restarts the cheapest is kept.  ``init`` is Spark's parallel start, or one of
+    ``STARTS``: then the centres of every round are those of plain K-means from these rows.
     """
+    if init != "parallel":
+        if scale:
+            raise ValueError("scale the columns before a given start")
+        w = F.col(weight).cast("double") if weight else F.lit(1.0)
+        update = {c: F.sum(F.col(c).cast("double") * w) / F.sum(w) for c in columns}
+        starts = [_starting_rows(df, columns, k, seed + i, init) for i in range(restarts)]
+        model = _best([_rounds(df, Centres(s, columns), update, max_iter) for s in starts])
+        centres = [np.array([float(c[x]) for x in columns]) for c in model.centres]
+        return model.label(df), model.cost, centres
     rows = assemble(df, columns, scale)
     estimator = KMeans(k=k, maxIter=max_iter, featuresCol="_vector", predictionCol="label")
     if weight:
@@ -207,68 +216,33 @@ def assemble(df: DataFrame, columns: list[str], scale: bool = False) -> DataFram
     return rows
 
 
-def _alternate_medoids(points: np.ndarray, k: int, max_iter: int) -> np.ndarray:
-    """Medoid positions of a bounded sample: start from the most central rows, then alternate."""
-    d = np.sqrt(_square_distances(points, points))
-    medoids = np.argsort((d / np.maximum(d.sum(1), 1e-300)[:, None]).sum(0), kind="stable")[:k]
-    for _ in range(max_iter):
-        label = d[:, medoids].argmin(1)
-        fresh = medoids.copy()
-        for j in range(len(medoids)):
-            members = np.flatnonzero(label == j)
-            if len(members):
-                fresh[j] = members[d[np.ix_(members, members)].sum(0).argmin()]
-        if (fresh == medoids).all():
-            break
-        medoids = fresh
-    return medoids
-
-
 def kmedoids(
     df: DataFrame,
     columns: list[str],
     k: int,
     max_iter: int = 100,
     seed: int = 50,
-    sample_rows: int = MEDOID_SAMPLE,
-    samples: int = MEDOID_SAMPLES,
+    restarts: int = 1,
+    init: str = "hash",
+    candidates: int = MEDOID_CANDIDATES,
 ) -> Centres:
     """K-medoids with Euclidean distance; centres are rows of the data.
 
-    Up to ``sample_rows`` different rows the search sees all of them.  Beyond, it runs on several
-    samples of that size in parallel, every set of medoids is costed over all rows, and the
-    cheapest one is improved by exact swaps: for each cluster the rows nearest to its mean are
-    candidates, and their summed distance to the whole cluster is compared with the medoid's.
+    The same search at every size: starting rows are improved by swaps.  In each cluster the
+    ``candidates`` rows nearest to its mean stand against the medoid, their summed distances to the
+    whole cluster are compared exactly, and the swaps stay while the cost over all rows falls.  Of
+    several restarts the cheapest is kept.
     """
     points = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).distinct()
-    whole = points.limit(sample_rows + 1).count() <= sample_rows
-    parts = []
-    for i in range(1 if whole else samples):
-        key = F.md5(F.concat_ws("\u0001", F.lit(seed + i), *columns))
-        part = points if whole else points.orderBy(key).limit(sample_rows)
-        parts.append(part.withColumn("_sample", F.lit(i)))
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(columns).reset_index(drop=True)
-        return pdf.iloc[_alternate_medoids(pdf[columns].to_numpy("float64"), k, max_iter)]
-
-    found = (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("_sample")
-        .applyInPandas(search, ", ".join([*(f"`{c}` double" for c in columns), "_sample int"]))
-        .collect()
-    )
-    sets: dict[int, list[dict]] = {}
-    for r in found:
-        sets.setdefault(r["_sample"], []).append({c: r[c] for c in columns})
-    models = [Centres(m, numeric=columns, root=True) for m in sets.values()]
-    costs = df.agg(*[F.sum(m.nearest()["cost"]).alias(f"c{i}") for i, m in enumerate(models)]).first()
-    best = min(range(len(models)), key=lambda i: costs[f"c{i}"])
-    model = Centres(models[best].centres, columns, root=True, cost=float(costs[f"c{best}"]))
-    return model if whole else _swap_medoids(df, points, model, columns, max_iter)
+    found = []
+    for i in range(restarts):
+        start = Centres(_starting_rows(points, columns, k, seed + i, init), columns, root=True)
+        cost = float(df.agg(F.sum(start.nearest()["cost"])).first()[0] or 0.0)
+        found.append(_swap_medoids(df, points, replace(start, cost=cost), columns, max_iter, candidates))
+    return _best(found)
 
 
-def _swap_medoids(df, points, model: Centres, columns, max_iter) -> Centres:
+def _swap_medoids(df, points, model: Centres, columns, max_iter, candidates) -> Centres:
     for _ in range(max_iter):
         labelled = model.label(df, "_label")
         means = {
@@ -285,7 +259,7 @@ def _swap_medoids(df, points, model: Centres, columns, max_iter) -> Centres:
             model.label(points, "_label")
             .withColumn("_gap", F.expr(f"array({gaps})[_label]"))
             .withColumn("_rank", F.row_number().over(closest))
-            .filter(F.col("_rank") <= MEDOID_CANDIDATES)
+            .filter(F.col("_rank") <= candidates)
             .collect()
         )
         options_of = {j: [c] for j, c in enumerate(centres) if j in means}

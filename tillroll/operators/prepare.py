@@ -66,6 +66,8 @@ class Options:
     scale: bool = False
     seed: int = 50
     max_iter: int = 100
+    restarts: int = 1
+    init: str | None = None  # None: the method's own start
 
     def __post_init__(self):
         if self.method not in METHODS:
@@ -78,6 +80,8 @@ class Options:
             raise ValueError("give either k or auto")
         if self.score not in SCORES:
             raise ValueError(f"score must be one of {SCORES}")
+        if self.restarts < 1 or self.init not in (None, "hash", "first"):
+            raise ValueError("restarts must be positive and init one of hash, first")
         if self.rfm_split not in SPLITS:
             raise ValueError(f"rfm_split must be one of {SPLITS}")
         if self.rfm_letters is not None and (

@@ -77,7 +77,9 @@ def fitter(data: Prepared, options: pr.Options) -> Callable[[int], tuple[DataFra
     """The chosen method as a function from k to labelled rows and cost."""
     rows, columns = data.rows, data.columns
     numeric = [c for c in columns if c not in data.categorical]
-    common = {"max_iter": options.max_iter, "seed": options.seed}
+    common = {"max_iter": options.max_iter, "seed": options.seed, "restarts": options.restarts}
+    if options.init is not None:
+        common["init"] = options.init
 
     def fit(k: int) -> tuple[DataFrame, float]:
         if options.method in ("KMeans", "WKMeans"):

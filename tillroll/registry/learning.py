@@ -19,7 +19,7 @@ from tillroll.plans.segmentation import segment
 from tillroll.registry import views as v
 from tillroll.registry.base import query, sql_round
 
-from tillroll.registry.relational import SCOPE_VIEWS, SUMS, VALUE, features, known, scope
+from tillroll.registry.relational import SCOPE_VIEWS, SUMS, VALUE, feature_views, features, known, scope
 from tillroll.registry.text import (
     CLUSTERS,
     KEYWORD_VIEWS,
@@ -173,10 +173,27 @@ def q_cluster_bic(spark, sf):
     return one_score(spark, sf, "bic", "bic")
 
 
-@query("cluster_silhouette")
+@query(
+    "cluster_silhouette",
+    SCORED.rstrip()
+    + f""",
+own AS (SELECT row_number() OVER () AS id, * FROM banded WHERE k = 5),
+sums AS (
+  SELECT label AS other, count(*) AS n, sum(x1) AS s1, sum(x2) AS s2, sum(x3) AS s3,
+         sum(x1 * x1 + x2 * x2 + x3 * x3) AS q FROM own GROUP BY label),
+apart AS (
+  SELECT id, label, other, n, x1 * x1 + x2 * x2 + x3 * x3 + q / n - 2 * (x1 * s1 + x2 * s2 + x3 * s3) / n AS d
+  FROM own, sums),
+pair AS (
+  SELECT id, max(CASE WHEN other = label THEN CASE n WHEN 1 THEN 0 ELSE d * n / (n - 1) END END) AS a,
+         max(CASE WHEN other = label THEN n END) AS size, min(CASE WHEN other <> label THEN d END) AS b
+  FROM apart GROUP BY id)
+SELECT {sql_round("avg(CASE WHEN size = 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END)", 4)} AS silhouette
+FROM pair""".replace("sums AS (", "own_sums AS (").replace("FROM own, sums)", "FROM own, own_sums)"),
+)
 def q_cluster_silhouette(spark, sf):
-    value = cl.silhouette(banded(value_rows(spark, sf), 5), AXES)
-    return spark.createDataFrame([(value,)], "silhouette double")
+    value = cl.silhouette(materialize(banded(value_rows(spark, sf), 5)), AXES)
+    return spark.createDataFrame([(value,)], "silhouette double").select(half_up(F.col("silhouette"), 4).alias("silhouette"))
 
 
 # --- fits --------------------------------------------------------------------------------------
@@ -190,27 +207,68 @@ def fit_rows(spark, sf):
     return materialize(features(spark, sf).select(*keep).fillna(" ", CATEGORIES).fillna(0, COLUMNS))
 
 
-@query("kmeans_labels")
+ROUNDS = 4
+GAMMA = 1000.0
+_FIT_ROWS = f"""fit_rows AS (
+  SELECT mid, pma_no_fin, {", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" for c in COLUMNS)},
+         {", ".join(f"coalesce({c}, ' ') AS {c}" for c in CATEGORIES)} FROM features)"""
+
+
+def rounds_sql(numeric: list[str], categorical: list[str], k: int, weight: str = "1.0") -> str:
+    """The fit unrolled: starting rows, then ``ROUNDS`` times labels and new centres."""
+    columns = [*numeric, *categorical]
+    gaps = [f"pow(r.{c} - m.{c}, 2)" for c in numeric]
+    unlike = " + ".join(f"CASE WHEN r.{c} = m.{c} THEN 0 ELSE 1 END" for c in categorical)
+    distance = " + ".join(gaps + ([f"{GAMMA if numeric else 1.0} * ({unlike})"] if categorical else []))
+    views = [
+        f"""centre_0 AS (
+  SELECT row_number() OVER (ORDER BY {", ".join(columns)}) - 1 AS label, * FROM (
+    SELECT DISTINCT {", ".join(columns)} FROM fit_rows ORDER BY ALL LIMIT {k}))"""
+    ]
+    for i in range(ROUNDS + 1):
+        views.append(
+            f"""near_{i} AS (
+  SELECT r.mid, r.pma_no_fin, arg_min(m.label, ({distance}, m.label)) AS label
+  FROM fit_rows r, centre_{i} m GROUP BY r.mid, r.pma_no_fin)"""
+        )
+        means = ", ".join(f"sum({c} * {weight}) / sum({weight}) AS {c}" for c in numeric)
+        modes = ", ".join(
+            f"""(SELECT {c} FROM (SELECT {c}, count(*) AS cnt FROM joined_{i} j WHERE j.label = g.label GROUP BY {c})
+    ORDER BY cnt DESC, {c} LIMIT 1) AS {c}"""
+            for c in categorical
+        )
+        views.append(f"joined_{i} AS (SELECT r.*, label FROM fit_rows r JOIN near_{i} USING (mid, pma_no_fin))")
+        views.append(
+            f"""centre_{i + 1} AS (
+  SELECT label, {", ".join(x for x in (means, modes) if x)} FROM joined_{i} g GROUP BY label
+  UNION ALL SELECT * FROM centre_{i} WHERE label NOT IN (SELECT label FROM near_{i}))"""
+        )
+    fit = v.with_views(*feature_views(), _FIT_ROWS, *views)
+    return fit + f"SELECT mid, pma_no_fin, CAST(label AS INTEGER) AS label FROM near_{ROUNDS}"
+
+
+@query("kmeans_labels", rounds_sql(COLUMNS, [], 5))
 def q_kmeans_labels(spark, sf):
-    return cl.kmeans(fit_rows(spark, sf), COLUMNS, 5)[0].select("mid", "pma_no_fin", "label")
+    labelled, _, _ = cl.kmeans(fit_rows(spark, sf), COLUMNS, 5, max_iter=ROUNDS, init="first")
+    return labelled.select("mid", "pma_no_fin", "label")
 
 
-@query("kmeans_weighted")
+@query("kmeans_weighted", rounds_sql(COLUMNS, [], 5, "qty"))
 def q_kmeans_weighted(spark, sf):
-    rows = fit_rows(spark, sf)
-    return cl.kmeans(rows, COLUMNS, 5, weight="qty")[0].select("mid", "pma_no_fin", "label")
+    labelled, _, _ = cl.kmeans(fit_rows(spark, sf), COLUMNS, 5, max_iter=ROUNDS, weight="qty", init="first")
+    return labelled.select("mid", "pma_no_fin", "label")
 
 
-@query("kmodes_labels")
+@query("kmodes_labels", rounds_sql([], CATEGORIES, 4))
 def q_kmodes_labels(spark, sf):
     rows = fit_rows(spark, sf)
-    return cl.kmodes(rows, CATEGORIES, 4, 20).label(rows).select("mid", "pma_no_fin", "label")
+    return cl.kmodes(rows, CATEGORIES, 4, ROUNDS, init="first").label(rows).select("mid", "pma_no_fin", "label")
 
 
-@query("kprototypes_labels")
+@query("kprototypes_labels", rounds_sql(COLUMNS, CATEGORIES, 4))
 def q_kprototypes_labels(spark, sf):
     rows = fit_rows(spark, sf)
-    model = cl.kprototypes(rows, COLUMNS, CATEGORIES, 4, max_iter=20)
+    model = cl.kprototypes(rows, COLUMNS, CATEGORIES, 4, GAMMA, ROUNDS, init="first")
     return model.label(rows).select("mid", "pma_no_fin", "label")
 
 
