@@ -132,6 +132,28 @@ def category_rows(
     )
 
 
+def menu_entries(pages: DataFrame, heads: list[tuple[str, ...]], entry: tuple[str, ...]) -> DataFrame:
+    """Menus out of pages, as ``menu_leaves`` takes them.
+
+    ``heads`` selects the names of the first three levels, ``entry`` the list items of the fourth; the
+    first link of an item is its own, links of lists inside it are the fifth level.
+    """
+    paths = {f"head{i}": path for i, path in enumerate(heads)}
+    paths |= {"entry": entry, "name": (*entry, "a"), "below": (*entry, "ul", "li", "a")}
+
+    def link(a: Column) -> Column:
+        return F.struct(F.trim(h.joined(a)).alias("text"), h.attribute(a, "href").alias("link"))
+
+    def item(e: Column) -> Column:
+        own = link(F.get(h.inside(F.col("el.name"), e), 0))
+        below = F.transform(h.inside(F.col("el.below"), e), link)
+        return F.struct(own["text"].alias("text"), own["link"].alias("link"), below.alias("below"))
+
+    outer = F.filter("el.entry", lambda e: e["top"])
+    tiers = [F.trim(h.first_text(F.col(f"el.head{i}"))).alias(f"tier{i + 1}") for i in range(len(heads))]
+    return parsed(pages, paths).select("page_id", *tiers, F.transform(outer, item).alias("entries"))
+
+
 def menu_leaves(menus: DataFrame, host: str) -> DataFrame:
     """Nested menu to rows: one per fifth-level entry, or the fourth level where there is none.
 

@@ -146,13 +146,16 @@ def q_category_rows(spark, sf):
     return rows.select("page_id", "tier1_category_name", "category_link", "category_type", "hash_id")
 
 
-@query(
-    "menu_leaves",
-    f"""SELECT r_name AS tier1, 'all' AS tier2, 'nations' AS tier3, n_name AS tier4, s_name AS tier5,
+MENU_SQL = f"""SELECT r_name AS tier1, 'all' AS tier2, 'nations' AS tier3, n_name AS tier4, s_name AS tier5,
   '{HOST}/' || coalesce(s_name, n_name) AS category_link,
   CASE WHEN s_name IS NULL THEN 'tier4' ELSE 'tier5' END AS category_type,
   sha256('{HOST}/' || coalesce(s_name, n_name)) AS hash_id
-FROM region JOIN nation ON r_regionkey = n_regionkey LEFT JOIN supplier ON n_nationkey = s_nationkey""",
+FROM region JOIN nation ON r_regionkey = n_regionkey LEFT JOIN supplier ON n_nationkey = s_nationkey"""
+
+
+@query(
+    "menu_leaves",
+    MENU_SQL,
 )
 def q_menu_leaves(spark, sf):
     """The nations of a region with their suppliers, one menu per nation and supplier."""
@@ -174,6 +177,25 @@ def q_menu_leaves(spark, sf):
     return pg.menu_leaves(menus, HOST)
 
 
+@query("menu_tree", MENU_SQL)
+def q_menu_tree(spark, sf):
+    """The same menus as pages with nested lists."""
+    supplier, nation = v.table(spark, sf, "supplier"), v.table(spark, sf, "nation")
+    region = v.table(spark, sf, "region")
+    below = F.concat(F.lit('<ul><li><a href="/'), "s_name", F.lit('"> '), "s_name", F.lit("</a></li></ul>"))
+    body = F.concat(
+        F.lit('<html><body><div id="menu"><b class="t1"> '), "r_name", F.lit('</b><i class="t2">all</i><i class="t3">nations</i>'),
+        F.lit('<ul class="t4"><li><a href="/'), "n_name", F.lit('">'), "n_name", F.lit("</a>"), F.coalesce(below, F.lit("")),
+        F.lit('</li></ul></div><ul><li><a href="/x">elsewhere</a></li></ul></body></html>'),
+    )
+    rows = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).join(
+        supplier, F.col("n_nationkey") == F.col("s_nationkey"), "left"
+    )
+    menus = rows.select(F.xxhash64("n_name", "s_name").alias("page_id"), body.alias("html"))
+    heads = [("#menu", f".t{i}") for i in (1, 2, 3)]
+    return pg.menu_leaves(pg.menu_entries(menus, heads, ("#menu", "ul.t4", "li")), HOST)
+
+
 # Every page three times, as a queue would repeat it.
 COPIES = """copies AS (
   SELECT page_id * 3 + c AS seq, split_part(split_part(url, '#', 1), '?', 1) AS link, page_id % 5 AS times
