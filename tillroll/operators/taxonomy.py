@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.text import contains_any, starts_with_any
 from tillroll.operators.ranking import dense_index
+from tillroll.session import materialize
 
 # Words that mark delivery fees, platform fees, tips and rest categories.
 FEE_WORDS = ["外送費", "外送員小費", "平台費"]
@@ -221,25 +222,32 @@ def similar_names(df: DataFrame, by: str, name: str, tokens: str, threshold: flo
     )
     limit = (threshold * threshold - 1e-9) * F.col("norm") * F.col("norm")
     prefix = F.transform(F.filter(rest, lambda x: x["rest"] >= limit), lambda x: x["token"])
-    side = unit.select(by, name, "names", "weights", F.explode(prefix).alias("token"))
-    left = side.select(by, "token", F.struct(F.col(name).alias("name"), "names").alias("a"), F.col("weights").alias("wa"))
-    right = side.select(by, "token", F.struct(F.col(name).alias("name"), "names").alias("b"), F.col("weights").alias("wb"))
+    # Only names and their short prefixes meet; a pair counts at the first token that both prefixes share.
+    vectors = materialize(unit.withColumn("prefix", prefix).select(by, name, "names", "weights", "prefix"))
+    side = vectors.select(by, F.explode("prefix").alias("token"), name, "prefix")
+    left = side.withColumnsRenamed({name: "name_a", "prefix": "prefix_a"})
+    right = side.withColumnsRenamed({name: "name_b", "prefix": "prefix_b"})
+    first_shared = F.get(F.array_intersect("prefix_a", "prefix_b"), 0)
+    pairs = (
+        left.join(right, [by, "token"])
+        .filter((F.col("name_a") < F.col("name_b")) & (first_shared == F.col("token")))
+        .select(by, "name_a", "name_b")
+    )
     dot = F.aggregate(
         F.map_entries("wa"),
         F.lit(0.0),
         lambda a, e: a + e["value"] * F.coalesce(F.col("wb")[e["key"]], F.lit(0.0)),
     )
+
+    def known(letter: str) -> DataFrame:
+        return vectors.select(
+            by, F.col(name).alias(f"name_{letter}"), F.col("names").alias(f"names_{letter}"), F.col("weights").alias(f"w{letter}")
+        )
+
     return (
-        left.join(right, [by, "token"])
-        .filter(F.col("a.name") < F.col("b.name"))
+        pairs.join(known("a"), [by, "name_a"])
+        .join(known("b"), [by, "name_b"])
         .withColumn("cosine", dot)
         .filter(F.col("cosine") >= threshold - 1e-9)
-        .groupBy(
-            by,
-            F.col("a.name").alias("name_a"),
-            F.col("b.name").alias("name_b"),
-            F.col("a.names").alias("names_a"),
-            F.col("b.names").alias("names_b"),
-        )
-        .agg(F.max("cosine").alias("cosine"))
+        .select(by, "name_a", "name_b", "names_a", "names_b", "cosine")
     )

@@ -147,7 +147,7 @@ def quality_sql(metric: str, column: str, digits: int = 4) -> str:
 
 
 def one_score(spark, sf, metric: str, column: str, digits: int = 4):
-    stats = cl.cluster_statistics(banded(value_rows(spark, sf), 5), AXES)
+    stats = cl.cluster_statistics(materialize(banded(value_rows(spark, sf), 5)), AXES)
     value = cl.quality(stats, len(AXES))[metric]
     out = spark.createDataFrame([(value,)], f"{column} double")
     return out.select(half_up(F.col(column), digits).alias(column))
