@@ -57,3 +57,13 @@ def test_word_count(frame):
     rows = frame([(i, t) for i, t in enumerate(texts)], "i long, text string")
     got = [r[0] for r in rows.orderBy("i").select(blank_words_count(F.col("text"))).collect()]
     assert got == [brute.size(t) for t in texts]
+
+
+def test_other_columns_stay(frame):
+    rows = [(i, "ab"[i % 2], 10, 1, 2, 3, 4, "x") for i in range(9)]
+    table = frame(rows, SCHEMA + ", quota long, blocks long, shard long, taken long, of string")
+    table = table.withColumn("digest", mixing.seeded_hex(F.col("doc_id"), seed=mixing.SEED))
+    mixed = mixing.mix(table, mixing.shard_quotas(table.select("source", "digest", "size")), ["doc_id"])
+    assert set(mixed.columns) == {*table.columns, "source_size", "target"}
+    assert {(r.quota, r.blocks, r.shard, r.of) for r in mixed.collect()} == {(1, 2, 3, "x")}
+    assert {r.doc_id: r.taken for r in mixed.collect()} == {r[0]: r[4] for r in brute.mix([r[:3] for r in rows])}

@@ -33,6 +33,10 @@ def page(article, around=MENU):
         (page("<article><ul><li>one<li>two</ul><table><tr><td>a<td>b</table><pre>x\n y</pre></article>"), "one two a b x y"),
         (page("<article><p>1 &lt; 2 &#x41;&#66; a < b</p></article>"), "1 < 2 AB a < b"),
         ("<nav>menu</nav><script>x()</script>", ""),
+        (page(f'<div id="page" class="has-sidebar no-ads"><div class="text">{BODY}</div></div>'), "First & boldly said. Second paragraph goes on."),
+        (page(f'<div class="sidebar-page">{BODY}</div>', ""), "First & boldly said. Second paragraph goes on."),
+        (page(f'<article>{BODY}<article class="comment"><p>{"I say so. " * 50}</p></article></article>'), "First & boldly said. Second paragraph goes on."),
+        (page(f'<div class="cookiebar"><p>{"We bake. " * 50}</p></div><article class="comment">{BODY}</article>'), "First & boldly said. Second paragraph goes on."),
         ("<p" * 2000, ""),
         ("<div>" * 3000 + "deep text", "deep text"),
     ],

@@ -174,30 +174,36 @@ def mix(
 
     The documents of a shard stand in the order of ``digest`` and then ``order``.  Block ``k`` is
     taken ``floor(((k + 1) * quota + offset) / blocks) - floor((k * quota + offset) / blocks)`` times,
-    which sums up to the quota and is never above ``most``.  Empty documents take nothing.
+    which sums up to the quota and is never above ``most``.  Empty documents take nothing.  Other
+    columns stay; earlier ones with the added names are replaced.
     """
-    per_source = quotas.select(F.col("source").alias("of"), "source_size", "source_rows", "target").distinct()
-    held = docs.join(per_source, same(F.col("source"), F.col("of"))).withColumn(
-        "shard", _shard(F.col("digest"), F.col("source_rows"), shard_rows)
-    ).drop("of", "source_rows")
-    dealt = quotas.select(F.col("source").alias("of"), F.col("shard").alias("in_shard"), "quota", "blocks")
-    both = same(F.col("source"), F.col("of")) & (F.col("shard") == F.col("in_shard"))
-    offset_key = seeded_hex(F.col("source"), F.col("shard"), seed=seed)
-    window = Window.partitionBy("source", "shard").orderBy("digest", *order)
-    placed = held.withColumn(
-        "end_at", F.sum("size").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ).join(dealt, both).drop("of", "in_shard")
-    offset = F.pmod(seeded_number(offset_key), F.greatest(F.col("blocks"), F.lit(1)))
+    own = docs.drop("source_size", "target", "taken")
+    per_source = quotas.select(
+        F.col("source").alias("__of"), "source_size", F.col("source_rows").alias("__rows"), "target"
+    ).distinct()
+    held = own.join(per_source, same(F.col("source"), F.col("__of"))).withColumn(
+        "__shard", _shard(F.col("digest"), F.col("__rows"), shard_rows)
+    )
+    dealt = quotas.select(
+        F.col("source").alias("__source"),
+        F.col("shard").alias("__in_shard"),
+        F.col("quota").alias("__quota"),
+        F.col("blocks").alias("__blocks"),
+    )
+    both = same(F.col("source"), F.col("__source")) & (F.col("__shard") == F.col("__in_shard"))
+    window = Window.partitionBy("source", "__shard").orderBy("digest", *order)
+    upto = F.sum("size").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    offset_key = seeded_hex(F.col("source"), F.col("__shard"), seed=seed)
+    offset = F.pmod(seeded_number(offset_key), F.greatest(F.col("__blocks"), F.lit(1)))
+    placed = held.withColumn("__end", upto).join(dealt, both).withColumn("__offset", offset)
 
     def passed(at: Column) -> Column:
         """Words the mix takes of the first ``at`` words of the shard."""
         k = F.floor(at / F.lit(block))
-        upto = lambda j: F.floor((j * F.col("quota") + F.col("offset")) / F.col("blocks"))
+        upto = lambda j: F.floor((j * F.col("__quota") + F.col("__offset")) / F.col("__blocks"))
         return block * upto(k) + (at - block * k) * (upto(k + 1) - upto(k))
 
-    taken = F.when(F.col("size") > 0, passed(F.col("end_at")) - passed(F.col("end_at") - F.col("size")))
-    return (
-        placed.withColumn("offset", offset)
-        .withColumn("taken", F.coalesce(taken, F.lit(0)).cast("long"))
-        .drop("shard", "end_at", "quota", "blocks", "offset")
+    taken = F.when(F.col("size") > 0, passed(F.col("__end")) - passed(F.col("__end") - F.col("size")))
+    return placed.withColumn("taken", F.coalesce(taken, F.lit(0)).cast("long")).drop(
+        "__of", "__rows", "__shard", "__source", "__in_shard", "__quota", "__blocks", "__end", "__offset"
     )

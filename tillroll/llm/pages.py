@@ -34,6 +34,11 @@ MARKS = frozenset(
     "comment comments disqus reply replies respond share sharing social related recommended pagination pager "
     "complementary contentinfo search".split()
 )
+#: Longer words that begin so are marks too, as in ``cookiebar`` or ``sidebarleft``.
+_MARK_STARTS = ("cookie", "advert", "sidebar", "newsletter", "breadcrumb", "sponsor", "navbar", "commentlist", "commentform")
+#: A class that begins so tells of something elsewhere on the page.
+_ABOUT = frozenset("has with no without hide show is".split())
+_ARTICLE = ("article", "main")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that do not break a line of text.
 _INLINE = frozenset(
@@ -77,23 +82,43 @@ class Page:
     paths: list[str] = field(default_factory=lambda: ["body"])
     parents: list[int] = field(default_factory=lambda: [-1])
     skipped: list[bool] = field(default_factory=lambda: [False])
+    #: Whether the element is an article or lies in one.
+    inside: list[bool] = field(default_factory=lambda: [False])
+    #: Whether a mark took anything out.
+    marked: bool = False
     #: ``(element, text)``; no text means a break.
     chunks: list[tuple[int, str | None]] = field(default_factory=list)
 
 
+def _is_mark(word: str) -> bool:
+    """Whether a class or id names what is left out; ``has-sidebar`` or ``no-ads`` name something else."""
+    parts = _PARTS.split(word)
+    return parts[0] not in _ABOUT and any(p in MARKS or p.startswith(_MARK_STARTS) for p in parts)
+
+
 def _hints(more: str) -> tuple[str, bool]:
     """Generalised classes of a start tag, and whether a mark is among class, id and role."""
     classes, marked = "", False
     for name, value in _HINT.findall(more):
         value = value.strip("\"'").lower()
-        marked = marked or any(p in MARKS for p in _PARTS.split(value))
+        marked = marked or any(_is_mark(word) for word in value.split())
         if name.lower() == "class":
             classes = ".".join(sorted({_DIGITS.sub("", c) for c in value.split()} - {""}))
     return classes, marked
 
 
 def parse(source: str | None) -> Page:
-    """Read a page leniently: ends may be missing, and tags cut off at the end of the page are dropped."""
+    """Read a page leniently: ends may be missing, and tags cut off at the end of the page are dropped.
+
+    If marks would leave no text at all, such as one on the frame of the whole page, they are ignored.
+    """
+    page = _read(source, True)
+    if page.marked and not any(t and not t.isspace() and not page.skipped[e] for e, t in page.chunks):
+        return _read(source, False)
+    return page
+
+
+def _read(source: str | None, use_marks: bool) -> Page:
     page, stack, at = Page(), [0], 0
     source = source or ""
     for m in _TOKEN.finditer(source):
@@ -126,8 +151,11 @@ def parse(source: str | None) -> Page:
             continue
         parent = stack[-1]
         classes, marked = _hints(m["more"]) if m["more"] else ("", False)
-        inside = "article" in page.paths[parent] or "main" in page.paths[parent]
-        own_skip = tag in SKIPPED or (marked and tag not in ("article", "main")) or (tag == "header" and not inside)
+        marked = marked and use_marks
+        inside = page.inside[parent]
+        own_skip = tag in SKIPPED or (marked and (inside or tag not in _ARTICLE)) or (tag == "header" and not inside)
+        page.marked = page.marked or (own_skip and tag not in SKIPPED)
+        page.inside.append(inside or tag in _ARTICLE)
         page.names.append(tag)
         page.parents.append(parent)
         page.skipped.append(page.skipped[parent] or own_skip)
