@@ -27,17 +27,25 @@ BROADCAST_WINDOWS = 200_000
 
 
 def _spread_hash(of: Column, start: Column, n: int) -> Column:
-    """Hash of four spread words of the window of ``n`` words at ``start`` (from 0)."""
-    return F.xxhash64(*[F.get(of, start + k) for k in (0, n // 3, 2 * n // 3, n - 1)])
+    """Hash of the length and four spread words of the window of ``n`` words at ``start`` (from 0)."""
+    return F.xxhash64(F.lit(n), *[F.get(of, start + k) for k in (0, n // 3, 2 * n // 3, n - 1)])
 
 
-def _places(n: int) -> Column:
-    """All windows of ``n`` of the words ``w``: where they start and their hash."""
+def _hashes(n: int) -> Column:
+    """Hashes of all windows of ``n`` of the words ``w``."""
     starts = F.sequence(F.lit(0), F.size("w") - n)
-    return F.transform(
-        starts,
-        lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), _spread_hash(F.col("w"), i, n).alias("key")),
-    )
+    every = F.transform(starts, lambda i: _spread_hash(F.col("w"), i, n))
+    return F.when(F.size("w") >= n, every).otherwise(F.array().cast("array<bigint>"))
+
+
+def _window_of(lengths: list[int]) -> tuple[Column, Column]:
+    """Length and start of the window whose hash is at ``place`` among those of all lengths in turn."""
+    length, start, before = F.lit(lengths[0]), F.col("place"), F.lit(0)
+    for earlier, n in zip(lengths, lengths[1:]):
+        before = before + F.greatest(F.size("w") - earlier + 1, F.lit(0))
+        length = F.when(F.col("place") >= before, n).otherwise(length)
+        start = F.when(F.col("place") >= before, F.col("place") - before).otherwise(start)
+    return length, start
 
 
 def benchmark_windows(
@@ -69,20 +77,24 @@ def hits(docs: DataFrame, windows: DataFrame, keys: list[str], broadcast_windows
     ``docs`` has the key columns and the words as ``w``.
     """
     lengths = sorted(r[0] for r in windows.select("n").distinct().collect())  # at most ``ngram`` numbers
-    empty = F.array().cast("array<struct<at:int,n:int,key:bigint>>")
-    places = [F.when(F.size("w") >= n, _places(n)).otherwise(empty) for n in lengths]
-    every = docs.select(*keys, "w", F.inline(F.concat(empty, *places)))
+    if not lengths:
+        nothing = [F.lit(0).alias("at"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("item_ids")]
+        return docs.select(*keys, *nothing).filter(F.lit(False))
+    # Only hashes are exploded; what window a hash belongs to is worked out where one is met.
+    hashes = F.concat(*[_hashes(n) for n in lengths]) if len(lengths) > 1 else _hashes(lengths[0])
+    every = docs.select(*keys, "w", F.posexplode(hashes).alias("place", "key"))
+    length, start = _window_of(lengths)
+    agree = (
+        (F.col("key") == F.col("window_key"))
+        & (length == F.col("n"))
+        & (F.slice("w", start + 1, F.col("n")) == F.col("window"))
+    )
     blocks = max(1, -(-windows.count() // broadcast_windows))
     found = []
     for b in range(blocks):
         some = windows.filter(F.pmod("window_key", F.lit(blocks)) == b) if blocks > 1 else windows
-        some = some.withColumnRenamed("n", "window_n")
-        agree = (
-            (F.col("key") == F.col("window_key"))
-            & (F.col("n") == F.col("window_n"))
-            & (F.slice("w", F.col("at") + 1, F.col("n")) == F.col("window"))
-        )
-        found.append(every.join(F.broadcast(some), agree).select(*keys, "at", "n", "item_ids"))
+        met = every.join(F.broadcast(some), agree)
+        found.append(met.select(*keys, start.alias("at"), "n", "item_ids"))
     return reduce(DataFrame.unionAll, found)
 
 
