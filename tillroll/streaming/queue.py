@@ -52,7 +52,8 @@ def dedup(
                 if all(abs(t - x) >= step for x in near):
                     passed.insert(at, t)
                     kept.append(row)
-            yield part.loc[kept]
+            if kept:
+                yield part.loc[kept]
         state.update((passed,))
 
     return stream.groupBy(key).applyInPandasWithState(
