@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
@@ -18,19 +16,14 @@ from pyspark.ml.feature import (
     Normalizer,
     StringIndexer,
 )
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import text
-from tillroll.operators.learning import row_matrix
 from tillroll.session import materialize
 
-PARALLEL_CATEGORIES = 4
 MAX_WEIGHT_VALUES = 8_000_000  # numbers in a broadcast weight matrix: 64 MB
-MAX_GRAM_WIDTH = 4_096  # a square matrix of this width is 128 MB on the driver
 
 
 def name_clusters(
@@ -39,80 +32,70 @@ def name_clusters(
     category: str = "category",
     name: str = "item_name",
     tokens: str = "tokens",
-    rank: int | None = None,
-    seed: int = 42,
     max_iter: int = 100,
 ) -> DataFrame:
     """Cluster the names of every category by their similarity profile: ``(category, name, cluster)``.
 
-    The profile of a name is its row of cosines with all names of the category.  With unit rows
-    ``X = U S V'`` the rows of ``X X'`` and of ``X V S`` have the same distances, so K-means on the
-    latter needs no square matrix.  All singular values are kept, which is exact; ``rank`` keeps fewer
-    on request.  Tokens of one character are left out; a name without any other has the zero profile.
+    The profile of a name is its row of cosines with all names of the category, and the clusters are
+    those of K-means on the profiles, from the first ``k`` names in order.  No profile is ever built:
+    with unit rows ``X`` the distance of ``x`` to a centre ``c`` is ``(x - c) X'X (x - c)``, which needs
+    the sums ``X c`` and ``X'(X c)`` only.  All categories run in the same jobs; a round is a few
+    aggregates over the cells of ``X``, and a category may be of any size.  Tokens of one character are
+    left out; a name without any other has the zero profile.  Equal distances go to the smaller cluster.
     """
-    long_tokens = F.filter(tokens, lambda t: F.length(t) > 1)
-    rows = materialize(
-        df.select(category, name, long_tokens.alias("_tokens")).dropDuplicates([category, name]),
-        partition_by=[category],
+    names = materialize(df.select(F.col(category).alias("cat"), F.col(name).alias("name")).distinct())
+    long_tokens = F.explode(F.filter(tokens, lambda t: F.length(t) > 1)).alias("token")
+    one = df.dropDuplicates([category, name]).select(F.col(category).alias("cat"), F.col(name).alias("name"), long_tokens)
+    counts = one.groupBy("cat", "name", "token").agg(F.count(F.lit(1)).alias("c"))
+    norms = counts.groupBy("cat", "name").agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("norm"))
+    cells = materialize(
+        counts.join(norms, ["cat", "name"]).select("cat", "name", "token", (F.col("c") / F.col("norm")).alias("x"))
     )
-    found = [r[0] for r in rows.select(category).distinct().orderBy(category).collect()]
-
-    def fit(value) -> DataFrame:
-        part = rows.filter(F.col(category) == value)
-        return _profile_clusters(part, name, k, rank, seed, max_iter).select(
-            F.lit(value).alias(category), name, "cluster"
-        )
-
-    with ThreadPoolExecutor(PARALLEL_CATEGORIES) as pool:
-        return reduce(DataFrame.unionByName, pool.map(fit, found))
-
-
-def _profile_clusters(part: DataFrame, name: str, k, rank, seed, max_iter) -> DataFrame:
-    spark = part.sparkSession
-    width = part.select(F.explode("_tokens").alias("t")).agg(F.count_distinct("t")).first()[0]
-    if not width:
-        return part.select(name, F.lit(0).alias("cluster"))
-    counter = CountVectorizer(inputCol="_tokens", outputCol="_counts", vocabSize=width)
-    norm = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0)
-    model = Pipeline(stages=[counter, norm]).fit(part)
-    units = model.transform(part)
-    vocabulary = model.stages[0].vocabulary
-    loads = _loads(row_matrix(units, "_unit"), len(vocabulary), rank or len(vocabulary))
-    table = spark.createDataFrame(
-        [(t, [float(x) for x in row]) for t, row in zip(vocabulary, loads)],
-        "token string, load array<double>",
+    in_order = Window.partitionBy("cat").orderBy("name")
+    first = names.withColumn("label", F.row_number().over(in_order) - 1).filter(F.col("label") < k)
+    centres = materialize(cells.join(first, ["cat", "name"]).select("cat", "label", "token", F.col("x").alias("c")))
+    grid = materialize(first.select("cat", "label"))  # at most k rows a category
+    labels = None
+    for _ in range(max_iter + 1):
+        fresh = materialize(_nearest_profiles(names, cells, centres, grid))
+        if labels is not None:
+            moved = fresh.withColumnRenamed("label", "now").join(labels, ["cat", "name"]).filter("now <> label")
+            if not moved.limit(1).count():
+                break
+        labels = fresh
+        centres = materialize(_mean_profiles(cells, labels, centres))
+    return labels.select(F.col("cat").alias(category), F.col("name").alias(name), F.col("label").alias("cluster"))
+
+
+def _nearest_profiles(names: DataFrame, cells: DataFrame, centres: DataFrame, grid: DataFrame) -> DataFrame:
+    """``(cat, name, label)``: the centre with the nearest profile."""
+    near = cells.join(centres, ["cat", "token"]).groupBy("cat", "name", "label").agg(
+        F.sum(F.col("x") * F.col("c")).alias("s")
     )
-    cells = units.select(
-        name,
-        F.explode("_tokens").alias("token"),
-        F.sqrt(
-            F.aggregate(vector_to_array("_counts"), F.lit(0.0), lambda a, x: a + x * x)
-        ).alias("_norm"),
+    near = materialize(near)
+    squares = near.groupBy("cat", "label").agg(F.sum(F.col("s") * F.col("s")).alias("q"))
+    through = cells.join(near, ["cat", "name"]).groupBy("cat", "token", "label").agg(
+        F.sum(F.col("x") * F.col("s")).alias("p")
     )
-    counted = cells.groupBy(name, "token", "_norm").agg(F.count(F.lit(1)).alias("c"))
-    scaled = F.transform("load", lambda x: x * F.col("c") / F.col("_norm"))
-    vectors = (
-        counted.join(table, "token")
-        .groupBy(name)
-        .agg(Summarizer.sum(array_to_vector(scaled)).alias("_vector"))
+    product = cells.join(through, ["cat", "token"]).groupBy("cat", "name", "label").agg(
+        F.sum(F.col("x") * F.col("p")).alias("d")
     )
-    zero = array_to_vector(F.array(*[F.lit(0.0)] * len(loads[0])))
-    vectors = materialize(
-        part.select(name).join(vectors, name, "left").withColumn("_vector", F.coalesce("_vector", zero))
+    zero = F.lit(0.0)
+    distance = F.round(F.coalesce("q", zero) - 2 * F.coalesce("d", zero), 9)
+    return (
+        names.join(grid.join(squares, ["cat", "label"], "left"), "cat")
+        .join(product, ["cat", "name", "label"], "left")
+        .groupBy("cat", "name")
+        .agg(F.min_by("label", F.struct(distance.alias("gap"), "label")).alias("label"))
     )
-    means = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_vector", predictionCol="cluster")
-    return means.fit(vectors).transform(vectors).select(name, "cluster")
-
-
-def _loads(matrix: RowMatrix, width: int, rank: int) -> np.ndarray:
-    """``V S`` of a distributed matrix, largest singular values first."""
-    rank = min(rank, width)
-    if width > MAX_GRAM_WIDTH:
-        svd = matrix.computeSVD(rank, False)
-        return svd.V.toArray() * svd.s.toArray()
-    squares, vectors = np.linalg.eigh(matrix.computeGramianMatrix().toArray())
-    order = np.argsort(-squares, kind="stable")[:rank]
-    return vectors[:, order] * np.sqrt(np.maximum(squares[order], 0.0))
+
+
+def _mean_profiles(cells: DataFrame, labels: DataFrame, centres: DataFrame) -> DataFrame:
+    """New centres ``(cat, label, token, c)``; a cluster without names keeps its centre."""
+    sizes = labels.groupBy("cat", "label").agg(F.count(F.lit(1)).alias("n"))
+    sums = cells.join(labels, ["cat", "name"]).groupBy("cat", "label", "token").agg(F.sum("x").alias("x"))
+    means = sums.join(sizes, ["cat", "label"]).select("cat", "label", "token", (F.col("x") / F.col("n")).alias("c"))
+    return means.unionByName(centres.join(sizes, ["cat", "label"], "left_anti"))
 
 
 def char_grams(col: F.Column, n: int = 2) -> F.Column:

@@ -26,6 +26,7 @@ from tillroll.registry.text import (
     V_PRODUCT,
     products,
     tokened,
+    tokens_sql,
     wide_top,
 )
 from tillroll.session import materialize
@@ -309,15 +310,56 @@ def q_density_groups(spark, sf):
 # --- names -------------------------------------------------------------------------------------
 
 
-@query("name_clusters")
+NAME_ROUNDS, NAME_CLUSTERS = 3, 4
+
+
+def name_rounds_sql() -> list[str]:
+    """The clusters unrolled: the first names as centres, then labels and mean profiles in turns."""
+    views = [
+        f"toks AS (SELECT DISTINCT category, item_name, {tokens_sql('item_name')} AS t FROM v_product)",
+        """counted AS (
+  SELECT category, item_name, token, count(*) AS c FROM (SELECT category, item_name, unnest(t) AS token FROM toks)
+  WHERE len(token) > 1 GROUP BY ALL)""",
+        "cells AS (SELECT *, c / sqrt(sum(c * c) OVER (PARTITION BY category, item_name)) AS x FROM counted)",
+        f"""firsts AS (
+  SELECT category, item_name, row_number() OVER (PARTITION BY category ORDER BY item_name) - 1 AS label FROM toks
+  QUALIFY label < {NAME_CLUSTERS})""",
+        "centre_0 AS (SELECT category, label, token, x AS c FROM cells JOIN firsts USING (category, item_name))",
+    ]
+    for i in range(NAME_ROUNDS + 1):
+        views += [
+            f"""near_{i} AS (
+  SELECT category, item_name, label, sum(x * m.c) AS s FROM cells JOIN centre_{i} m USING (category, token) GROUP BY ALL)""",
+            f"""through_{i} AS (
+  SELECT category, token, label, sum(x * s) AS p FROM cells JOIN near_{i} USING (category, item_name) GROUP BY ALL)""",
+            f"""product_{i} AS (
+  SELECT category, item_name, label, sum(x * p) AS d FROM cells JOIN through_{i} USING (category, token) GROUP BY ALL)""",
+            f"square_{i} AS (SELECT category, label, sum(s * s) AS q FROM near_{i} GROUP BY ALL)",
+            f"""label_{i} AS (
+  SELECT category, item_name, arg_min(label, (round(coalesce(q, 0) - 2 * coalesce(d, 0), 9), label)) AS label
+  FROM (SELECT t.category, t.item_name, f.label FROM toks t JOIN firsts f USING (category))
+  LEFT JOIN square_{i} USING (category, label) LEFT JOIN product_{i} USING (category, item_name, label) GROUP BY ALL)""",
+            f"""centre_{i + 1} AS (
+  SELECT category, label, token, sum(x) / any_value(n) AS c FROM cells JOIN label_{i} USING (category, item_name)
+  JOIN (SELECT category, label, count(*) AS n FROM label_{i} GROUP BY ALL) USING (category, label) GROUP BY category, label, token
+  UNION ALL SELECT * FROM centre_{i} ANTI JOIN label_{i} USING (category, label))""",
+        ]
+    return views
+
+
+@query(
+    "name_clusters",
+    v.with_views(V_PRODUCT, *name_rounds_sql())
+    + f"SELECT category, item_name, CAST(label AS INTEGER) AS cluster FROM label_{NAME_ROUNDS}",
+)
 def q_name_clusters(spark, sf):
-    return nm.name_clusters(tokened(spark, sf), 4, max_iter=20)
+    return nm.name_clusters(tokened(spark, sf), NAME_CLUSTERS, max_iter=NAME_ROUNDS)
 
 
 @query("keyword_report")
 def q_keyword_report(spark, sf):
     names = tokened(spark, sf)
-    clusters = nm.name_clusters(names, 4, max_iter=20)
+    clusters = nm.name_clusters(names, NAME_CLUSTERS, max_iter=NAME_ROUNDS)
     joined = names.join(clusters, ["category", "item_name"])
     counts = kw.token_count_weighted(joined, "tokens", "item", ["category", "cluster"])
     top = kw.top_n(counts, ["category", "cluster"], 8)
