@@ -356,7 +356,27 @@ def q_name_clusters(spark, sf):
     return nm.name_clusters(tokened(spark, sf), NAME_CLUSTERS, max_iter=NAME_ROUNDS)
 
 
-@query("keyword_report")
+_REPORT = ", ".join(
+    f"max(CASE WHEN cluster = {j} THEN token END) AS clusterName_{j}, max(CASE WHEN cluster = {j} THEN num END) AS clusterNum_{j}"
+    for j in range(NAME_CLUSTERS)
+)
+
+
+@query(
+    "keyword_report",
+    v.with_views(
+        V_PRODUCT,
+        *name_rounds_sql(),
+        f"""named AS (
+  SELECT category, label AS cluster, item, unnest({tokens_sql('item_name')}) AS token
+  FROM v_product JOIN label_{NAME_ROUNDS} USING (category, item_name) WHERE item > 0)""",
+        "summed AS (SELECT category, cluster, token, CAST(sum(item) AS BIGINT) AS num FROM named GROUP BY ALL)",
+        """best AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY category, cluster ORDER BY num DESC, token) AS INTEGER) AS rank FROM summed)""",
+        "ranks AS (SELECT DISTINCT category, CAST(unnest(range(1, 9)) AS INTEGER) AS rank FROM summed)",
+    )
+    + f"SELECT category, rank, {_REPORT} FROM ranks LEFT JOIN best USING (category, rank) GROUP BY category, rank",
+)
 def q_keyword_report(spark, sf):
     names = tokened(spark, sf)
     clusters = nm.name_clusters(names, NAME_CLUSTERS, max_iter=NAME_ROUNDS)
