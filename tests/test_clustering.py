@@ -68,6 +68,30 @@ def test_kmedoids_are_rows_and_cost_is_theirs(blobs, init):
     assert model.cost == pytest.approx(sum(min(math.dist(p, m) for m in medoids) for p in data))
 
 
+@pytest.mark.parametrize("block", [7, 4096])
+def test_the_medoid_is_sought_among_all_rows(spark, block):
+    # Skewed values: the medoid is the median, far from the mean.
+    rng = np.random.default_rng(3)
+    x = np.exp(2 * rng.normal(size=501))
+    df = spark.createDataFrame([(float(a),) for a in x], "x double")
+    model = cl.kmedoids(df, ["x"], 1, block=block)
+    assert model.centres == [{"x": float(np.median(x))}]
+    assert model.cost == pytest.approx(np.abs(x - np.median(x)).sum())
+
+
+def test_no_row_of_a_cluster_is_better_than_its_medoid(spark):
+    rng = np.random.default_rng(5)
+    data = [tuple(map(float, r)) for r in np.round(np.exp(rng.normal(size=(400, 3)) * [0.5, 1, 2]), 1)]
+    model = cl.kmedoids(spark.createDataFrame(data * 2, "x double, y double, z double"), ["x", "y", "z"], 3, block=50)
+    medoids = [(m["x"], m["y"], m["z"]) for m in model.centres]
+    label = [min(range(3), key=lambda j: (math.dist(p, medoids[j]), j)) for p in data]
+    assert model.cost == pytest.approx(2 * sum(math.dist(p, medoids[j]) for p, j in zip(data, label)))
+    for j in range(3):
+        own = [p for p, at in zip(data, label) if at == j]
+        sums = [sum(math.dist(p, q) for q in own) for p in own]
+        assert sum(math.dist(p, medoids[j]) for p in own) == pytest.approx(min(sums))
+
+
 def test_costs_are_those_of_the_returned_centres(blobs):
     for rounds in (0, 1, 30):
         model = cl.kmodes(blobs, ["c", "truth"], 2, rounds, init="first")

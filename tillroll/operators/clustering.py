@@ -7,19 +7,27 @@ never moved for it, and one round of a fit is one two-phase aggregate per label.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.session import materialize
+
 MAX_CLUSTERS = 10_000
-MEDOID_CANDIDATES = 20
+#: Rows whose sums are taken in one job, bins of a column for their lower bounds, distances held at once.
+MEDOID_BLOCK = 4096
+MEDOID_BINS = 256
+MEDOID_PAIRS = 1 << 18
+#: Sums that differ by less than this share are equal; partial sums are added in any order.
+_TIE = 1e-12
 
 
 def _literal(value) -> str:
@@ -224,65 +232,173 @@ def kmedoids(
     seed: int = 50,
     restarts: int = 1,
     init: str = "hash",
-    candidates: int = MEDOID_CANDIDATES,
+    block: int = MEDOID_BLOCK,
 ) -> Centres:
     """K-medoids with Euclidean distance; centres are rows of the data.
 
-    The same search at every size: starting rows are improved by swaps.  In each cluster the
-    ``candidates`` rows nearest to its mean stand against the medoid, their summed distances to the
-    whole cluster are compared exactly, and the swaps stay while the cost over all rows falls.  Of
-    several restarts the cheapest is kept.
+    The same search at every size: rows go to their nearest medoid, and each cluster's medoid becomes
+    the row with the smallest summed distance to the whole cluster, in turns until the cost no longer
+    falls.  Every row of a cluster stands for medoid: it is left out only if a lower bound of its sum
+    is above the sum of another row, else its sum is taken, ``block`` rows a job.  Of several restarts
+    the cheapest is kept.  Rows with a missing value have no distance and are left out of the fit.
     """
-    points = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).distinct()
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    points = materialize(values.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("_w")))
     found = []
     for i in range(restarts):
         start = Centres(_starting_rows(points, columns, k, seed + i, init), columns, root=True)
-        cost = float(df.agg(F.sum(start.nearest()["cost"])).first()[0] or 0.0)
-        found.append(_swap_medoids(df, points, replace(start, cost=cost), columns, max_iter, candidates))
+        found.append(_move_medoids(points, start, max_iter, block))
     return _best(found)
 
 
-def _swap_medoids(df, points, model: Centres, columns, max_iter, candidates) -> Centres:
-    for _ in range(max_iter):
-        labelled = model.label(df, "_label")
-        means = {
-            r["_label"]: r
-            for r in labelled.groupBy("_label").agg(*[F.avg(c).alias(c) for c in columns]).collect()
-        }
-        centres = list(model.centres)
-        gaps = ", ".join(
-            _distance_sql(columns, means[j].asDict()) if j in means else "0D"
-            for j in range(len(centres))
-        )
-        closest = Window.partitionBy("_label").orderBy("_gap", *columns)
-        near = (
-            model.label(points, "_label")
-            .withColumn("_gap", F.expr(f"array({gaps})[_label]"))
-            .withColumn("_rank", F.row_number().over(closest))
-            .filter(F.col("_rank") <= candidates)
-            .collect()
-        )
-        options_of = {j: [c] for j, c in enumerate(centres) if j in means}
-        for r in sorted(near, key=lambda r: r["_rank"]):
-            options_of[r["_label"]].append({c: r[c] for c in columns})
-        trials = list(options_of.items())
-        sums = [
-            F.expr(f"sum(if(_label = {j}, sqrt({_distance_sql(columns, option)}), NULL)) AS s_{j}_{i}")
-            for j, options in trials
-            for i, option in enumerate(options)
-        ]
-        result = labelled.agg(*sums).first()
-        for j, options in trials:
-            order = min(range(len(options)), key=lambda i: result[f"s_{j}_{i}"])
-            centres[j] = options[order]
+def _move_medoids(points: DataFrame, model: Centres, max_iter: int, block: int) -> Centres:
+    best = None
+    for turn in range(max_iter + 1):
+        near = points.select("_w", model.nearest().alias("_near"))
+        rows = near.groupBy("_near.label").agg(F.sum(F.col("_near.cost") * F.col("_w")).alias("cost")).collect()
+        costs = {r["label"]: r["cost"] for r in rows}
+        model = replace(model, cost=math.fsum(costs.values()))
+        if best is not None and not model.cost < best.cost:
+            break
+        best = model
+        if turn == max_iter:
+            break
+        centres = _medoids(points, model, costs, block)
         if centres == model.centres:
             break
-        moved = Centres(centres, columns, root=True)
-        cost = float(df.agg(F.sum(moved.nearest()["cost"])).first()[0])
-        if not cost < model.cost:
+        model = replace(model, centres=centres)
+    return best
+
+
+def _medoids(points: DataFrame, model: Centres, costs: dict[int, float], block: int) -> list[dict]:
+    """The exact medoid of each cluster of ``model``; of equal sums the current one, then the smallest row."""
+    columns = model.numeric
+    own = points.select(*columns, "_w", model.nearest()["label"].alias("_label"))
+    # Bounds only spare sums; where one job takes all of them, they are not needed.
+    few = points.limit(block).count() < block
+    bounded = own.withColumn("_bound", F.lit(0.0)) if few else _sum_bounds(own, model, costs)
+    least = {j: (costs[j], None) for j in costs}
+    # The order stays the same while the medoids are sought, so that a block begins where the last one ended.
+    scale = F.array(*[F.lit(max(costs.get(j, 0.0), 1e-300)) for j in range(len(model.centres))])
+    names = ["_share", "_label", *columns]
+    ranked = bounded.withColumn("_share", F.col("_bound") / scale[F.col("_label")])
+    last = None
+    while True:
+        limit = F.array(*[F.lit(float(least.get(j, (0.0,))[0])) for j in range(len(model.centres))])
+        rest = ranked.filter(F.col("_bound") <= limit[F.col("_label")])
+        if last is not None:
+            rest = rest.filter(F.struct(*names) > F.struct(*[F.lit(last[c]).alias(c) for c in names]))
+        options = rest.orderBy(*names).limit(block).collect()
+        for at, total in _exact_sums(own, options, columns).items():
+            j, row = options[at]["_label"], [options[at][c] for c in columns]
+            cost, chosen = least[j]
+            gap = _TIE * costs[j]
+            if total < cost - gap or (chosen is not None and abs(total - cost) <= gap and row < chosen):
+                least[j] = (min(total, cost), row)
+        if len(options) < block:
             break
-        model = Centres(centres, columns, root=True, cost=cost)
-    return model
+        last = options[-1]
+    return [
+        dict(zip(columns, least[j][1])) if j in least and least[j][1] is not None else centre
+        for j, centre in enumerate(model.centres)
+    ]
+
+
+def _by_label(batch, columns: list[str]):
+    """Label, values and weights of the rows of each label in a batch."""
+    labels = batch.column("_label").to_numpy(zero_copy_only=False)
+    values = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns], 1)
+    weights = batch.column("_w").to_numpy(zero_copy_only=False)
+    for j in np.unique(labels):
+        at = np.flatnonzero(labels == j)
+        yield int(j), at, values[at], weights[at]
+
+
+def _sum_bounds(own: DataFrame, model: Centres, costs: dict[int, float]) -> DataFrame:
+    """``own`` with ``_bound``: a row's summed distance to its cluster is at least that.
+
+    The sum of distances is at least the length of the vector of summed gaps per column (triangle
+    inequality).  Gaps are summed over bins of the column: exact for other bins, and at least the gap
+    to the mean for the row's own.  The distance to the current medoid gives a second bound.
+    """
+    columns = model.numeric
+    d, bins = len(columns), MEDOID_BINS
+    shares = [i / bins for i in range(1, bins)]
+    edges = own.groupBy("_label").agg(*[F.percentile_approx(c, shares, 10_000).alias(c) for c in columns])
+    cuts = {r["_label"]: [np.array(r[c]) for c in columns] for r in edges.collect()}
+    centres = [np.array([float(c[x]) for x in columns]) for c in model.centres]
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {}
+        for b in batches:
+            for j, _, values, weights in _by_label(b, columns):
+                sums = found.setdefault(j, np.zeros((3, d * bins)))
+                for c in range(d):
+                    slot = c * bins + np.searchsorted(cuts[j][c], values[:, c])
+                    gap = values[:, c] - centres[j][c]
+                    for row, part in zip(sums, (weights, weights * gap, weights * np.abs(gap))):
+                        row += np.bincount(slot, part, d * bins)
+        for j, sums in found.items():
+            slots = np.flatnonzero(sums[0])
+            arrays = [pa.array(np.full(len(slots), j, np.int32)), pa.array(slots.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*arrays, *[pa.array(s[slots]) for s in sums]], names=["label", "slot", "n", "s", "a"])
+
+    parts = own.mapInArrow(tally, "label int, slot int, n double, s double, a double")
+    tables = {j: np.zeros((3, d * bins)) for j in cuts}
+    for r in parts.groupBy("label", "slot").agg(*[F.sum(x).alias(x) for x in "nsa"]).collect():
+        tables[r["label"]][:, r["slot"]] = r["n"], r["s"], r["a"]
+    tables = {j: t.reshape(3, d, bins) for j, t in tables.items()}
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sides = {}
+        for j, (n, s, _) in tables.items():
+            below = [np.cumsum(x, 1) - x for x in (n, s)]
+            above = [x.sum(1, keepdims=True) - y - x for x, y in zip((n, s), below)]
+            sides[j] = (below, above)
+        for b in batches:
+            out = np.zeros(b.num_rows)
+            for j, at, values, _ in _by_label(b, columns):
+                n, s, a = tables[j]
+                below, above = sides[j]
+                gaps = values - centres[j]
+                square, slack = np.zeros(len(at)), np.zeros(len(at))
+                for c in range(d):
+                    slot, v = np.searchsorted(cuts[j][c], values[:, c]), gaps[:, c]
+                    total = below[0][c][slot] * v - below[1][c][slot] + above[1][c][slot] - above[0][c][slot] * v
+                    square += np.square(np.maximum(total + np.abs(n[c][slot] * v - s[c][slot]), 0.0))
+                    slack += n[c].sum() * np.abs(v) + a[c].sum()
+                far = n[0].sum() * np.sqrt(np.square(gaps).sum(1)) - costs[j]
+                out[at] = np.maximum(np.sqrt(square), far) - 1e-9 * slack
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out)], names=[*b.schema.names, "_bound"])
+
+    kinds = ", ".join(f"`{c}` {t}" for c, t in own.dtypes)
+    return own.mapInArrow(bound, f"{kinds}, _bound double")
+
+
+def _exact_sums(own: DataFrame, options: list, columns: list[str]) -> dict[int, float]:
+    """Summed distance of each of the ``options`` to all rows of its label, by place in the list."""
+    places: dict[int, list[int]] = {}
+    for i, r in enumerate(options):
+        places.setdefault(r["_label"], []).append(i)
+    rivals = {j: np.array([[options[i][c] for c in columns] for i in at]) for j, at in places.items()}
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {j: np.zeros(len(r)) for j, r in rivals.items()}
+        for b in batches:
+            for j, _, values, weights in _by_label(b, columns):
+                if j not in rivals:
+                    continue
+                step = max(1, MEDOID_PAIRS // len(rivals[j]))
+                for i in range(0, len(values), step):
+                    square = np.zeros((len(values[i : i + step]), len(rivals[j])))
+                    for c in range(len(columns)):
+                        square += np.square(values[i : i + step, c, None] - rivals[j][None, :, c])
+                    sums[j] += (np.sqrt(square) * weights[i : i + step, None]).sum(0)
+        for j, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array(places[j], pa.int32()), pa.array(total)], names=["at", "total"])
+
+    found = own.mapInArrow(add, "at int, total double").groupBy("at").agg(F.sum("total").alias("total"))
+    return {r["at"]: r["total"] for r in found.collect()}
 
 
 def cluster_statistics(df: DataFrame, columns: list[str], label: str = "label") -> pd.DataFrame:
