@@ -39,6 +39,17 @@ def test_odd_texts(frame):
     assert sorted(r.doc_id if r.doc_id is not None else -1 for r in kept.collect()) == [-1, 3, 4, 5]
 
 
+def test_words_of_one_letter_count(frame):
+    learn = [(i, "a cat and a dog", "en", "x", 0.0) for i in range(30)]
+    learn += [(i + 30, "y el gato o el perro", "es", "x", 0.0) for i in range(30)]
+    filters = language.fit(frame(learn, SCHEMA))
+    table = frame([(i, t, None, "", 0.0) for i, t in enumerate(["A.", "y", "o y", "q", "1 !"])], SCHEMA)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(table, filters).collect()}
+    assert [got[i][0] for i in range(3)] == ["en", "es", "es"] and all(got[i][1] > 0.9 for i in range(3))
+    assert got[3][0] != "und" and got[3][1] == 0.0 and got[4] == ("und", 0.0)
+    assert sorted(r.doc_id for r in language.keep_known(table, filters).collect()) == [0, 1, 2]
+
+
 def test_nothing_to_learn_from(frame):
     filters = language.fit(frame([], SCHEMA))
     got = language.predict(frame([(1, "text", "en", "", 0.0)], SCHEMA), filters).collect()

@@ -65,7 +65,8 @@ def _grams(text: str, letters: np.ndarray, sizes: tuple[int, ...] = SIZES) -> It
                 mixed = (mixed ^ here) * _MULTIPLIERS[k % len(_MULTIPLIERS)]
                 mixed ^= mixed >> np.uint64(29)
                 inner &= (here != 0) | (k in (0, n - 1))
-            yield mixed[inner & ((piece[:m] != 0) | (piece[n - 1 : n - 1 + m] != 0))]
+            # From three on, what lies between two blanks is a whole word.
+            yield mixed[inner if n > 2 else inner & ((piece[:m] != 0) | (piece[n - 1 : n - 1 + m] != 0))]
 
 
 def _cells(grams: np.ndarray, cells: int, probes: int) -> list[np.ndarray]:
