@@ -64,6 +64,23 @@ def test_contexts_find_what_the_base_misses(frame):
     assert cut[5] == "my card number <CARD> thanks" and cut[6] == other[0]
 
 
+def with_check_digit(body):
+    digits = [int(c) for c in reversed(body)]
+    total = sum(d if i % 2 else 2 * d - 9 * (d > 4) for i, d in enumerate(digits))
+    return body + str(-total % 10)
+
+
+def test_found_values_lead_to_new_patterns(frame):
+    good = [with_check_digit(f"4{i:02d}000000000000") for i in range(18)]
+    bad = [n[:-1] + str((int(n[-1]) + 1) % 10) for n in (with_check_digit(f"5{i:02d}000000000000") for i in range(4))]
+    # Three numbers are found next to 16 cards; with two more cards they make up the context of the fourth.
+    texts = [f"some w{i} my card number {n} t{i} lot" for i, n in enumerate(good[:16] + bad[:3])]
+    texts += [f"x{i} please charge it {n} z{i} soon" for i, n in enumerate(good[16:] + bad)]
+    got = {r.doc_id: r for r in personal.per_document(frame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [r for r in range(len(texts)) if got[r].spans.count("card:") != 1] == []
+    assert [got[i].n_card for i in (18, 19, 20, 21, 24)] == [0, 1, 1, 0, 0]
+
+
 def test_empty_table(frame):
     table = frame([], SCHEMA)
     assert personal.per_document(table).count() == 0 and personal.redact(table).count() == 0

@@ -4,7 +4,8 @@ Base finds (addresses, IP numbers, cards, phone numbers) follow fixed expression
 the seeds: the words around them become lexical patterns, pattern and value form a graph, and both sides
 are scored in turns.  A pattern is as sure of a kind as the share of its values that belong to it; a
 value is as sure as its patterns together.  Values that the base expressions miss, but that sure
-patterns name, are added; they strengthen their patterns in the next round.
+patterns name, are added; they strengthen their patterns and make others sure in the next round, until
+nothing new appears.
 
 Only DataFrame functions are used.  A text is read once; what leaves that stage are finds with a few
 words around them.
@@ -40,8 +41,8 @@ _GUARDS = {
     "phone": "+",
     "candidate": r"@|[0-9](?:[\x20().-]{0,2}[0-9]){6}",
 }
-#: Rounds of scoring patterns and values.
-ROUNDS = 3
+#: Patterns and values are scored until there is no new value and the scores rise by no more in all.
+_STILL = 1e-6
 #: Different sure values that a pattern needs, and the share of sure values among its values.
 SUPPORT = 3
 PATTERN_CONFIDENCE = 0.8
@@ -135,7 +136,7 @@ def _graph(finds: DataFrame) -> DataFrame:
 
 def bootstrap(
     finds: DataFrame,
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
     support: int = SUPPORT,
     pattern_confidence: float = PATTERN_CONFIDENCE,
     value_confidence: float = VALUE_CONFIDENCE,
@@ -143,36 +144,43 @@ def bootstrap(
     """Sure patterns ``(kind, pattern, confidence)`` and new values ``(kind, value, score)``.
 
     A pattern's confidence in a kind is the sum of its values' scores over the number of all its
-    different values of any kind; base values score 1, others what the last round gave them.
+    different values of any kind; base values score 1, others what the last round gave them.  Values
+    that were found make new patterns sure.  Rounds go on until nothing new appears; ``rounds`` bounds them.
     """
     edges = materialize(_graph(finds))
     n_values = edges.groupBy("pattern").agg(F.count_distinct("value").alias("n"))
     totals = materialize(n_values.filter(F.col("n") >= support))
-    # Only patterns with enough sure values are ever used; the rest of the graph keeps out of the rounds.
-    seeds = edges.filter("base").groupBy("pattern").agg(F.count(F.lit(1)).alias("sure")).filter(F.col("sure") >= support)
-    live = materialize(edges.join(totals.join(seeds.select("pattern"), "pattern"), "pattern"))
-    values, patterns = None, None
-    for _ in range(rounds):
-        scored = live.withColumn("score", F.col("base").cast("double"))
+    others = edges.filter(~F.col("base"))
+    seeds = edges.filter("base").groupBy("kind", "pattern").agg(F.sum(F.lit(1.0)).alias("score"), F.count(F.lit(1)).alias("sure"))
+    seeds = materialize(seeds)
+    values, patterns, n_before, sum_before, turn = None, None, 0, 0.0, 0
+    while rounds is None or turn < rounds:
+        turn += 1
+        scored = seeds
         if values is not None:
-            known = values.select(F.col("kind").alias("k"), F.col("value").alias("v"), F.col("score").alias("s"))
-            scored = live.join(known, (F.col("kind") == F.col("k")) & (F.col("value") == F.col("v")), "left").withColumn(
-                "score", F.when(F.col("base"), 1.0).otherwise(F.coalesce("s", F.lit(0.0)))
-            )
+            known = others.join(broadcast_keys(values.withColumnRenamed("score", "s")), ["kind", "value"])
+            more = known.groupBy("kind", "pattern").agg(F.sum("s").alias("score"), F.count(F.lit(1)).alias("sure"))
+            both = seeds.unionByName(more).groupBy("kind", "pattern")
+            scored = both.agg(F.sum("score").alias("score"), F.sum("sure").alias("sure"))
         patterns = materialize(
-            scored.groupBy("kind", "pattern")
-            .agg((F.sum("score") / F.max("n")).alias("confidence"), F.count_if(F.col("score") > 0).alias("sure"))
-            .filter((F.col("sure") >= support) & (F.col("confidence") >= pattern_confidence))
+            scored.filter(F.col("sure") >= support)
+            .join(totals, "pattern")
+            .withColumn("confidence", F.col("score") / F.col("n"))
+            .filter(F.col("confidence") >= pattern_confidence)
             .select("kind", "pattern", "confidence")
         )
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))
         values = materialize(
-            live.filter(~F.col("base"))
-            .join(patterns, ["kind", "pattern"])
+            others.join(broadcast_keys(patterns), ["kind", "pattern"])
             .groupBy("kind", "value")
             .agg((1 - doubt).alias("score"))
             .filter(F.col("score") >= value_confidence)
         )
+        # Scores only rise from round to round; where they stand still, nothing new can follow.
+        n, total = values.agg(F.count(F.lit(1)), F.coalesce(F.sum("score"), F.lit(0.0))).first()
+        if n == n_before and total - sum_before <= _STILL:
+            break
+        n_before, sum_before = n, total
     return patterns, values
 
 
