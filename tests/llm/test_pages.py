@@ -48,6 +48,25 @@ def test_single_pages(source, text):
     assert pages.extract(source, own) == text == pages.extract(source, "no such path")
 
 
+LONG = "<p>" + "Long body text. " * 30 + "</p>"
+
+
+@pytest.mark.parametrize(
+    ("source", "starts", "ends"),
+    [
+        (f'<article><h1>Title</h1><p class="lead">Lead.</p><div class="entry-content">{LONG}</div><p>End.</p></article>', "Title Lead. Long", "End."),
+        (f'<article><section class="a">{LONG}</section><section class="b"><p>Other part.</p></section></article>', "Long", "Other part."),
+        (f"<article><p>Before.</p><ul><li>{'item ' * 90}</li></ul><p>After.</p></article>", "Before. item", "After."),
+        (f'<main><h1>Title</h1><div class="text">{LONG}</div><div class="related"><p>Not this.</p></div></main>', "Title Long", "text."),
+        (f'<div class="post"><h1>Title</h1><div class="text">{LONG}</div><div class="more"><p>Teaser.</p></div></div>', "Title Long", "text."),
+    ],
+)
+def test_the_article_is_taken_whole(frame, source, starts, ends):
+    rows = [(i, f"http://h.org/{i}", page(source), "c", "c", "c") for i in range(2)]
+    for r in pages.main_texts(frame(rows, SCHEMA)).collect():
+        assert r.text.startswith(starts) and r.text.endswith(ends)
+
+
 def test_host_decides_against_a_single_page(frame):
     usual = page(f'<div class="story-1">{BODY}</div><div class="more"><p>short</p></div>')
     odd = page(f'<div class="story-77"><p>tiny</p></div><div class="more"><p>{"long teaser text " * 9}</p></div>')

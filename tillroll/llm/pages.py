@@ -3,6 +3,7 @@
 Each page's containers are scored by the running text right below them; the best one votes for its
 path of tags and classes, numbers left out.  Votes are summed per host in Spark, and every page of the
 host is read again along the winning path.  A page without that path keeps its own best container.
+The article or main element around it is taken whole.
 """
 
 from __future__ import annotations
@@ -47,6 +48,8 @@ _INLINE = frozenset(
 )
 #: Elements that hold running text of the container around them.
 _LEAF = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 li dd dt td th figcaption caption".split())
+#: Those of them that are no parts of lists and tables.
+_RUNNING = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6".split())
 #: A start tag ends an open element of these kinds.
 _ENDS = {
     "li": {"li"},
@@ -212,14 +215,36 @@ def text_of(page: Page, roots: set[int]) -> str:
     return " ".join("".join(parts).split())
 
 
+def _whole(page: Page, roots: set[int]) -> set[int]:
+    """The roots with the rest of their article.
+
+    That is the outermost ``article`` around a root, else the nearest ``main``.  A root in neither is
+    joined by the headings and paragraphs right below the elements around it, the body aside.
+    """
+    out, around = set(), set()
+    for root in roots:
+        above = [root]
+        while page.parents[above[-1]] > 0:
+            above.append(page.parents[above[-1]])
+        articles = [e for e in above if page.names[e] == "article"]
+        mains = [e for e in above if page.names[e] == "main"]
+        out.add(articles[-1] if articles else mains[0] if mains else root)
+        if not articles and not mains:
+            around.update(e for e in above[1:])
+    return out | {e for e, p in enumerate(page.parents) if p in around and page.names[e] in _RUNNING}
+
+
 def extract(source: str | None, path: str | None) -> str:
-    """Main text along ``path``; along the page's own best container if the page hasn't got it."""
+    """Main text along ``path``; along the page's own best container if the page hasn't got it.
+
+    What stands beside it in the same article comes with it.
+    """
     page = parse(source)
     roots = {e for e, p in enumerate(page.paths) if p == path and not page.skipped[e] and page.names[e] not in _INLINE}
     if not roots:
         own = best_container(page)
         roots = set() if own is None else {own}
-    return text_of(page, roots)
+    return text_of(page, _whole(page, roots))
 
 
 def host_paths(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
