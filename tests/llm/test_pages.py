@@ -48,6 +48,11 @@ def test_single_pages(source, text):
     assert pages.extract(source, own) == text == pages.extract(source, "no such path")
 
 
+@pytest.mark.parametrize("mark", ['<svg class="i"/>', "<svg/>", "<math />", "<svg-icon></svg-icon>", "<title-bar>", "<svg><title>no</title></svg>"])
+def test_only_raw_elements_are_swallowed(mark):
+    assert pages.extract(page(f"<article><p>One {mark} two.</p><p>Three.</p></article>"), None) == "One two. Three."
+
+
 LONG = "<p>" + "Long body text. " * 30 + "</p>"
 
 

@@ -67,7 +67,7 @@ _CLOSES_P = frozenset(
     "pre section table ul".split()
 )
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/])[^>]*/>|<(?P<raw>{_RAW})(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<more>(?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*+>""",
     re.S | re.I,
 )
