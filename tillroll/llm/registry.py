@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
+    copies,
     decontaminate,
     language,
     licenses,
@@ -284,3 +285,17 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         "probability",
         "is_secret",
     )
+
+
+OP13_SQL = r"""
+WITH cleaned AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
+grouped AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM cleaned GROUP BY body)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
+FROM cleaned JOIN grouped USING (body)
+"""
+
+
+@_query("op13_block_names", OP13_SQL)
+def op13_block_names(spark: SparkSession, folder: str) -> DataFrame:
+    return copies.exact_copies(table(spark, folder, "documents"))
