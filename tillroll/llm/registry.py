@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
@@ -21,6 +21,7 @@ from tillroll.llm import (
     quotes,
     secrets,
     simhash,
+    spelling,
     weighted_sampling,
 )
 from tillroll.llm.common import blank_words_count, table
@@ -299,3 +300,62 @@ FROM cleaned JOIN grouped USING (body)
 @_query("op13_block_names", OP13_SQL)
 def op13_block_names(spark: SparkSession, folder: str) -> DataFrame:
     return copies.exact_copies(table(spark, folder, "documents"))
+
+
+#: Words are damaged where this divides the checksum of id and word, so that there are variants to find.
+DAMAGED = 199
+OP12_SQL = f"""
+WITH RECURSIVE bits AS (
+  SELECT b AS byte, b AS x, 0 AS step FROM range(256) t(b) UNION ALL
+  SELECT byte, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, step + 1 FROM bits WHERE step < 8),
+crc AS (SELECT list(CAST(x AS BIGINT) ORDER BY byte) AS of_byte FROM bits WHERE step = 8),
+found AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc,
+         unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[a-z\\x{{C0}}-\\x{{FF}}]{{6,}}')) AS run
+  FROM documents),
+per_doc AS (SELECT doc, run, count(*) AS times FROM found GROUP BY ALL),
+encoded AS (
+  SELECT *, list_transform(string_split(doc || ':' || run, ''), lambda c: unicode(c)) AS points FROM per_doc),
+hashed AS (
+  SELECT run, times, xor(4294967295::BIGINT, list_reduce(
+    flatten(list_transform(points, lambda p: CASE WHEN p < 128 THEN [p::BIGINT] ELSE [195::BIGINT, (p - 64)::BIGINT] END)),
+    lambda s, b: xor(s >> 8, of_byte[xor(s, b) % 256 + 1]), 4294967295::BIGINT)) AS h
+  FROM encoded, crc),
+damaged AS (
+  SELECT CASE WHEN h % {DAMAGED} = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+              ELSE run END AS word, times FROM hashed),
+words AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM damaged WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+-- Near words agree in what is left when each drops one place, or one drops a place and the other none.
+cut AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words),
+keys AS (
+  SELECT word, n, substr(word, 1, p - 1) || substr(word, p + 1) AS rest, p FROM cut),
+pairs AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM keys a JOIN keys b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION SELECT k.word, k.n, w.word, w.n FROM keys k JOIN words w ON k.rest = w.word
+  UNION SELECT w.word, w.n, k.word, k.n FROM keys k JOIN words w ON k.rest = w.word),
+near AS (SELECT word, n, count(*) AS n_near, max(other_n) AS most FROM pairs GROUP BY ALL),
+best AS (SELECT p.word, min(other) AS form, any_value(other_n) AS form_n FROM pairs p JOIN near USING (word)
+         WHERE other_n = most AND other_n >= 5 * p.n GROUP BY p.word),
+chain AS (
+  SELECT word, word AS root, 0 AS depth FROM words UNION ALL
+  SELECT c.word, b.form, depth + 1 FROM chain c JOIN best b ON c.root = b.word),
+ends AS (SELECT word, root FROM chain QUALIFY row_number() OVER (PARTITION BY word ORDER BY depth DESC) = 1)
+SELECT w.word, form, root, w.n, coalesce(n_near, 0) AS n_near, form_n
+FROM words w LEFT JOIN near USING (word) LEFT JOIN best USING (word) JOIN ends USING (word)
+"""
+
+
+def damaged(doc_id: Column, run: Column) -> Column:
+    """The run, without one code point where the checksum of id and run says so."""
+    h = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), run))
+    at = (h % F.char_length(run)).cast("int")
+    cut = F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.char_length(run)))
+    return F.when(h % DAMAGED == 0, cut).otherwise(run)
+
+
+@_query("op12_spelling_groups", OP12_SQL)
+def op12_spelling_groups(spark: SparkSession, folder: str) -> DataFrame:
+    found = table(spark, folder, "documents").select("doc_id", F.explode(spelling.runs(F.col("text"), 6)).alias("run"))
+    words = found.select(damaged(F.col("doc_id"), F.col("run")).alias("word"))
+    return spelling.variants(spelling.counted(words, "word", 6, 5))
