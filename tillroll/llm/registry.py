@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
+    centroids,
     copies,
     decontaminate,
     language,
@@ -359,3 +360,45 @@ def op12_spelling_groups(spark: SparkSession, folder: str) -> DataFrame:
     found = table(spark, folder, "documents").select("doc_id", F.explode(spelling.runs(F.col("text"), 6)).alias("run"))
     words = found.select(damaged(F.col("doc_id"), F.col("run")).alias("word"))
     return spelling.variants(spelling.counted(words, "word", 6, 5))
+
+
+_NEXT_CENTROIDS = """
+near_{i} AS (
+  SELECT vec_id, v, c, d FROM (
+    SELECT r, vec_id, v, c, list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+    FROM kept, centroids_{i})
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1),
+sums_{i} AS (
+  SELECT c, pos, sum(x) AS s, count(*) AS n
+  FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS pos FROM near_{i}) GROUP BY c, pos),
+means_{i} AS (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS m FROM sums_{i} GROUP BY c),
+centroids_{j} AS (
+  SELECT c, coalesce(means_{i}.m, centroids_{i}.m) AS m FROM centroids_{i} LEFT JOIN means_{i} USING (c)),"""
+OP11_SQL = (
+    """
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+centroids_0 AS (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m
+  FROM (SELECT sha256('1:' || vec_id) AS h, v FROM kept ORDER BY h, v LIMIT 16)),"""
+    + "".join(_NEXT_CENTROIDS.format(i=i, j=i + 1) for i in range(4))
+    + """
+names AS (SELECT c, sha256(array_to_string(m, ',')) AS centroid_sha256 FROM centroids_3)
+SELECT vec_id, CAST(c AS INT) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       centroid_sha256
+FROM near_3 JOIN names USING (c)
+"""
+)
+
+
+@_query("op11_rotated_centroids", OP11_SQL)
+def op11_rotated_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    found, means = centroids.clusters(table(spark, folder, "embeddings"))
+    return centroids.summary(found, means).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
