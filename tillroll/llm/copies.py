@@ -74,8 +74,9 @@ def numbered(keys: DataFrame, name: str = "name", range_rows: int = RANGE_ROWS)
 
 def _named_blocks(docs: DataFrame, id_column: str, text: str, block: int, key: Callable) -> DataFrame:
     """``(id, digest, n, pos, name)``: every block by its name, repeated rows included."""
-    blocks = _blocks(docs, id_column, text, block, key)
-    places = materialize(blocks.drop("block"))
+    # Written once with their characters: cutting a text costs more than reading its blocks.
+    blocks = materialize(_blocks(docs, id_column, text, block, key))
+    places = blocks.drop("block")
     variants = materialize(blocks.select("h", "block").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("variants")))
     clashing = variants.filter("variants > 1").select(F.col("h").alias("clash"))
     if clashing.limit(1).count() == 0:
