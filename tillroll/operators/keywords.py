@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.session import small
+from tillroll.session import materialize
 
-DICTIONARY_CHUNK = 500
+#: Characters of a gram by which keywords are looked up.
+GRAM = 3
+#: An index of keywords below these bounds is broadcast; names then stay where they are.
+INDEX_ROWS, INDEX_BYTES = 500_000, 1 << 25
 
 
 def token_count(df: DataFrame, tokens: str, by: list[str]) -> DataFrame:
@@ -100,45 +103,59 @@ def dictionary_long(wide: DataFrame, categories: list[str]) -> DataFrame:
     return wide.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("name").isNotNull())
 
 
+def _pieces(col: Column, size: int) -> Column:
+    """Distinct substrings of ``size`` characters; the empty one for 0."""
+    return F.array_distinct(F.regexp_extract_all(col, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
+
+
+def keyword_index(keywords: DataFrame, by: str = "category", size: int = GRAM) -> DataFrame:
+    """Every keyword under its rarest gram: rows ``(by, gram, name, num)``, written once.
+
+    A gram has ``size`` characters, or all of a shorter keyword.  A text that holds a keyword holds all its
+    grams, so one of them is enough to look the keyword up; the rarest one meets the fewest names.  How
+    often a gram occurs is told by the counts of the keywords that hold it.
+    """
+    own = keywords.filter(F.col("name").isNotNull()).select(by, "name", "num").distinct()
+    grams = F.when(F.length("name") < size, F.array("name")).otherwise(_pieces(F.col("name"), size))
+    held = F.sum("num").over(Window.partitionBy(by, "gram"))
+    entries = own.withColumn("gram", F.explode(grams)).withColumn("held", held)
+    rarest = F.min_by("gram", F.struct("held", "gram")).alias("gram")
+    return materialize(entries.groupBy(by, "name", "num").agg(rarest))
+
+
 def match_keywords(
     products: DataFrame,
     keywords: DataFrame,
     n: int = 5,
     key: str = "product",
     by: str = "category",
+    size: int = GRAM,
 ) -> DataFrame:
     """The ``n`` most frequent keywords of the class that occur in each product name.
 
-    ``products`` has ``(key, by)``, ``keywords`` has ``(by, name, num)``.  The keywords of a class
-    travel as arrays of at most a few hundred entries, so a product joins one row per array
-    instead of one row per keyword; products without a match keep an empty list.
+    ``products`` has ``(key, by)``, ``keywords`` has ``(by, name, num)``; repeated rows count once, and
+    products without a match keep an empty list.  Names are cut into grams and meet, through an index of the
+    keywords by class and rarest gram, only keywords that share that gram; what they meet is verified.  The
+    join key is ``(class, gram)``, so a hot class is many keys.
     """
-    chunks = keywords.groupBy(by).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(DICTIONARY_CHUNK)).alias("chunks")
-    )
-    lists = (
-        keywords.join(chunks, by)
-        .groupBy(by, F.pmod(F.xxhash64("name"), F.col("chunks")).alias("chunk"))
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct((-F.col("num")).alias("minus_num"), F.col("name")))
-            ).alias("entries")
-        )
-        .drop("chunk")
-    )
-    hits = F.slice(F.filter("entries", lambda e: F.col(key).contains(e["name"])), 1, n)
-    # Grouping by the pair as one value keeps the rows of a hot class apart after the join.
-    pair = F.struct(F.col(key), F.col(by)).alias("pair")
-    found = (
-        products.select(key, by)
-        .distinct()
-        .join(small(lists), by, "left")
-        .groupBy(pair)
-        .agg(F.sort_array(F.flatten(F.collect_list(hits))).alias("hits"))
-    )
-    return found.select(
-        "pair.*", F.transform(F.slice("hits", 1, n), lambda e: e["name"]).alias("keywords")
+    names = products.select(key, by).distinct()
+    index = keyword_index(keywords, by, size)
+    # One row: how large the index is, and which of the size + 1 lengths its grams have.
+    entry_bytes = F.octet_length("name") + F.octet_length(F.col(by).cast("string"))
+    n_entries, n_bytes, sizes = index.agg(
+        F.count(F.lit(1)), F.sum(entry_bytes), F.sort_array(F.collect_set(F.length("gram")))
+    ).first()
+    if n_entries <= INDEX_ROWS and (n_bytes or 0) <= INDEX_BYTES:
+        index = F.broadcast(index)
+    pieces = F.concat(*[_pieces(F.col(key), s) for s in sizes]) if sizes else F.array().cast("array<string>")
+    met = names.withColumn("gram", F.explode(pieces)).join(index, [by, "gram"])
+    entry = F.struct((-F.col("num")).alias("minus_num"), F.col("name"))
+    hits = met.filter(F.col(key).contains(F.col("name"))).groupBy(key, by).agg(
+        F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("hits")
     )
+    found = names.join(hits, [key, by], "left")
+    listed = F.transform("hits", lambda e: e["name"])
+    return found.select(key, by, F.coalesce(listed, F.array().cast("array<string>")).alias("keywords"))
 
 
 def fan_out(df: DataFrame, n: int = 5, column: str = "keywords") -> DataFrame:
