@@ -11,6 +11,7 @@ from tillroll.functions.numbers import half_up
 from tillroll.operators import evaluate as ev
 from tillroll.operators import neighbours as nb
 from tillroll.operators import profile as pf
+from tillroll.operators import vector_index as vi
 from tillroll.registry import views as v
 from tillroll.registry.base import query, sql_round
 from tillroll.registry.text import histogram_sql
@@ -54,6 +55,35 @@ def q_knn_top10(spark, sf):
     return knn(spark, sf, 10)
 
 
+@query(
+    "knn_index_top10",
+    f"WITH {NEAR} SELECT query_id, ref_id, score, CAST(rank AS INTEGER) AS rank FROM near",
+)
+def q_knn_index_top10(spark, sf):
+    """The exact neighbours again, from the inverted file with cells ruled out by their bounds."""
+    index = vi.build_index(references(spark, sf))
+    return vi.search_index(index, vectors(spark, sf), 10, skip_same_id=True)[0]
+
+
+#: The largest cosine, seen from a centroid, under which the approximate search expects a neighbour.
+SPREAD = 0.2
+
+
+@query("knn_index_recall")
+def q_knn_index_recall(spark, sf):
+    """Per query: the share of the ten nearest that the approximate search finds, and what either looked at."""
+    index = vi.build_index(references(spark, sf))
+    exact, looked = vi.search_index(index, vectors(spark, sf), 10, skip_same_id=True)
+    near, probed = vi.search_index(index, vectors(spark, sf), 10, skip_same_id=True, spread=SPREAD)
+    found = exact.join(near.select("query_id", "ref_id", F.lit(1).alias("hit")), ["query_id", "ref_id"], "left")
+    recall = found.groupBy("query_id").agg((F.sum(F.coalesce("hit", F.lit(0))) / F.count(F.lit(1))).alias("recall"))
+    return (
+        recall.join(looked.withColumnRenamed("candidates", "candidates_exact"), "query_id")
+        .join(probed.withColumnRenamed("candidates", "candidates_spread"), "query_id")
+        .withColumn("n_refs", F.lit(int(index.count.sum())))
+    )
+
+
 @query(
     "nearest_sample",
     """WITH vec AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
