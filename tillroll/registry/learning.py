@@ -13,7 +13,9 @@ from tillroll.operators import learning as ln
 from tillroll.operators import names as nm
 from tillroll.operators import neighbours as nb
 from tillroll.operators import taxonomy as tx
+from tillroll.operators import terms as tm
 from tillroll.operators.prepare import Options
+from tillroll.operators.ranking import dense_index
 from tillroll.plans.product_classes import classify_products
 from tillroll.plans.segmentation import segment
 from tillroll.registry import views as v
@@ -24,6 +26,7 @@ from tillroll.registry.text import (
     CLUSTERS,
     KEYWORD_VIEWS,
     V_PRODUCT,
+    clean_sql,
     products,
     tokened,
     tokens_sql,
@@ -495,7 +498,68 @@ def q_name_classifier(spark, sf):
     return found.withColumn("class_name", F.get(F.lit(labels), F.col("class_no") - 1))
 
 
-@query("reference_classifier_grid")
+MATCHES = ("sample", "category", "cs")
+VOTE_KS = (1, 3, 5, 10)
+
+
+def _grams_sql(column: str) -> str:
+    text = f"lower({clean_sql(column)})"
+    return (
+        f"CASE WHEN length({text}) >= 2 THEN list_transform(range(1, length({text})), lambda i: substr({text}, i, 2)) "
+        f"ELSE [{text}] END"
+    )
+
+
+def _vectors_sql(name: str, source: str, key: str, column: str) -> str:
+    """Whole-number weights of the terms of a column, as unit vectors."""
+    return f"""{name} AS (
+  SELECT {key}, term, CAST(floor(1000000.0::DOUBLE * raw / sqrt(sum(raw * raw) OVER (PARTITION BY {key}))) AS BIGINT) AS w
+  FROM (SELECT {key}, term, count(*) * any_value(idf) AS raw
+        FROM (SELECT {key}, unnest({_grams_sql(column)}) AS term FROM {source}) t JOIN idf USING (term)
+        GROUP BY {key}, term) r)"""
+
+
+def _match_sql(match: str) -> str:
+    votes = ",\n".join(
+        f"""vote_{match}_{k} AS (
+  SELECT query_id, category AS pred FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, first) AS r FROM (
+      SELECT query_id, category, count(*) AS n, min(rank) AS first FROM near_{match} JOIN refs USING (ref_id)
+      WHERE rank <= {k} GROUP BY query_id, category) c) o WHERE r = 1)"""
+        for k in VOTE_KS
+    )
+    return f"""{_vectors_sql(f"vec_{match}", "refs", "ref_id", match)},
+near_{match} AS (
+  SELECT query_id, ref_id, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ref_id) AS rank FROM (
+      SELECT query_id, ref_id, CAST(sum(q.w * r.w) AS BIGINT) // 100000000 AS score
+      FROM asked q JOIN vec_{match} r USING (term) GROUP BY query_id, ref_id) d WHERE score > 0) o WHERE rank <= 10),
+{votes}"""
+
+
+@query(
+    "reference_classifier_grid",
+    v.with_views(
+        V_PRODUCT,
+        """refs AS (
+  SELECT *, row_number() OVER (ORDER BY cs) - 1 AS ref_id FROM (
+    SELECT DISTINCT category, sample, category || '-' || sample AS cs FROM (
+      SELECT p_type AS category, trim(p_name) AS sample FROM part
+      UNION ALL SELECT p_type, p_name || ' ' || p_brand FROM part) s) d)""",
+        """names AS (
+  SELECT item_name, row_number() OVER (ORDER BY item_name) - 1 AS query_id FROM (SELECT DISTINCT item_name FROM v_product) n)""",
+        f"""idf AS (
+  SELECT * FROM (
+    SELECT term, CAST(floor(ln(((SELECT count(*) FROM refs) + 1)::DOUBLE / (count(*) + 1)) * 1000) AS BIGINT) AS idf
+    FROM (SELECT DISTINCT ref_id, unnest({_grams_sql("cs")}) AS term FROM refs) t GROUP BY term) i WHERE idf > 0)""",
+        _vectors_sql("asked", "names", "query_id", "item_name"),
+        *[_match_sql(m) for m in MATCHES],
+    )
+    + "SELECT CAST(query_id AS BIGINT) AS query_id, item_name, "
+    + ", ".join(f"vote_{m}_{k}.pred AS pred_{k}_{m}" for m in MATCHES for k in VOTE_KS)
+    + " FROM names "
+    + " ".join(f"LEFT JOIN vote_{m}_{k} USING (query_id)" for m in MATCHES for k in VOTE_KS),
+)
 def q_reference_classifier_grid(spark, sf):
     """Votes of the nearest samples, matched by sample, category or both."""
     part = v.table(spark, sf, "part").withColumnRenamed("p_type", "category")
@@ -503,21 +567,26 @@ def q_reference_classifier_grid(spark, sf):
         tx.sample_lists(part, "category", ["p_name"]),
         part.select("category", F.array(F.concat("p_name", F.lit(" "), "p_brand")).alias("samples")),
     ).dropDuplicates(["cs"])
-    queries = products(spark, sf).select("item_name").distinct().withColumn("query_id", F.xxhash64("item_name"))
-    embedder = nm.TextVectors(64).fit(samples, "cs")
-    asked = materialize(embedder.transform(queries, "item_name"))
-    out = asked.select("query_id", "item_name")
-    for match in ("sample", "category", "cs"):
-        refs = embedder.transform(samples.withColumn("ref_id", F.xxhash64("cs")), match)
-        refs = materialize(refs.select("ref_id", "category", "vector"))
-        near = nb.nearest(asked, refs, 10)
-        pred = nb.vote(asked, near, refs)
+    refs = materialize(numbered(samples, "cs", "ref_id"))
+    names = materialize(numbered(products(spark, sf).select("item_name").distinct(), "item_name", "query_id"))
+    idf = materialize(tm.inverse_frequencies(refs, "cs"))
+    asked = materialize(tm.term_vectors(names, "query_id", "item_name", idf))
+    out = names
+    for match in MATCHES:
+        near = tm.nearest_terms(asked, tm.term_vectors(refs, "ref_id", match, idf), 10)
+        pred = nb.vote(names, near, refs, VOTE_KS)
         out = out.join(
             pred.withColumnsRenamed({c: f"{c}_{match}" for c in pred.columns if c != "query_id"}), "query_id"
         )
     return out
 
 
+def numbered(df, key: str, name: str):
+    """``df`` with the position of its key among the sorted keys."""
+    places = dense_index(df.withColumn("all", F.lit(0)), "all", key, name)
+    return df.join(places.select(key, F.col(name).cast("long").alias(name)), key)
+
+
 # --- models ------------------------------------------------------------------------------------
 
 
