@@ -211,3 +211,24 @@ def test_unknown_grams_take_the_given_weights(spark):
     weights = spark.createDataFrame([("red", [1.0, 0.0])], "gram string, weights array<double>")
     assert nm.classify_names(df, weights, 2, unknown=[0.0, 0.5]).first()["class_no"] == 2
     assert nm.classify_names(df, weights, 2).first()["class_no"] == 1
+
+
+@pytest.mark.parametrize(("dims", "scale"), [(1, 1.0), (2, 1.0), (5, 1.0), (3, 10.0)])
+def test_bounds_of_summed_distances_hold_and_are_close(spark, dims, scale):
+    draw = np.random.default_rng(dims)
+    data = np.exp(draw.normal(size=(400, dims))) * scale ** np.arange(dims)
+    columns = [f"c{i}" for i in range(dims)]
+    own = spark.createDataFrame(
+        [(*map(float, r), 1.0 + i % 2, i % 2) for i, r in enumerate(data)], ", ".join(f"{c} double" for c in columns) + ", _w double, _label int"
+    )
+    model = cl.Centres([dict(zip(columns, data[0])), dict(zip(columns, data[1]))], columns, root=True)
+    middles = cl._middles(own, model)
+    rows = cl._curved_bounds(own.withColumn("_bound", F.lit(-1.0)), columns, middles, cl._bends(own, columns, middles)).collect()
+    for j in (0, 1):
+        mine = [r for r in rows if r["_label"] == j]
+        x, w = np.array([[r[c] for c in columns] for r in mine]), np.array([r["_w"] for r in mine])
+        sums = (np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) * w[None]).sum(1)
+        low = np.array([r["_bound"] for r in mine])
+        assert (low <= sums * (1 + 1e-9)).all()
+        if dims > 1 and scale == 1:  # along a line the bound of the bins, not this one, tells rows apart
+            assert (low <= sums.min()).sum() < 0.1 * len(sums)

@@ -26,6 +26,10 @@ MAX_CLUSTERS = 10_000
 MEDOID_BLOCK = 4096
 MEDOID_BINS = 256
 MEDOID_PAIRS = 1 << 18
+#: Rows of the first such job, steps towards a cluster's middle, and radii of its curvature.
+MEDOID_FIRST = 64
+MEDOID_STEPS = 6
+MEDOID_RADII = 24
 #: Sums that differ by less than this share are equal; partial sums are added in any order.
 _TIE = 1e-12
 
@@ -276,34 +280,146 @@ def _medoids(points: DataFrame, model: Centres, costs: dict[int, float], block:
     own = points.select(*columns, "_w", model.nearest()["label"].alias("_label"))
     # Bounds only spare sums; where one job takes all of them, they are not needed.
     few = points.limit(block).count() < block
-    bounded = own.withColumn("_bound", F.lit(0.0)) if few else _sum_bounds(own, model, costs)
+    if few:
+        bounded = own.withColumn("_bound", F.lit(0.0))
+    else:
+        own = materialize(own)
+        middles = _middles(own, model)
+        bounded = materialize(_curved_bounds(_sum_bounds(own, model, costs), columns, middles, _bends(own, columns, middles)))
     least = {j: (costs[j], None) for j in costs}
     # The order stays the same while the medoids are sought, so that a block begins where the last one ended.
-    scale = F.array(*[F.lit(max(costs.get(j, 0.0), 1e-300)) for j in range(len(model.centres))])
+    # Rows come in the order of their bound in units of their cluster's lowest one, so that all clusters begin.
+    low = {r["_label"]: r["low"] for r in bounded.groupBy("_label").agg(F.min("_bound").alias("low")).collect()}
+    scale = F.array(*[F.lit(max(low.get(j, 0.0), 1e-300)) for j in range(len(model.centres))])
     names = ["_share", "_label", *columns]
     ranked = bounded.withColumn("_share", F.col("_bound") / scale[F.col("_label")])
-    last = None
+    last, taken = None, block if few else min(block, MEDOID_FIRST)
     while True:
         limit = F.array(*[F.lit(float(least.get(j, (0.0,))[0])) for j in range(len(model.centres))])
         rest = ranked.filter(F.col("_bound") <= limit[F.col("_label")])
         if last is not None:
             rest = rest.filter(F.struct(*names) > F.struct(*[F.lit(last[c]).alias(c) for c in names]))
-        options = rest.orderBy(*names).limit(block).collect()
+        options = rest.orderBy(*names).limit(taken).collect()
         for at, total in _exact_sums(own, options, columns).items():
             j, row = options[at]["_label"], [options[at][c] for c in columns]
             cost, chosen = least[j]
             gap = _TIE * costs[j]
             if total < cost - gap or (chosen is not None and abs(total - cost) <= gap and row < chosen):
                 least[j] = (min(total, cost), row)
-        if len(options) < block:
+        if len(options) < taken:
             break
-        last = options[-1]
+        last, taken = options[-1], block
     return [
         dict(zip(columns, least[j][1])) if j in least and least[j][1] is not None else centre
         for j, centre in enumerate(model.centres)
     ]
 
 
+def _label_sums(own: DataFrame, columns: list[str], measure: Callable) -> dict[int, np.ndarray]:
+    """Sums over the rows of each label of an array that ``measure(label, values, weights)`` returns.
+
+    One row per label, partition and number; the sums are as many numbers as the arrays have, per label.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for b in batches:
+            for j, _, values, weights in _by_label(b, columns):
+                found[j] = found.get(j, 0.0) + measure(j, values, weights)
+        for j, x in found.items():
+            arrays = [pa.array(np.full(len(x), j, np.int32)), pa.array(np.arange(len(x), dtype=np.int32)), pa.array(x)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["label", "slot", "x"])
+
+    parts = own.mapInArrow(add, "label int, slot int, x double").groupBy("label", "slot").agg(F.sum("x").alias("x"))
+    out: dict[int, dict[int, float]] = {}
+    for r in parts.collect():
+        out.setdefault(r["label"], {})[r["slot"]] = r["x"]
+    return {j: np.array([x[i] for i in range(len(x))]) for j, x in out.items()}
+
+
+def _directions(y: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of the rows from ``y``, and the unit vectors from the rows to it (none for ``y`` itself)."""
+    gap = y - values
+    reach = np.sqrt(np.square(gap).sum(1))
+    return reach, gap / np.where(reach > 0, reach, 1.0)[:, None]
+
+
+def _middles(own: DataFrame, model: Centres) -> dict[int, np.ndarray]:
+    """About the point of smallest summed distance of each cluster, by a few Newton steps from the medoid.
+
+    A step that does not lower the sum is replaced by one of Weiszfeld's, which never raises it.
+    """
+    columns, d = model.numeric, len(model.numeric)
+    tried = {j: np.array([float(c[x]) for x in columns]) for j, c in enumerate(model.centres)}
+    best: dict[int, tuple] = {}
+
+    def measure(j, values, weights):
+        reach, unit = _directions(tried[j], values)
+        inverse = np.where(reach > 0, weights / np.where(reach > 0, reach, 1.0), 0.0)
+        bend = inverse.sum() * np.eye(d) - (unit * inverse[:, None]).T @ unit
+        return np.concatenate([[(weights * reach).sum(), inverse.sum()], (unit * weights[:, None]).sum(0), bend.ravel()])
+
+    for _ in range(MEDOID_STEPS):
+        moving = False
+        for j, x in _label_sums(own, columns, measure).items():
+            total, pull, slope, bend = x[0], x[1], x[2 : 2 + d], x[2 + d :].reshape(d, d)
+            if j not in best or total < best[j][0]:
+                best[j] = (total, tried[j], pull, slope)
+                step = np.linalg.lstsq(bend, slope, rcond=1e-12)[0]
+                moving |= bool(slope @ step > 1e-9 * total)
+            else:
+                _, _, pull, slope = best[j]
+                step = slope / pull if pull > 0 else 0.0 * slope
+                moving = True
+            tried[j] = best[j][1] - step
+        if not moving:
+            break
+    return {j: x[1] for j, x in best.items()}
+
+
+def _bends(own: DataFrame, columns: list[str], middles: dict[int, np.ndarray]) -> dict[int, tuple]:
+    """Per cluster: summed distance and its slope at the middle, and its least curvature within each radius.
+
+    A row at distance ``R`` along ``u`` is, seen from a point ``v`` away from the middle, at least
+    ``R + u.v + s*s / (2R + 3r)`` away, where ``s`` is the part of ``v`` across ``u`` and ``r`` its length at
+    most.  The last terms add up to a quadratic form per radius.
+    """
+    d = len(columns)
+    spread = _label_sums(own, columns, lambda j, v, w: np.array([(w * _directions(middles[j], v)[0]).sum(), w.sum()]))
+    radii = {j: x[0] / x[1] * 2.0 ** np.arange(3, -MEDOID_RADII + 3, -1) for j, x in spread.items()}
+
+    def measure(j, values, weights):
+        reach, unit = _directions(middles[j], values)
+        forms = []
+        for r in radii[j]:
+            share = weights / np.maximum(2 * reach + 3 * r, 1e-300)
+            forms.append((share.sum() * np.eye(d) - (unit * share[:, None]).T @ unit).ravel())
+        return np.concatenate([[(weights * reach).sum()], (unit * weights[:, None]).sum(0), *forms])
+
+    sums = _label_sums(own, columns, measure)
+    return {j: (x[0], x[1 : 1 + d], radii[j], x[1 + d :].reshape(-1, d, d), spread[j][1]) for j, x in sums.items()}
+
+
+def _curved_bounds(bounded: DataFrame, columns: list[str], middles: dict[int, np.ndarray], bends: dict[int, tuple]) -> DataFrame:
+    """``bounded`` with a ``_bound`` that also counts how the summed distance rises from the middle."""
+
+    def raised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = b.column("_bound").to_numpy(zero_copy_only=False).copy()
+            for j, at, values, _ in _by_label(b, columns):
+                total, slope, radii, forms, weight = bends[j]
+                v = values - middles[j]
+                length = np.sqrt(np.square(v).sum(1))
+                level = np.searchsorted(-radii, -length, side="right") - 1  # the smallest radius that holds v
+                curved = np.einsum("ni,nij,nj->n", v, forms[np.maximum(level, 0)], v)
+                low = total + v @ slope + np.where(level >= 0, curved, 0.0)
+                out[at] = np.maximum(out[at], low - 1e-9 * (total + weight * length))
+            yield b.set_column(b.schema.get_field_index("_bound"), "_bound", pa.array(out))
+
+    kinds = ", ".join(f"`{c}` {t}" for c, t in bounded.dtypes)
+    return bounded.mapInArrow(raised, kinds)
+
+
 def _by_label(batch, columns: list[str]):
     """Label, values and weights of the rows of each label in a batch."""
     labels = batch.column("_label").to_numpy(zero_copy_only=False)

@@ -276,10 +276,38 @@ def q_kprototypes_labels(spark, sf):
     return model.label(rows).select("mid", "pma_no_fin", "label")
 
 
-@query("kmedoids_labels")
+def medoids_sql(numeric: list[str], k: int) -> str:
+    """The fit unrolled: ``ROUNDS`` times labels, and the row of each label with the smallest summed distance."""
+    names = ", ".join(numeric)
+    away = lambda a, b: f"sqrt({' + '.join(f'pow({a}.{c} - {b}.{c}, 2)' for c in numeric)})"
+    views = [
+        f"""centre_0 AS (
+  SELECT row_number() OVER (ORDER BY {names}) - 1 AS label, * FROM (
+    SELECT DISTINCT {names} FROM fit_rows ORDER BY ALL LIMIT {k}))"""
+    ]
+    for i in range(ROUNDS + 1):
+        views.append(
+            f"""near_{i} AS (
+  SELECT r.*, arg_min(m.label, ({away("r", "m")}, m.label)) AS label
+  FROM fit_rows r, centre_{i} m GROUP BY ALL)"""
+        )
+        views.append(
+            f"""centre_{i + 1} AS (
+  SELECT label, {names} FROM (
+    SELECT a.label, {", ".join(f"a.{c}" for c in numeric)}, sum({away("a", "b")} * b.w) AS total
+    FROM (SELECT DISTINCT label, {names} FROM near_{i}) a
+    JOIN (SELECT label, {names}, count(*) AS w FROM near_{i} GROUP BY ALL) b USING (label) GROUP BY ALL) s
+  QUALIFY row_number() OVER (PARTITION BY label ORDER BY total, {names}) = 1
+  UNION ALL SELECT * FROM centre_{i} WHERE label NOT IN (SELECT label FROM near_{i}))"""
+        )
+    fit = v.with_views(*feature_views(), _FIT_ROWS, *views)
+    return fit + f"SELECT mid, pma_no_fin, CAST(label AS INTEGER) AS label FROM near_{ROUNDS}"
+
+
+@query("kmedoids_labels", medoids_sql(COLUMNS, 4))
 def q_kmedoids_labels(spark, sf):
     rows = fit_rows(spark, sf)
-    model = cl.kmedoids(rows, COLUMNS, 4, max_iter=10)
+    model = cl.kmedoids(rows, COLUMNS, 4, max_iter=ROUNDS, init="first")
     return model.label(rows).select("mid", "pma_no_fin", "label")
 
 
