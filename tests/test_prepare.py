@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import prepare as pr
 from tillroll.operators import profile as pf
+from tillroll.operators import quantiles
 from tillroll.operators.quantiles import exact_quantiles
 from tillroll.operators.ranking import dense_index
 
@@ -102,6 +103,25 @@ def test_quantiles_of_odd_numbers_are_the_same_on_both_sides(spark):
     assert [r[3] for r in got[0] if r[0] == "a"] == [np.quantile([i % 7 for i in range(40)], p) for p in probs]
 
 
+@pytest.mark.parametrize(("accuracy", "margin"), [(10_000, 0.001), (20, 0.0001)])
+def test_sketched_ranks_are_exact(spark, monkeypatch, accuracy, margin):
+    # The second sketch is too coarse for its margin: what it misses is sought again.
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    monkeypatch.setattr(quantiles, "MARGIN", margin)
+    rng = np.random.default_rng(4)
+    hot = np.round(rng.lognormal(0, 2, 30_000), 2)
+    data = [(None, float(x)) for x in hot] + [(f"g{i % 700}", float(x)) for i, x in enumerate(rng.normal(size=5000))]
+    df = spark.createDataFrame(data, "g string, x double")
+    probs = [0.0, 0.013, 0.5, 0.9995, 1.0]
+    got = {(r["g"], r["prob"]): r["value"] for r in exact_quantiles(df, ["g"], ["x"], probs, 100, 16).collect()}
+    assert len(got) == 701 * len(probs)
+    groups = {}
+    for g, x in data:
+        groups.setdefault(g, []).append(x)
+    for (g, p), value in got.items():
+        assert value == pytest.approx(np.quantile(groups[g], p), abs=1e-12)
+
+
 def test_value_share_counts_blanks_apart(spark):
     df = spark.createDataFrame([(0, "a"), (0, "a"), (0, "b"), (0, " "), (0, None)], "label int, c string")
     got = {r["value"]: (r["cnt"], r["pct"], r["null_cnt"], r["null_pct"]) for r in pf.value_share(df, ["c"]).collect()}
