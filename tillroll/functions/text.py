@@ -13,8 +13,6 @@ KEPT = "0-9a-zA-Z\\u4e00-\\u9fff"
 CJK = "\\u4e00-\\u9fff"
 # End of fixed values.
 
-MAX_DICTIONARY = 20_000
-
 
 def clean(col: Column, filler: str = "") -> Column:
     """Keep digits, Latin letters and CJK; every other run becomes ``filler``.
@@ -62,10 +60,11 @@ def spaced_tokens(col: Column) -> Column:
 
 
 def dictionary_tokens(col: Column, dictionary: Iterable[str]) -> Column:
-    """Longest-match segmentation: dictionary words first, then Latin/digit runs, then characters."""
+    """Longest-match segmentation: dictionary words first, then Latin/digit runs, then characters.
+
+    For a list of words at hand.  A large dictionary is a table: ``operators.segmenter``.
+    """
     entries = sorted({w for w in dictionary if w}, key=lambda w: (-len(w), w))
-    if len(entries) > MAX_DICTIONARY:
-        raise ValueError(f"a dictionary holds at most {MAX_DICTIONARY} words")
     choices = [re.escape(w) for w in entries] + ["[0-9a-zA-Z]+", f"[{CJK}]"]
     return F.regexp_extract_all(clean(col, " "), F.lit(f"({'|'.join(choices)})"))
 

@@ -8,6 +8,7 @@ from tillroll.functions import places, text
 from tillroll.operators import keywords as kw
 from tillroll.operators import pages as pg
 from tillroll.operators import prepare as pr
+from tillroll.operators import segmenter as sg
 from tillroll.plans.crawl import store_products
 from tillroll.registry import views as v
 from tillroll.registry.base import query
@@ -175,6 +176,41 @@ def q_dictionary_tokens(spark, sf):
     return part.select("p_partkey", F.array_join(text.dictionary_tokens(name, _ENTRIES), "|").alias("tokens"))
 
 
+# Names without blanks, cut by the words of all names and their halves; sizes are no words.
+@query(
+    "probable_tokens",
+    r"""WITH RECURSIVE word AS (SELECT unnest(string_split(p_name, ' ')) AS w FROM part),
+piece AS (
+  SELECT w AS word FROM word UNION ALL SELECT substr(w, 1, length(w) // 2) FROM word
+  UNION ALL SELECT substr(w, length(w) // 2 + 1) FROM word),
+counted AS (SELECT word, count(*) AS n FROM piece WHERE word <> '' GROUP BY word),
+weight AS (
+  SELECT word, CAST(floor(ln(n / (SELECT CAST(sum(n) AS DOUBLE) FROM counted)) * 1000) AS BIGINT) AS weight FROM counted),
+joined AS (SELECT DISTINCT replace(p_name, ' ', '') || p_size AS name FROM part),
+path AS (
+  SELECT name, 0 AS pos, CAST(0 AS BIGINT) AS score, CAST([] AS BIGINT[]) AS steps, CAST([] AS VARCHAR[]) AS tokens FROM joined
+  UNION ALL
+  SELECT p.name, CAST(pos + length(c.word) AS INTEGER), score + c.weight, list_append(steps, length(c.word)), list_append(tokens, c.word)
+  FROM path p, LATERAL (
+    SELECT word, weight FROM weight WHERE starts_with(substr(p.name, pos + 1), word)
+    UNION ALL SELECT substr(p.name, pos + 1), (SELECT min(weight) - 1000 FROM weight)) c
+  WHERE pos < length(p.name)),
+best AS (
+  SELECT name, tokens FROM path WHERE pos = length(name)
+  QUALIFY row_number() OVER (PARTITION BY name ORDER BY score DESC, steps DESC) = 1)
+SELECT p_partkey, array_to_string(tokens, '|') AS tokens
+FROM part JOIN best ON best.name = replace(p_name, ' ', '') || p_size""",
+)
+def q_probable_tokens(spark, sf):
+    part = v.table(spark, sf, "part")
+    word = part.select(F.explode(F.split("p_name", " ")).alias("w"))
+    half = F.floor(F.length("w") / 2).cast("int")
+    pieces = F.array(F.col("w"), F.substring("w", F.lit(1), half), F.substring("w", half + 1, F.length("w")))
+    dictionary = word.select(F.explode(pieces).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    names = part.select("p_partkey", F.concat(F.replace("p_name", F.lit(" "), F.lit("")), F.col("p_size").cast("string")).alias("name"))
+    return sg.segment(names, "name", dictionary).select("p_partkey", F.array_join("tokens", "|").alias("tokens"))
+
+
 @query("path_names", "SELECT p_partkey, replace(p_type || '/' || p_name, '/', '_') AS name FROM part")
 def q_path_names(spark, sf):
     name = F.concat("p_type", F.lit("/"), "p_name")
