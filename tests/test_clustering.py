@@ -232,3 +232,46 @@ def test_bounds_of_summed_distances_hold_and_are_close(spark, dims, scale):
         assert (low <= sums * (1 + 1e-9)).all()
         if dims > 1 and scale == 1:  # along a line the bound of the bins, not this one, tells rows apart
             assert (low <= sums.min()).sum() < 0.1 * len(sums)
+
+
+def jobs_of(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    out = run()
+    count = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    spark.sparkContext.setJobGroup("rest", "rest")
+    return out, count
+
+
+def test_all_k_move_in_the_same_rounds(spark):
+    draw = np.random.default_rng(8)
+    data = [(float(x), float(y), "uvw"[i % 3], "pq"[i % 2]) for i, (x, y) in enumerate(draw.normal(size=(300, 2)) + 4 * draw.integers(3, size=(300, 1)))]
+    df = spark.createDataFrame(data, "x double, y double, a string, b string").cache()
+    ks = [2, 3, 5, 6]
+    for grid, one in (
+        (lambda k: cl.kmeans_grid(df, ["x", "y"], k, 5, init="first"), lambda k: cl.kmeans(df, ["x", "y"], k, 5, init="first")[1]),
+        (lambda k: cl.kmodes_grid(df, ["a", "b"], k, 5, restarts=2), lambda k: cl.kmodes(df, ["a", "b"], k, 5, restarts=2).cost),
+        (lambda k: cl.kprototypes_grid(df, ["x"], ["a"], k, 1.0, 5), lambda k: cl.kprototypes(df, ["x"], ["a"], k, 1.0, 5).cost),
+    ):
+        assert {k: m.cost for k, m in grid(ks).items()} == pytest.approx({k: one(k) for k in ks})
+
+
+def test_the_number_of_jobs_does_not_follow_the_number_of_k(spark):
+    draw = np.random.default_rng(9)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in draw.normal(size=(200, 2))], "x double, y double").cache()
+
+    def run(ks):
+        fits = {k: (m.label(df), m.cost) for k, m in cl.kmeans_grid(df, ["x", "y"], ks, 3, init="first").items()}
+        return cl.score_grid(fits, ["x", "y"], spark, with_silhouette=True)
+
+    run([2])
+    _, few = jobs_of(spark, "few", lambda: run([2, 3]))
+    scores, many = jobs_of(spark, "many", lambda: run([2, 3, 4, 5, 6, 7]))
+    assert many <= few + 1 and scores.count() == 6 * 5
+
+
+def test_silhouettes_of_several_labellings(spark, blobs):
+    labelled = {k: cl.kmeans(blobs, ["x", "y"], k, 4, init="first")[0] for k in (1, 2, 4)}
+    found = cl.silhouette_grid(labelled, cl.statistics_grid(labelled, ["x", "y"]), ["x", "y"])
+    assert math.isnan(found[1])
+    for k in (2, 4):
+        assert found[k] == pytest.approx(cl.silhouette(labelled[k], ["x", "y"]))

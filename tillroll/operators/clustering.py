@@ -7,8 +7,9 @@ never moved for it, and one round of a fit is one two-phase aggregate per label.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -105,28 +106,43 @@ def _starting_rows(df: DataFrame, columns: list[str], k: int, seed: int, init: s
     return [r.asDict() for r in rows]
 
 
-def _rounds(
-    df: DataFrame,
-    start: Centres,
-    update: dict[str, Column],
-    max_iter: int,
-) -> Centres:
-    """Alternate labelling and centre update until nothing changes; the cost is that of the result."""
-    model = start
+def _joint_rounds(df: DataFrame, starts: dict, update: dict[str, Column], max_iter: int) -> dict:
+    """Alternate labelling and centre update of several fits until nothing changes; costs are those of the result.
+
+    A round of all fits that still move is one aggregate by fit and label, however many there are.
+    """
+    models, moving = dict(starts), list(starts)
     for turn in range(max_iter + 1):
+        if not moving:
+            break
+        near = [F.struct(F.lit(i).alias("fit"), models[key].nearest().alias("at")) for i, key in enumerate(moving)]
         rows = (
-            df.withColumn("_near", model.nearest())
-            .groupBy(F.col("_near.label").alias("_label"))
-            .agg(F.sum("_near.cost").alias("_cost"), *[c.alias(n) for n, c in update.items()])
+            df.withColumn("_near", F.explode(F.array(*near)))
+            .groupBy(F.col("_near.fit").alias("_fit"), F.col("_near.at.label").alias("_label"))
+            .agg(F.sum("_near.at.cost").alias("_cost"), *[c.alias(n) for n, c in update.items()])
             .collect()
-        )
-        model = replace(model, cost=float(sum(r["_cost"] for r in rows)))
-        fresh = {r["_label"]: {n: r[n] for n in update} for r in rows}
-        centres = [fresh.get(j, old) for j, old in enumerate(model.centres)]
-        if centres == model.centres or turn == max_iter:
-            break
-        model = replace(model, centres=centres)
-    return model
+        )  # one row per centre
+        still = []
+        for i, key in enumerate(moving):
+            own = [r for r in rows if r["_fit"] == i]
+            model = replace(models[key], cost=float(sum(r["_cost"] for r in own)))
+            fresh = {r["_label"]: {n: r[n] for n in update} for r in own}
+            centres = [fresh.get(j, old) for j, old in enumerate(model.centres)]
+            if centres != model.centres and turn < max_iter:
+                model = replace(model, centres=centres)
+                still.append(key)
+            models[key] = model
+        moving = still
+    return models
+
+
+def _grid(df: DataFrame, columns: list[str], ks: Iterable[int], shape: Centres, update, max_iter, seed, restarts, init) -> dict[int, Centres]:
+    """The cheapest of the restarts for every ``k``; a start with fewer centres is the beginning of a longer one."""
+    ks = list(ks)
+    rows = [_starting_rows(df, columns, max(ks), seed + i, init) for i in range(restarts)]
+    starts = {(k, i): replace(shape, centres=r[:k]) for k in ks for i, r in enumerate(rows)}
+    fits = _joint_rounds(df, starts, update, max_iter)
+    return {k: _best([fits[k, i] for i in range(restarts)]) for k in ks}
 
 
 def _best(fits: list[Centres]) -> Centres:
@@ -146,9 +162,15 @@ def kmodes(
 
     The smallest of several equally frequent values is taken.
     """
+    return kmodes_grid(df, columns, [k], max_iter, seed, restarts, init)[k]
+
+
+def kmodes_grid(
+    df: DataFrame, columns: list[str], ks: Iterable[int], max_iter: int = 100, seed: int = 50, restarts: int = 1, init: str = "hash"
+) -> dict[int, Centres]:
+    """``kmodes`` for several ``k`` at once."""
     update = {c: F.mode(c, True) for c in columns}
-    starts = [_starting_rows(df, columns, k, seed + i, init) for i in range(restarts)]
-    return _best([_rounds(df, Centres(s, categorical=columns), update, max_iter) for s in starts])
+    return _grid(df, columns, ks, Centres([], categorical=columns), update, max_iter, seed, restarts, init)
 
 
 def default_gamma(df: DataFrame, numeric: list[str]) -> float:
@@ -169,13 +191,42 @@ def kprototypes(
     init: str = "hash",
 ) -> Centres:
     """K-prototypes: squared distance of the numbers plus ``gamma`` per differing category."""
+    return kprototypes_grid(df, numeric, categorical, [k], gamma, max_iter, seed, restarts, init)[k]
+
+
+def kprototypes_grid(
+    df: DataFrame,
+    numeric: list[str],
+    categorical: list[str],
+    ks: Iterable[int],
+    gamma: float | None = None,
+    max_iter: int = 100,
+    seed: int = 50,
+    restarts: int = 1,
+    init: str = "hash",
+) -> dict[int, Centres]:
+    """``kprototypes`` for several ``k`` at once."""
     weight = default_gamma(df, numeric) if gamma is None else gamma
     update = {c: F.avg(F.col(c).cast("double")) for c in numeric}
     update.update({c: F.mode(c, True) for c in categorical})
-    starts = [_starting_rows(df, numeric + categorical, k, seed + i, init) for i in range(restarts)]
-    return _best(
-        [_rounds(df, Centres(s, numeric, categorical, weight), update, max_iter) for s in starts]
-    )
+    shape = Centres([], numeric, categorical, weight)
+    return _grid(df, numeric + categorical, ks, shape, update, max_iter, seed, restarts, init)
+
+
+def kmeans_grid(
+    df: DataFrame,
+    columns: list[str],
+    ks: Iterable[int],
+    max_iter: int = 100,
+    seed: int = 50,
+    weight: str | None = None,
+    restarts: int = 1,
+    init: str = "hash",
+) -> dict[int, Centres]:
+    """Plain K-means from given starting rows, for several ``k`` at once."""
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    update = {c: F.sum(F.col(c).cast("double") * w) / F.sum(w) for c in columns}
+    return _grid(df, columns, ks, Centres([], columns), update, max_iter, seed, restarts, init)
 
 
 def kmeans(
@@ -197,10 +248,7 @@ def kmeans(
     if init != "parallel":
         if scale:
             raise ValueError("scale the columns before a given start")
-        w = F.col(weight).cast("double") if weight else F.lit(1.0)
-        update = {c: F.sum(F.col(c).cast("double") * w) / F.sum(w) for c in columns}
-        starts = [_starting_rows(df, columns, k, seed + i, init) for i in range(restarts)]
-        model = _best([_rounds(df, Centres(s, columns), update, max_iter) for s in starts])
+        model = kmeans_grid(df, columns, [k], max_iter, seed, weight, restarts, init)[k]
         centres = [np.array([float(c[x]) for x in columns]) for c in model.centres]
         return model.label(df), model.cost, centres
     rows = assemble(df, columns, scale)
@@ -519,17 +567,27 @@ def _exact_sums(own: DataFrame, options: list, columns: list[str]) -> dict[int,
 
 def cluster_statistics(df: DataFrame, columns: list[str], label: str = "label") -> pd.DataFrame:
     """One row per cluster: rows, centroid, summed squared and plain distance to it."""
-    values = df.select(label, *[F.col(c).cast("double").alias(c) for c in columns])
-    found = values.groupBy(label).agg(*[F.avg(c).alias(f"m_{c}") for c in columns])
+    return statistics_grid({0: df}, columns, label).drop(columns="_k")
+
+
+def _stacked(labelled: dict[int, DataFrame], columns: list[str], label: str) -> DataFrame:
+    values = [F.col(c).cast("double").alias(c) for c in columns]
+    return reduce(DataFrame.unionAll, [df.select(F.lit(k).alias("_k"), label, *values) for k, df in labelled.items()])
+
+
+def statistics_grid(labelled: dict[int, DataFrame], columns: list[str], label: str = "label") -> pd.DataFrame:
+    """``cluster_statistics`` of several labellings in two aggregates, with the key as ``_k``."""
+    values = _stacked(labelled, columns, label)
+    found = values.groupBy("_k", label).agg(*[F.avg(c).alias(f"m_{c}") for c in columns])
     rows = found.limit(MAX_CLUSTERS + 1).collect()
     if len(rows) > MAX_CLUSTERS:
         raise ValueError(f"{label} has more than {MAX_CLUSTERS} values; these are no clusters")
-    means = df.sparkSession.createDataFrame(rows, found.schema)
+    means = values.sparkSession.createDataFrame(rows, found.schema)
     gap = F.expr(" + ".join(f"pow(`{c}` - `m_{c}`, 2)" for c in columns))
     return (
-        values.join(F.broadcast(means), label)
+        values.join(F.broadcast(means), ["_k", label])
         .withColumn("_gap", gap)
-        .groupBy(label, *[f"m_{c}" for c in columns])
+        .groupBy("_k", label, *[f"m_{c}" for c in columns])
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum("_gap").alias("ss"),
@@ -539,6 +597,34 @@ def cluster_statistics(df: DataFrame, columns: list[str], label: str = "label")
     )
 
 
+def silhouette_grid(labelled: dict[int, DataFrame], stats: pd.DataFrame, columns: list[str], label: str = "label") -> dict[int, float]:
+    """Mean silhouettes with squared distances of several labellings, from their statistics, in one aggregate.
+
+    The mean squared distance of a row to a cluster is that to its centroid plus the cluster's own spread, so
+    a row needs the centroids only, which come as one array per labelling.
+    """
+    values = _stacked(labelled, columns, label)
+    rows = [
+        (int(k), [(int(r[label]), float(r["n"]), float(r["ss"] / r["n"]), [float(r[f"m_{c}"]) for c in columns]) for _, r in own.iterrows()])
+        for k, own in stats.groupby("_k")
+    ]
+    kind = "_k int, _all array<struct<label:int,n:double,spread:double,m:array<double>>>"
+    held = F.broadcast(values.sparkSession.createDataFrame(rows, kind))  # one row per labelling
+
+    def away(c: Column) -> Column:
+        return reduce(lambda x, y: x + y, [F.pow(F.col(x) - c["m"][i], F.lit(2)) for i, x in enumerate(columns)]) + c["spread"]
+
+    far = F.transform("_all", lambda c: F.struct(away(c).alias("d"), c["label"].alias("label"), c["n"].alias("n")))
+    apart = values.join(held, "_k").withColumn("_far", far)
+    own = F.filter("_far", lambda c: c["label"] == F.col(label))[0]
+    other = F.array_min(F.filter("_far", lambda c: c["label"] != F.col(label)))["d"]
+    a = own["d"] * own["n"] / (own["n"] - 1)
+    width = F.when(own["n"] == 1, 0.0).when(a < other, 1 - a / other).when(a > other, other / a - 1).otherwise(0.0)
+    found = apart.withColumn("_s", width).groupBy("_k").agg(F.avg("_s").alias("s")).collect()
+    clusters = stats.groupby("_k").size()
+    return {r["_k"]: r["s"] if clusters[r["_k"]] > 1 else math.nan for r in found}
+
+
 def quality(stats: pd.DataFrame, n_columns: int) -> dict[str, float]:
     """Inertia, Calinski-Harabasz, Davies-Bouldin and BIC from the cluster statistics.
 
@@ -587,25 +673,24 @@ def silhouette(df: DataFrame, columns: list[str], label: str = "label") -> float
     return ClusteringEvaluator(featuresCol="_vector", predictionCol="_label").evaluate(rows)
 
 
-Fit = Callable[[int], tuple[DataFrame, float | None]]
-
-
 def score_grid(
-    fit: Fit, ks: list[int], columns: list[str], spark, with_silhouette: bool = False
+    fitted: dict[int, tuple[DataFrame, float | None]], columns: list[str], spark, with_silhouette: bool = False
 ) -> DataFrame:
-    """Scores of one fit per ``k`` as rows ``(k, metric, value)``.
+    """Scores of the fits for several ``k`` as rows ``(k, metric, value)``.
 
-    ``fit(k)`` returns the labelled rows and the cost (None: the inertia of the labels); each fit is
-    a distributed job.
+    ``fitted``: the labelled rows and the cost of each ``k`` (None: the inertia of the labels).  All of them
+    are scored together, in as many jobs as one.
     """
+    labelled = {k: df for k, (df, _) in fitted.items()}
+    stats = statistics_grid(labelled, columns)
+    widths = silhouette_grid(labelled, stats, columns) if with_silhouette else {}
     rows = []
-    for k in ks:
-        labelled, cost = fit(k)
-        scores = quality(cluster_statistics(labelled, columns), len(columns))
+    for k, (_, cost) in fitted.items():
+        scores = quality(stats[stats["_k"] == k], len(columns))
         if cost is not None:
             scores["elbow"] = cost
         if with_silhouette:
-            scores["silhouette"] = silhouette(labelled, columns)
+            scores["silhouette"] = widths.get(k, math.nan)
         rows += [(k, m, None if math.isnan(x) else float(x)) for m, x in scores.items()]
     return spark.createDataFrame(rows, "k int, metric string, value double")
 

@@ -73,28 +73,35 @@ def prepare(features: DataFrame, code: str, options: pr.Options) -> Prepared:
     return Prepared(encoded, columns, coded, codes, coded)
 
 
-def fitter(data: Prepared, options: pr.Options) -> Callable[[int], tuple[DataFrame, float]]:
-    """The chosen method as a function from k to labelled rows and cost."""
+Fits = dict[int, tuple[DataFrame, float]]
+
+
+def fitter(data: Prepared, options: pr.Options) -> Callable[[list[int]], Fits]:
+    """The chosen method as a function from several k to labelled rows and costs.
+
+    K-modes, K-prototypes and K-means from given starting rows move all k in the same rounds; K-medoids and
+    K-means from Spark's parallel start are fitted one k after the other.
+    """
     rows, columns = data.rows, data.columns
     numeric = [c for c in columns if c not in data.categorical]
     common = {"max_iter": options.max_iter, "seed": options.seed, "restarts": options.restarts}
     if options.init is not None:
         common["init"] = options.init
 
-    def fit(k: int) -> tuple[DataFrame, float]:
+    def labelled(models: dict[int, cl.Centres]) -> Fits:
+        return {k: (m.label(rows), m.cost) for k, m in models.items()}
+
+    def fit(ks: list[int]) -> Fits:
         if options.method in ("KMeans", "WKMeans"):
             weight = options.weight if options.method == "WKMeans" else None
-            labelled, cost, _ = cl.kmeans(
-                rows, columns, k, weight=weight, scale=options.scale, **common
-            )
-            return labelled, cost
+            if options.init not in (None, "parallel") and not options.scale:
+                return labelled(cl.kmeans_grid(rows, columns, ks, weight=weight, **common))
+            return {k: cl.kmeans(rows, columns, k, weight=weight, scale=options.scale, **common)[:2] for k in ks}
         if options.method == "KModes":
-            model = cl.kmodes(rows, columns, k, **common)
-        elif options.method == "KPrototypes":
-            model = cl.kprototypes(rows, numeric, data.categorical, k, **common)
-        else:
-            model = cl.kmedoids(rows, columns, k, **common)
-        return model.label(rows), model.cost
+            return labelled(cl.kmodes_grid(rows, columns, ks, **common))
+        if options.method == "KPrototypes":
+            return labelled(cl.kprototypes_grid(rows, numeric, data.categorical, ks, **common))
+        return labelled({k: cl.kmedoids(rows, columns, k, **common) for k in ks})
 
     return fit
 
@@ -105,16 +112,13 @@ def segment(features: DataFrame, code: str, options: pr.Options) -> Segmentation
     fit = fitter(data, options)
     scores, k = None, options.k
     if options.auto:
-        scores = cl.score_grid(
-            fit,
-            list(range(options.k_min, options.k_max + 1)),
-            data.columns,
-            features.sparkSession,
-            options.score == "silhouette",
-        )
+        fits = fit(list(range(options.k_min, options.k_max + 1)))
+        scores = cl.score_grid(fits, data.columns, features.sparkSession, options.score == "silhouette")
         chosen = {r["metric"]: r["best_k"] for r in cl.best_k(scores).collect()}
         k = chosen[options.score]
-    labelled, _ = fit(k)
+        labelled, _ = fits[k]
+    else:
+        labelled, _ = fit([k])[k]
     detail = materialize(pr.decode_labels(labelled, data.codes, data.coded))
     numeric = [
         c for c, t in detail.dtypes if t != "string" and c not in [*pr.IDS, "label", *data.coded]

@@ -94,8 +94,7 @@ SCORED = v.with_views(*SCOPE_VIEWS, SUMS, VALUE, _POINTS)
 
 def scores(spark, sf):
     rows = materialize(value_rows(spark, sf))
-
-    return cl.score_grid(lambda k: (banded(rows, k), None), KS, AXES, spark)
+    return cl.score_grid({k: (banded(rows, k), None) for k in KS}, AXES, spark)
 
 
 @query(
