@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pytest
 from conftest import rows
@@ -140,3 +142,28 @@ def test_group_size_and_empty_input(spark):
     df = spark.createDataFrame([(0,), (0,), (1,)], "label int")
     assert rows(pf.group_size(df)) == [(0, 2, 66.67), (1, 1, 33.33)]
     assert pf.group_size(df.filter(F.lit(False))).count() == 0
+
+
+def test_options_of_a_table_are_checked_like_those_of_a_run(spark):
+    values = {
+        "method": ["KMeans", "WKMeans", "Ward", None],
+        "weight": [None, "", "qty", "mid"],
+        "k": [None, 3],
+        "auto": [True, False],
+        "score": ["elbow", "bic"],
+        "restarts": [1, 0],
+        "init": [None, "hash", "random"],
+        "rfm_split": ["mode", "max"],
+    }
+    rows = list(itertools.product(*values.values()))
+    schema = "method string, weight string, k int, auto boolean, score string, restarts int, init string, rfm_split string"
+    found = spark.createDataFrame(rows, schema).withColumn("problem", pr.option_problem()).collect()
+    for r in found:
+        given = r.asDict()
+        problem = given.pop("problem")
+        try:
+            pr.Options(**given)
+            assert problem is None
+        except ValueError:
+            assert problem is not None
+    assert {r["problem"] for r in found} == {None, "method", "weight", "k", "score", "start", "rfm_split"}

@@ -112,3 +112,12 @@ def test_texts_survive_csv(spark, tmp_path):
         sinks.write_csv(df, str(tmp_path / "t"), sep=sep)
         back = files.read_csv(spark, str(tmp_path / "t"), "i int, t string", sep=sep, own=True)
         assert {r["i"]: r["t"] for r in back.collect()} == dict(enumerate(texts))
+
+
+def test_large_sample_maps_are_many_bounded_lines(spark, tmp_path):
+    data = [("a", f"name {i}") for i in range(950)] + [("b", "x\ny"), ("b", "x\ny"), ("a/b", "é"), (None, "lost")]
+    df = spark.createDataFrame(data, "category string, sample string")
+    sinks.write_sample_map(df, str(tmp_path / "m"), chunk=100)
+    back = files.read_sample_map(spark, str(tmp_path / "m"), lines=True).collect()
+    assert len(back) > 9 and max(len(r["samples"]) for r in back) < 200
+    assert sorted((r["category"], x) for r in back for x in r["samples"]) == sorted(set(data[:-1]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,6 +98,24 @@ class Options:
         return list(CATALOGUE) if "all" in chosen else chosen
 
 
+def option_problem() -> Column:
+    """The option that is wrong first, or null, for a table of planned runs with the columns of ``Options``.
+
+    The checks are those of ``Options``: ``method``, ``weight``, ``k`` (either it or ``auto``), ``score``,
+    ``start`` (``restarts`` and ``init``) and ``rfm_split``.
+    """
+    weight = F.col("weight")
+    checks = {
+        "method": ~F.col("method").isin(METHODS) | F.col("method").isNull(),
+        "weight": ((F.col("method") == "WKMeans") & (F.coalesce(weight, F.lit("")) == "")) | weight.isin(IDS),
+        "k": F.coalesce(F.col("auto"), F.lit(False)) == F.col("k").isNotNull(),
+        "score": ~F.col("score").isin(SCORES) | F.col("score").isNull(),
+        "start": (F.coalesce(F.col("restarts"), F.lit(0)) < 1) | ~F.coalesce(F.col("init"), F.lit("first")).isin("hash", "first"),
+        "rfm_split": ~F.col("rfm_split").isin(SPLITS) | F.col("rfm_split").isNull(),
+    }
+    return F.coalesce(*[F.when(wrong, F.lit(name)) for name, wrong in checks.items()])
+
+
 def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """The frame itself, or ``ValueError`` naming the missing columns."""
     missing = [c for c in columns if c not in df.columns]

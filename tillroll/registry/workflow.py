@@ -41,9 +41,47 @@ def q_config_rows(spark, sf):
 @query("sample_map", "SELECT DISTINCT p_type AS category, p_name AS sample FROM part")
 def q_sample_map(spark, sf):
     path = run_folder(spark, "samples")
-    samples = v.table(spark, sf, "part").groupBy("p_type").agg(F.collect_set("p_name").alias("names"))
-    one_json(samples, "p_type", F.col("names"), path)
-    return files.read_sample_map(spark, path).select("category", F.explode("samples").alias("sample"))
+    sinks.write_sample_map(v.table(spark, sf, "part"), path, "p_type", "p_name")
+    return files.read_sample_map(spark, path, lines=True).select("category", F.explode("samples").alias("sample"))
+
+
+# A table of planned runs, one per part; some are wrong.
+_PLANNED = """planned AS (
+  SELECT p_partkey, ['KMeans', 'KPrototypes', 'KMedoids', 'KModes', 'WKMeans', 'Ward'][CAST(p_partkey % 6 + 1 AS INTEGER)] AS method,
+         CASE WHEN p_size % 3 > 0 THEN p_size END AS k, p_size % 3 = 0 OR p_size % 10 = 0 AS auto,
+         ['elbow', 'calinski-harabasz', 'davies-bouldin', 'silhouette', 'bic'][CAST(p_size % 5 + 1 AS INTEGER)] AS score,
+         ['average', 'median', 'mode', 'max'][CAST(p_size % 4 + 1 AS INTEGER)] AS rfm_split,
+         CASE p_partkey % 4 WHEN 0 THEN 'qty' WHEN 1 THEN 'mid' END AS weight, CAST(p_size % 7 AS INTEGER) AS restarts,
+         CASE p_size % 4 WHEN 0 THEN 'hash' WHEN 1 THEN 'first' WHEN 2 THEN 'random' END AS init
+  FROM part)"""
+
+
+@query(
+    "option_checks",
+    f"""WITH {_PLANNED}
+SELECT p_partkey, CASE
+  WHEN method NOT IN ('KMeans', 'KPrototypes', 'KMedoids', 'KModes', 'WKMeans') THEN 'method'
+  WHEN method = 'WKMeans' AND weight IS NULL THEN 'weight' WHEN weight IN ('mid', 'pma_no_fin') THEN 'weight'
+  WHEN auto = (k IS NOT NULL) THEN 'k' WHEN score = 'bic' THEN 'score'
+  WHEN restarts < 1 OR init = 'random' THEN 'start' WHEN rfm_split = 'max' THEN 'rfm_split' END AS problem
+FROM planned""",
+)
+def q_option_checks(spark, sf):
+    part = v.table(spark, sf, "part")
+    pick = lambda values, at: F.get(F.array(*[F.lit(x) for x in values]), at.cast("int"))
+    size = F.col("p_size")
+    planned = part.select(
+        "p_partkey",
+        pick([*pr.METHODS, "Ward"], F.col("p_partkey") % 6).alias("method"),
+        F.when(size % 3 > 0, size).alias("k"),
+        ((size % 3 == 0) | (size % 10 == 0)).alias("auto"),
+        pick([*pr.SCORES, "bic"], size % 5).alias("score"),
+        pick([*pr.SPLITS, "max"], size % 4).alias("rfm_split"),
+        pick(["qty", "mid"], F.col("p_partkey") % 4).alias("weight"),
+        (size % 7).alias("restarts"),
+        pick(["hash", "first", "random"], size % 4).alias("init"),
+    )
+    return planned.select("p_partkey", pr.option_problem().alias("problem"))
 
 
 @query("group_folders", "SELECT vec_id, label, count(*) OVER (PARTITION BY label) AS cnt FROM embeddings")

@@ -87,10 +87,13 @@ def catalogue_groups(rows: DataFrame) -> dict[str, list[tuple[str, str]]]:
     return groups
 
 
-def read_sample_map(spark: SparkSession, path: str) -> DataFrame:
-    """JSON map of category to sample names, as rows ``(category, samples)``."""
+def read_sample_map(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """JSON map of category to sample names, as rows ``(category, samples)``.
+
+    With ``lines`` every line is an object of its own, and a category may have several.
+    """
     return (
-        spark.read.text(path, wholetext=True)
+        spark.read.text(path, wholetext=not lines)
         .select(F.from_json("value", "map<string, array<string>>").alias("m"))
         .select(F.explode("m").alias("category", "samples"))
     )

@@ -50,6 +50,19 @@ def write_records(records: DataFrame, path: str) -> None:
     write_json(records, f"{path.rstrip('/')}/content", ["tier1"])
 
 
+def write_sample_map(samples: DataFrame, path: str, by: str = "category", name: str = "sample", chunk: int = 1000) -> None:
+    """JSON objects of category to sample names, one line per category and about ``chunk`` names, in many files.
+
+    A category of any size is many bounded lines, dealt by the hash of the names; repeated names count once.
+    """
+    names = samples.select(by, name).distinct()
+    sizes = names.groupBy(F.col(by).alias("_by")).agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk)).alias("_chunks"))
+    dealt = names.join(sizes, F.col(by).eqNullSafe(F.col("_by")))
+    lines = dealt.groupBy(by, F.pmod(F.xxhash64(name), F.col("_chunks")).alias("_chunk")).agg(F.collect_list(name).alias("names"))
+    object_of = F.map_from_arrays(F.array(F.col(by)), F.array("names"))
+    lines.filter(F.col(by).isNotNull()).select(F.to_json(object_of).alias("value")).write.mode("errorifexists").text(path)
+
+
 def write_keyword_map(
     keywords: DataFrame, path: str, by: str = "category", n: int = 80
 ) -> None:
