@@ -53,6 +53,39 @@ def test_only_raw_elements_are_swallowed(mark):
     assert pages.extract(page(f"<article><p>One {mark} two.</p><p>Three.</p></article>"), None) == "One two. Three."
 
 
+@pytest.mark.parametrize(
+    "tag", ["<p data-x=it's>", '<p title=5" class=a>', "<p x='a>b'>", '<p x="it\'s">', "<p a=1 b>", '<p "x">', "<p a = 'q' b>"]
+)
+def test_attributes_are_read_as_browsers_do(tag):
+    source = page(f'<article>{tag}One said.</p><p>Two "quoted" words.</p></article>')
+    assert pages.extract(source, None) == 'One said. Two "quoted" words.'
+
+
+@pytest.mark.parametrize("name", ["market-share", "search-engines", "related-work", "notice-period", "entry-header", "post category-advertising", "no-ads", "data-sidebar-x"])
+def test_names_that_only_hold_a_mark_stay(name):
+    for attribute in ("class", "id"):
+        source = page(f'<article><div {attribute}="{name}"><p>One said.</p></div><p>Two more.</p></article>')
+        assert pages.extract(source, None) == "One said. Two more."
+
+
+@pytest.mark.parametrize("name", ["share", "share-buttons", "related-posts", "comments-area", "wp-block-comments", "cookie-notice", "social-media", "sidebar left", "x search-form"])
+def test_marks_go(name):
+    source = page(f'<article><p>One said.</p><div class="{name}"><p>Not this.</p></div><p>Two more.</p></article>')
+    assert pages.extract(source, None) == "One said. Two more."
+
+
+@pytest.mark.parametrize("tag", ["<div hidden>", '<div class="a" hidden="">', "<p hidden>", '<div style="color:red; display: none">', "<div style='display:none'>", "<section STYLE=display:none>"])
+def test_hidden_elements_go(tag):
+    end = f"</{tag[1:].split()[0].rstrip('>')}>"
+    source = page(f"<article><p>One said.</p>{tag}Not this.{end}<p>Two more.</p></article>")
+    assert pages.extract(source, None) == "One said. Two more."
+
+
+def test_names_and_values_that_hide_nothing():
+    source = page('<article><p class="x hidden-gem">One said.</p><p data-a="is hidden now">Two.</p><p title="display:none">Three.</p><h1 class="header-title">Four</h1></article>')
+    assert pages.extract(source, None) == "One said. Two. Three. Four"
+
+
 LONG = "<p>" + "Long body text. " * 30 + "</p>"
 
 

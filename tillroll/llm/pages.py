@@ -37,6 +37,23 @@ MARKS = frozenset(
 )
 #: Longer words that begin so are marks too, as in ``cookiebar`` or ``sidebarleft``.
 _MARK_STARTS = ("cookie", "advert", "sidebar", "newsletter", "breadcrumb", "sponsor", "navbar", "commentlist", "commentform")
+#: Words that say where or how something stands; a mark beside any other word names something else, such as
+#: ``market-share`` or ``related-work``.
+_NEUTRAL = frozenset(
+    "a b c d js l m td tl u wp x amp app area article author bar block blog body bottom box btn button buttons card "
+    "center col column container content cta desc divider entry facebook fb fixed form global google group heading "
+    "holder icon icons image images inline inner item items js label large layout left link links list main media "
+    "message meta middle mini mobile more my news outer page pane panel policy post posts primary reader reading right "
+    "row secondary section single site slot small stories story sub submit text title toggle top twitter unit user "
+    "view web wide wrap wrapper zone".split()
+)
+#: With these a header is the article's own.
+_OWN_HEADER = frozenset("article content entry post section story title".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_HEADER_MARKS = frozenset("header masthead banner".split())
+_QUOTED = re.compile(r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']++)""")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s/]|$)", re.I)
+_UNSEEN = re.compile(r"""(?<![\w-])style\s*+=\s*+(?:"[^"]*?|'[^']*?|[^\s>"']*?)display\s*+:\s*+none""", re.I)
 #: A class that begins so tells of something elsewhere on the page.
 _ABOUT = frozenset("has with no without hide show is".split())
 _ARTICLE = ("article", "main")
@@ -68,10 +85,10 @@ _CLOSES_P = frozenset(
 )
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/])[^>]*/>|<(?P<raw>{_RAW})(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
-    r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<more>(?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*+>""",
+    r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<more>(?:=\s*+(?:"[^"]*+"|'[^']*+')?+|[^<>=]++)*+)>|<[!?/][^>]*+>""",
     re.S | re.I,
 )
-_HINT = re.compile(r"""\b(class|id|role)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++)""", re.I)
+_HINT = re.compile(r"""(?<![\w-])(class|id|role)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++)""", re.I)
 _DIGITS = re.compile(r"[0-9]+")
 _CUT_OFF = re.compile(r"<[a-zA-Z/!]")
 _PARTS = re.compile(r"[^a-z]+")
@@ -93,18 +110,33 @@ class Page:
     chunks: list[tuple[int, str | None]] = field(default_factory=list)
 
 
-def _is_mark(word: str) -> bool:
-    """Whether a class or id names what is left out; ``has-sidebar`` or ``no-ads`` name something else."""
-    parts = _PARTS.split(word)
-    return parts[0] not in _ABOUT and any(p in MARKS or p.startswith(_MARK_STARTS) for p in parts)
+def _is_mark(word: str, tag: str = "div") -> bool:
+    """Whether a class or id names what is left out.
+
+    A mark counts only with words that say nothing else: ``has-sidebar``, ``no-ads``, ``search-engines`` or
+    ``entry-header`` are none, and neither is ``header-title`` on a heading.
+    """
+    parts = [p for p in _PARTS.split(word) if p]
+    marks = {p for p in parts if p in MARKS or p.startswith(_MARK_STARTS)}
+    if not marks or parts[0] in _ABOUT or not marks.union(_NEUTRAL).issuperset(parts):
+        return False
+    return not (marks <= _HEADER_MARKS and (tag in _HEADINGS or _OWN_HEADER.intersection(parts)))
+
+
+def _is_hidden(more: str) -> bool:
+    """Whether a start tag says that its element isn't shown."""
+    low = more.lower()
+    if "hidden" in low and _HIDDEN.search(_QUOTED.sub("", more)):
+        return True
+    return "none" in low and bool(_UNSEEN.search(more))
 
 
-def _hints(more: str) -> tuple[str, bool]:
-    """Generalised classes of a start tag, and whether a mark is among class, id and role."""
-    classes, marked = "", False
+def _hints(more: str, tag: str = "div") -> tuple[str, bool]:
+    """Generalised classes of a start tag, and whether it is hidden or a mark is among class, id and role."""
+    classes, marked = "", _is_hidden(more)
     for name, value in _HINT.findall(more):
         value = value.strip("\"'").lower()
-        marked = marked or any(_is_mark(word) for word in value.split())
+        marked = marked or any(_is_mark(word, tag) for word in value.split())
         if name.lower() == "class":
             classes = ".".join(sorted({_DIGITS.sub("", c) for c in value.split()} - {""}))
     return classes, marked
@@ -153,7 +185,7 @@ def _read(source: str | None, use_marks: bool) -> Page:
         if tag in _VOID:
             continue
         parent = stack[-1]
-        classes, marked = _hints(m["more"]) if m["more"] else ("", False)
+        classes, marked = _hints(m["more"], tag) if m["more"] else ("", False)
         marked = marked and use_marks
         inside = page.inside[parent]
         own_skip = tag in SKIPPED or (marked and (inside or tag not in _ARTICLE)) or (tag == "header" and not inside)
