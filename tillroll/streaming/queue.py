@@ -26,6 +26,30 @@ def messages(spark: SparkSession, path: str, schema: str, files_per_batch: int =
     return reader.json(path)
 
 
+def let_through(starts: list[int], ends: list[int], t: int, step: int) -> bool:
+    """Whether a time is ``step`` or more away from all times let through before; if so it is recorded.
+
+    The record is spans in ascending order.  Times less than two steps apart leave no room between them, so
+    they are one span, and a key that keeps repeating holds two numbers however often it is let through.
+    """
+    at = bisect(starts, t)
+    if (at and t - ends[at - 1] < step) or (at < len(starts) and starts[at] - t < step):
+        return False
+    before = at > 0 and t - ends[at - 1] < 2 * step
+    after = at < len(starts) and starts[at] - t < 2 * step
+    if before and after:
+        ends[at - 1 : at + 1] = [ends[at]]
+        del starts[at]
+    elif before:
+        ends[at - 1] = t
+    elif after:
+        starts[at] = t
+    else:
+        starts.insert(at, t)
+        ends.insert(at, t)
+    return True
+
+
 def dedup(
     stream: DataFrame,
     key: str = "hash_id",
@@ -35,29 +59,23 @@ def dedup(
     """Drop a message if one with its key was let through less than ``interval`` before or after it.
 
     Messages may come in any order: every key comes out at least once, however late, and again when it
-    repeats after the interval.  The state of a key is the times at which it was let through; it is kept
-    as long as the checkpoint, because a key that was forgotten could not be told from a new one.  A
-    null time counts as the epoch.
+    repeats after the interval.  The state of a key is the spans of time in which it was let through, closed
+    up where nothing more can pass; it is kept as long as the checkpoint, because a key that was forgotten
+    could not be told from a new one.  A null time counts as the epoch.
     """
     step = pd.Timedelta(interval) // pd.Timedelta(microseconds=1)
 
-    def let_through(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        passed = sorted(state.get[0]) if state.exists else []
+    def of_key(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        starts, ends = (list(x) for x in state.get) if state.exists else ([], [])
         for part in frames:
             times = part[ts].fillna(pd.Timestamp(0)).astype("datetime64[us]").astype("int64")
-            kept = []
-            for row, t in times.sort_values(kind="stable").items():
-                at = bisect(passed, t)
-                near = passed[max(0, at - 1) : at + 1]
-                if all(abs(t - x) >= step for x in near):
-                    passed.insert(at, t)
-                    kept.append(row)
+            kept = [row for row, t in times.sort_values(kind="stable").items() if let_through(starts, ends, int(t), step)]
             if kept:
                 yield part.loc[kept]
-        state.update((passed,))
+        state.update((starts, ends))
 
     return stream.groupBy(key).applyInPandasWithState(
-        let_through, stream.schema, "passed array<long>", "append", GroupStateTimeout.NoTimeout
+        of_key, stream.schema, "starts array<long>, ends array<long>", "append", GroupStateTimeout.NoTimeout
     )
 
 
