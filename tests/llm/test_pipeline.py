@@ -67,5 +67,5 @@ def test_stages_on_odd_documents(spark, frame):
 
 def test_registered(spark):
     queries = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert queries["pipeline"] is corpus_pipeline.run and {*QUERIES} <= {*queries}
