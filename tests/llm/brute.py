@@ -102,6 +102,13 @@ def size(text):
     return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
 
 
+def taken_text(text, times):
+    """The words of ``text`` that are taken, ``times`` holding how often each is."""
+    words = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", text or "")
+    copies = [[w for w, n in zip(words, times, strict=True) if n >= c] for c in range(1, max(times, default=0) + 1)]
+    return "\n".join("".join(c) for c in copies)
+
+
 def _deal(parties, seats):
     """Highest quotients; ``parties``: ``(votes, most)`` in order of preference."""
     won = [0] * len(parties)
@@ -113,8 +120,11 @@ def _deal(parties, seats):
     return won
 
 
-def mix(docs, block=32, shard_rows=4096, seed="mix-1", weights=(5, 2, 1), share=1.5, most=2):
-    """``(doc_id, size, source_size, target, taken)`` of documents ``(doc_id, source, size)``."""
+def mix(docs, block=32, shard_rows=4096, seed="mix-1", weights=(5, 2, 1), share=1.5, most=2, times_of=None):
+    """``(doc_id, size, source_size, target, taken)`` of documents ``(doc_id, source, size)``.
+
+    ``times_of`` (a dict) receives how often each word of a document is taken.
+    """
     text = lambda x: "null" if x is None else str(x)
     digest = lambda *p: hashlib.md5("|".join([seed, *map(text, p)]).encode()).hexdigest()
     names = sorted({s for _, s, _ in docs if s is not None}, key=lambda s: s.encode())
@@ -150,6 +160,9 @@ def mix(docs, block=32, shard_rows=4096, seed="mix-1", weights=(5, 2, 1), share=
             times = [((j + 1) * q + offset) // n_blocks - (j * q + offset) // n_blocks for j in range(n_blocks)]
             at = 0
             for _, d, n in sorted(shards[k], key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2])):
-                out.append((d, n, sizes[s], target[s], sum(times[w // block] for w in range(at, at + n))))
+                each = [times[w // block] for w in range(at, at + n)]
+                out.append((d, n, sizes[s], target[s], sum(each)))
+                if times_of is not None:
+                    times_of[d] = each
                 at += n
     return out

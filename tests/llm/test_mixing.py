@@ -67,3 +67,27 @@ def test_other_columns_stay(frame):
     assert set(mixed.columns) == {*table.columns, "source_size", "target"}
     assert {(r.quota, r.blocks, r.shard, r.of) for r in mixed.collect()} == {(1, 2, 3, "x")}
     assert {r.doc_id: r.taken for r in mixed.collect()} == {r[0]: r[4] for r in brute.mix([r[:3] for r in rows])}
+
+
+def test_texts_hold_what_is_taken(frame):
+    draw = random.Random(5)
+    blank = [" ", "  ", "\n", "\t ", "\x0b"]
+    docs = []
+    for i in range(60):
+        n = draw.choice([0, 1, 5, 40, 300])
+        text = draw.choice(["", " "]) + "".join(f"w{i}é{j}{draw.choice(blank)}" for j in range(n))
+        docs.append((i, draw.choice(["a", "a", "b", None]), None if n == 0 and i % 2 else text))
+    rows = frame([(d, s, brute.size(t), t, len(t or "")) for d, s, t in docs], SCHEMA + ", text string, n int")
+    rows = rows.withColumn("digest", mixing.seeded_hex(F.col("doc_id"), seed=mixing.SEED))
+    for options in ({}, {"block": 8, "shard_rows": 5}):
+        times = {}
+        brute.mix([(d, s, brute.size(t)) for d, s, t in docs], times_of=times, **options)
+        quotas = mixing.shard_quotas(rows.select("source", "digest", "size"), **options)
+        got = mixing.mix(rows, quotas, ["doc_id", "size"], text="text", length="n", **options).collect()
+        assert len(got) == len(docs)
+        text = {d: t for d, _, t in docs}
+        for r in got:
+            assert r.text == brute.taken_text(text[r.doc_id], times[r.doc_id])
+            assert brute.size(r.text) == r.taken and r.n == len(r.text)
+            if times[r.doc_id] and set(times[r.doc_id]) == {1}:
+                assert r.text == text[r.doc_id]

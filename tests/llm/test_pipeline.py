@@ -25,7 +25,10 @@ def plain(docs, filters, items):
     docs = [r for r, (n, h, _) in zip(docs, found) if not (h and 20 * h >= n)]
     cut = [(r, brute.redacted(r[1])) for r in docs]
     docs = [(r[0], t, r[2], r[3], r[4] if t == r[1] else len(t)) for r, t in cut]
-    mixed = {m[0]: m for m in brute.mix([(r[0], r[3], brute.size(r[1])) for r in docs])}
+    times = {}
+    mixed = {m[0]: m for m in brute.mix([(r[0], r[3], brute.size(r[1])) for r in docs], times_of=times)}
+    cut = [(r, brute.taken_text(r[1], times[r[0]])) for r in docs]
+    docs = [(r[0], t, r[2], r[3], r[4] if t == r[1] else len(t)) for r, t in cut]
     return sorted((*r, *mixed[r[0]][1:]) for r in docs if mixed[r[0]][4] > 0)
 
 
@@ -47,6 +50,15 @@ def test_same_as_brute_force(spark, stepped):
     assert sorted(map(tuple, corpus_pipeline.run(spark, SMALL).select(*order).collect())) == want
 
 
+def test_words_follow_the_targets(stepped):
+    held, targets = {}, {}
+    for r in stepped[-1].collect():
+        assert brute.size(r.text) == r.taken and r.n_chars == len(r.text)
+        held[r.source] = held.get(r.source, 0) + r.taken
+        targets[r.source] = r.target
+    assert all(abs(held[s] - targets[s]) <= 0.02 * targets[s] + 64 for s in held)
+
+
 def test_every_stage_but_the_last_returns_documents(stepped):
     assert all(df.columns == COLUMNS for df in stepped[:-1])
     assert {*COLUMNS, "taken"} <= {*stepped[-1].columns}

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import same
+from tillroll.llm.common import BLANK, same
 from tillroll.operators.ranking import dense_index
 from tillroll.session import materialize
 
@@ -169,6 +169,9 @@ def mix(
     block: int = BLOCK,
     shard_rows: int = SHARD_ROWS,
     seed: str = SEED,
+    text: str | None = None,
+    length: str | None = None,
+    most: int = MOST,
 ) -> DataFrame:
     """Add ``source_size``, ``target`` and ``taken`` to rows with ``source``, ``digest`` and ``size``.
 
@@ -176,6 +179,11 @@ def mix(
     taken ``floor(((k + 1) * quota + offset) / blocks) - floor((k * quota + offset) / blocks)`` times,
     which sums up to the quota and is never above ``most``.  Empty documents take nothing.  Other
     columns stay; earlier ones with the added names are replaced.
+
+    ``text`` names a column of the texts that ``size`` counts; it becomes the words that are taken.  All
+    passages taken once or more stand in their order, after a line break those taken twice, and so on up
+    to ``most`` times; white space inside a passage stays, and a text taken once as a whole is unchanged.
+    ``length`` names a column with its code points, which follows where the text changes.
     """
     own = docs.drop("source_size", "target", "taken")
     per_source = quotas.select(
@@ -204,6 +212,43 @@ def mix(
         return block * upto(k) + (at - block * k) * (upto(k + 1) - upto(k))
 
     taken = F.when(F.col("size") > 0, passed(F.col("__end")) - passed(F.col("__end") - F.col("size")))
-    return placed.withColumn("taken", F.coalesce(taken, F.lit(0)).cast("long")).drop(
+    placed = placed.withColumn("taken", F.coalesce(taken, F.lit(0)).cast("long"))
+    if text:
+        placed = _with_taken_text(placed, text, length, block, most)
+    return placed.drop(
         "__of", "__rows", "__shard", "__source", "__in_shard", "__quota", "__blocks", "__end", "__offset"
     )
+
+
+def _with_taken_text(placed: DataFrame, text: str, length: str | None, block: int, most: int) -> DataFrame:
+    """Replace ``text`` by the words that the blocks of the shard take of it."""
+    start = F.col("__end") - F.col("size")
+    quota, offset, blocks = F.col("__quota"), F.col("__offset"), F.col("__blocks")
+    upto = lambda j: F.floor((j * quota + offset) / blocks)
+    # Every word with the white space after it; the first one also with what stands before it.
+    run = rf"[{BLANK}]*+[^{BLANK}]++[{BLANK}]*+"
+    words = F.regexp_extract_all(F.col(text), F.lit(f"({run})"), F.lit(1))
+    held = F.sequence(F.floor(start / F.lit(block)), F.floor((F.col("__end") - 1) / F.lit(block)))
+    spans = F.transform(
+        held,
+        lambda k: F.struct(
+            (upto(k + 1) - upto(k)).alias("times"),
+            (F.greatest(block * k, start) - start).cast("int").alias("from"),
+            (F.least(block * (k + 1), F.col("__end")) - start).cast("int").alias("to"),
+        ),
+    )
+
+    def copy(number: int) -> Column:
+        chosen = F.filter("__spans", lambda x: x["times"] >= number)
+        passages = F.transform(chosen, lambda x: F.slice("__words", x["from"] + 1, x["to"] - x["from"]))
+        return F.when(F.size(chosen) > 0, F.array_join(F.flatten(passages), ""))
+
+    some = F.col("taken") > 0
+    cut = placed.withColumns({"__spans": F.when(some, spans), "__words": F.when(some, words)}).withColumn(
+        "__text", F.when(some, F.concat_ws("\n", *[copy(c) for c in range(1, most + 1)])).otherwise(F.lit(""))
+    )
+    if length:
+        kind = placed.schema[length].dataType
+        follows = F.when(same(F.col("__text"), F.col(text)), F.col(length)).otherwise(F.char_length("__text").cast(kind))
+        cut = cut.withColumn(length, follows)
+    return cut.withColumn(text, F.col("__text")).drop("__text", "__spans", "__words")

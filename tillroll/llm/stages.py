@@ -11,7 +11,10 @@ from tillroll.llm.registry import sized
 
 
 def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Drop the documents in no language that the labelled ones teach."""
+    """Drop the documents in no language that the labelled ones teach.
+
+    Those without a letter go, and those whose language scores below ``language.LEAST_SCORE``, 0.25.
+    """
     return language.keep_known(docs, language.fit_not_held_out(docs))
 
 
@@ -31,10 +34,15 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, folder: str) ->
 
 
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The documents that the mix takes words of, with ``size``, ``source_size``, ``target`` and ``taken``."""
+    """The documents that the mix takes words of, each with the words it takes.
+
+    ``text`` holds ``taken`` words, repeats included, so the words of a source come near its target;
+    ``n_chars`` follows where the text changes.  ``size`` is the words the document had.
+    """
     rows = sized(docs)
     quotas = mixing.shard_quotas(rows.select("source", "digest", "size"))
-    return mixing.mix(rows, quotas, ["doc_id", "size"]).filter(F.col("taken") > 0).drop("digest")
+    dealt = mixing.mix(rows, quotas, ["doc_id", "size"], text="text", length="n_chars")
+    return dealt.filter(F.col("taken") > 0).drop("digest")
 
 
 STAGES = [
