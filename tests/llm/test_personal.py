@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import brute
 from brute import SMALL, frame  # noqa: F401
@@ -81,6 +82,60 @@ def test_found_values_lead_to_new_patterns(frame):
     assert [got[i].n_card for i in (18, 19, 20, 21, 24)] == [0, 1, 1, 0, 0]
 
 
+def spans_of(frame, texts):
+    got = personal.per_document(frame(list(enumerate(texts)), "doc_id long, text string"))
+    return {r.doc_id: r.spans for r in got.collect()}
+
+
+def test_contexts_of_whole_words(frame):
+    good = [with_check_digit(f"4{i:02d}000000000000") for i in range(24)]
+    bad = good[0][:-1] + str((int(good[0][-1]) + 1) % 10)
+    tail, long = "x" * 70, "n" * 90 + "@" + "h" * 300
+    texts = [f"q{i} r{i} a{tail} {n} t{i} lot" for i, n in enumerate(good)]
+    texts += [f"w{i} phone number: +49 30 5550{i:02d} x{i} bye" for i in range(24)]
+    texts += [f"v{i} write me at joe{i}@example.org now{i} ok" for i in range(24)]
+    texts += [f"w{i} a{i}@example.org b{i}@example.org t{i} lot" for i in range(24)]
+    cases = {
+        # Words that differ only beyond 60 letters are different words.
+        f"q r a{tail} {bad} k1 lot": f"card:{6 + 70}:{6 + 70 + 16}",
+        f"q r b{tail} 4999999999999977 k2 lot": "",
+        # Two long numbers with a blank between are two, shorter groups are one.
+        "w phone number: 12345671 12345672 k3 bye": "phone:16:24",
+        "w phone number: 555 123 4567 k4 bye": "phone:16:28",
+        f"v write me at {long} k5 ok": f"email:14:{14 + len(long)}",
+        # The find before is part of the context.
+        "z a0@example.org mm@intranet k6 lot": "email:2:16,email:17:28",
+        "z here nn@intranet k7 lot": "",
+    }
+    table = frame(list(enumerate([*texts, *cases])), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in personal.per_document(table).collect()}
+    assert [got[len(texts) + i] for i in range(len(cases))] == [*cases.values()]
+
+
+def test_planted_contexts(frame):
+    """Addresses without a dot and numbers without a valid digit, in contexts that name sure ones."""
+    draw, texts, planted = random.Random(3), [], {}
+    kinds = {
+        "email": ("reach me via", lambda: f"u{draw.randrange(10**6)}@site{draw.randrange(99)}.org", lambda: f"u{draw.randrange(10**6)}@intranet"),
+        "phone": ("call us on", lambda: f"+49 30 {draw.randrange(10**6, 10**7)}", lambda: f"0{draw.randrange(10**8, 10**9)}"),
+        "card": ("charge the card", lambda: with_check_digit(f"4{draw.randrange(10**13, 10**14)}"), lambda: f"4{draw.randrange(10**14, 10**15)}"),
+    }
+    for i in range(600):
+        kind, (context, sure, hidden) = list(kinds.items())[i % 3]
+        value = hidden() if i % 10 == 0 else sure()
+        lead = f"note{i} word{draw.randrange(50)} "
+        if i % 10 == 0:
+            start = len(lead) + len(context) + 1
+            planted[i] = f"{kind}:{start}:{start + len(value)}"
+        texts.append(f"{lead}{context} {value} tail{i} end")
+    texts += [f"row{i} serial {draw.randrange(10**12, 10**15)} part{i} of {draw.randrange(10**7, 10**9)}" for i in range(300)]
+    found = personal.per_document(frame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {r.doc_id: r.spans for r in found}
+    assert sum(span in got[i].split(",") for i, span in planted.items()) >= 0.9 * len(planted)
+    base = {i: ",".join(f"{k}:{a}:{b}" for k, a, b in brute.personal(t)) for i, t in enumerate(texts)}
+    assert [i for i in range(600, 900) if got[i] != base[i]] == []
+
+
 def test_empty_table(frame):
     table = frame([], SCHEMA)
     assert personal.per_document(table).count() == 0 and personal.redact(table).count() == 0

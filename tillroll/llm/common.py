@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -62,20 +63,30 @@ def arrow_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-#: Characters kept on either side of a match.
+#: Characters kept on either side of a match, unless the caller takes others.
 _NEAR = 60
+
+
+def near_before(gap: Column) -> Column:
+    return F.right(gap, F.lit(_NEAR))
+
+
+def near_after(gap: Column) -> Column:
+    return F.left(gap, F.lit(_NEAR))
+
+
 _PIECES = "array<struct<kind:string,at:int,x:struct<gap:int,before:string,after:string,value:string>>>"
 
 
-def _pieces(text: Column, kind: str, expression: str, maybe: Column) -> Column:
+def _pieces(text: Column, kind: str, expression: str, maybe: Column, before: Callable, after: Callable) -> Column:
     """Matches of one expression with what stands before each; a last entry holds the rest of the text."""
     both = F.zip_with(
         F.split(text, expression, -1),
         F.regexp_extract_all(text, F.lit(f"({expression})"), F.lit(0)),
         lambda gap, value: F.struct(
             F.char_length(gap).alias("gap"),
-            F.right(gap, F.lit(_NEAR)).alias("before"),
-            F.left(gap, F.lit(_NEAR)).alias("after"),
+            before(gap).alias("before"),
+            after(gap).alias("after"),
             value.alias("value"),
         ),
     )
@@ -84,16 +95,23 @@ def _pieces(text: Column, kind: str, expression: str, maybe: Column) -> Column:
 
 
 def matches(
-    docs: DataFrame, id_column: str, text: str, expressions: dict[str, tuple[str, Column]], *more: str
+    docs: DataFrame,
+    id_column: str,
+    text: str,
+    expressions: dict[str, tuple[str, Column]],
+    *more: str,
+    before: Callable[[Column], Column] = near_before,
+    after: Callable[[Column], Column] = near_after,
 ) -> DataFrame:
     """All non-overlapping matches of each expression: places in code points, and what stands around.
 
     ``expressions``: kind to ``(expression, whether a text can match)``; expressions mustn't hold groups
     that capture.  Rows ``(id, text_hash, kind, at, start, end, value, before, after, *more)``, once for
     repeated rows; a text is read once, and only matches and their surroundings leave that stage.
+    ``before`` and ``after`` take those surroundings from the stretch between two matches.
     """
     own = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"), *more)
-    every = [_pieces(F.col("text"), kind, expression, maybe) for kind, (expression, maybe) in expressions.items()]
+    every = [_pieces(F.col("text"), kind, expression, maybe, before, after) for kind, (expression, maybe) in expressions.items()]
     rows = own.select("id", "text_hash", *more, F.explode(F.concat(*every)).alias("p")).select(
         "id", "text_hash", *more, "p.kind", "p.at", "p.x.*"
     )

@@ -32,8 +32,15 @@ _BASE = {
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Anything that looks like an address or a number; what the base misses can be found among these.
-_CANDIDATE = r"[^\s@]{1,64}+@[^\s@]{1,253}+|\+?[0-9](?:[\x20().-]{0,2}+[0-9])++"
+#: Anything that looks like an address or a number; what the base misses can be found among these.  Two
+#: numbers of seven digits or more with a blank between are two candidates, groups of fewer digits are one.
+_CANDIDATE = (
+    r"(?:\G|(?<![^\s@]))[^\s@]++@[^\s@]++"
+    r"|[0-9]{7,}+(?=\x20{1,2}[0-9]{7})"
+    r"|\+?[0-9](?:[\x20().-]{0,2}+[0-9])++"
+)
+#: Stands for a neighbouring find in a pattern.
+_FIND = "<>"
 _GUARDS = {
     "email": "@",
     "ip": r"[0-9]\.[0-9]++\.[0-9]",
@@ -93,15 +100,35 @@ def _shape(value: Column) -> Column:
     )
 
 
+def _words_before(gap: Column) -> Column:
+    """Up to two whole words at the end, read from the end so that a long gap is no work."""
+    return F.reverse(F.regexp_extract(F.reverse(gap), r"^\s*+(\S*+(?:\s++\S++)?)", 1))
+
+
+def _word_after(gap: Column) -> Column:
+    return F.regexp_extract(gap, r"^\s*+(\S++)", 1)
+
+
 def _finds(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """Valid base finds, and candidates that overlap none of them.
 
     ``(id, text_hash, kind, start, end, value, before, after, base)`` in code points, end exclusive;
-    ``before`` and ``after`` are up to two words and one word next to the find, lower-cased.
+    ``before`` and ``after`` are up to two words and one word next to the find, whole and lower-cased.  A
+    neighbouring find of the same expression stands there as ``<>``, whatever its value.
     """
     whole = F.col("text")
     guarded = {k: (e, whole.contains(_GUARDS[k]) if _GUARDS[k] in "@+" else whole.rlike(_GUARDS[k])) for k, e in {**_BASE, "candidate": _CANDIDATE}.items()}
-    placed = matches(docs, id_column, text, guarded).withColumn("base", F.col("kind") != "candidate")
+    placed = matches(docs, id_column, text, guarded, before=_words_before, after=_word_after)
+    # A gap of fewer than two words brings the find on its other side into the context.
+    line = Window.partitionBy("id", "text_hash", "kind").orderBy("at")
+    short = (F.col("at") > 0) & ~F.col("before").rlike(r"\S\s+\S")
+    placed = placed.withColumns(
+        {
+            "before": F.when(short, F.concat_ws(" ", F.lit(_FIND), F.nullif("before", F.lit("")))).otherwise(F.col("before")),
+            "after": F.when((F.col("after") == "") & F.lead("at").over(line).isNotNull(), _FIND).otherwise(F.col("after")),
+            "base": F.col("kind") != "candidate",
+        }
+    )
     kept = placed.withColumn("kind", F.when(F.col("base"), F.col("kind")).otherwise(_shape(F.col("value")))).filter(
         F.col("kind").isNotNull() & (~F.col("base") | _valid(F.col("kind"), F.col("value")))
     )
@@ -111,8 +138,7 @@ def _finds(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     reached = F.max(F.when(F.col("base"), F.col("end"))).over(back)
     coming = F.min(F.when(F.col("base"), F.col("start"))).over(ahead)
     clear = (F.coalesce(reached, F.lit(0)) <= F.col("start")) & (F.coalesce(coming, F.col("end")) >= F.col("end"))
-    before = F.regexp_extract(F.lower("before"), r"((?:\S+\s+)?\S+)\s*$", 1)
-    after = F.regexp_extract(F.lower("after"), r"^\s*(\S+)", 1)
+    before, after = F.lower("before"), F.lower("after")
     return (
         kept.withColumn("clear", clear)
         .filter("base or clear")
