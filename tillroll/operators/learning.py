@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml.classification import (
-    GBTClassifier,
     MultilayerPerceptronClassifier,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import Normalizer
@@ -31,13 +29,6 @@ def forest(train: DataFrame, test: DataFrame, label: str = "label", trees: int =
     return model.transform(test).drop("rawPrediction", "probability"), importance
 
 
-def boosted_trees(train: DataFrame, test: DataFrame, label: str = "label", rounds: int = 10, depth: int = 3, seed: int = 50):
-    """Predictions of boosted trees, one model per class."""
-    single = GBTClassifier(maxIter=rounds, maxDepth=depth, seed=seed)
-    model = OneVsRest(classifier=single, labelCol=label, predictionCol="predicted").fit(train)
-    return model.transform(test).drop("rawPrediction")
-
-
 def perceptron(train: DataFrame, test: DataFrame, layers: list[int], label: str = "label", max_iter: int = 50, seed: int = 50):
     """Predictions of a feed-forward network; ``layers`` are sizes from input to output."""
     model = MultilayerPerceptronClassifier(

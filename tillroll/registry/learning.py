@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillroll.functions.numbers import half_up
+from tillroll.operators import boosting as bt
 from tillroll.operators import clustering as cl
 from tillroll.operators import density as dn
 from tillroll.operators import features as ft
@@ -637,10 +638,100 @@ def q_tree_importance(spark, sf):
     return ln.forest(train, test, trees=10)[1]
 
 
-@query("boosted_trees")
+BOOST = {"rounds": 2, "depth": 2, "bins": 16}
+
+
+def boosted_sql(rounds: int, depth: int, bins: int) -> str:
+    """Views of the boosted trees on three classes, rounds and levels unrolled."""
+    gain = "pow(gl / {0}, 2) / (hl / {0} + 1) + pow(ga / {0} - gl / {0}, 2) / (ha / {0} - hl / {0} + 1) - pow(ga / {0}, 2) / (ha / {0} + 1)"
+    views = [
+        """vectors AS (
+  SELECT vec_id, label % 3 AS label, embedding,
+         CAST(CAST('0x' || substring(md5(CAST(vec_id AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 < 0.6 AS is_test
+  FROM embeddings)""",
+        """cells AS (
+  SELECT vec_id, label, is_test, unnest(range(len(embedding))) AS feature,
+         CAST(unnest(embedding) AS DOUBLE) AS x FROM vectors)""",
+        "bounds AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM cells WHERE NOT is_test GROUP BY feature)",
+        f"""binned AS MATERIALIZED (
+  SELECT vec_id, label, is_test, feature,
+         CASE WHEN hi > lo THEN greatest(0, least({bins - 1}, floor((x - lo) / (hi - lo) * {bins}))) ELSE 0 END::INT AS bin
+  FROM cells JOIN bounds USING (feature))""",
+        """margin_0 AS (
+  SELECT vec_id, label, is_test, c, 0.0::DOUBLE AS m FROM vectors, (SELECT unnest(range(3))::INT AS c))""",
+    ]
+    for r in range(rounds):
+        views.append(
+            f"""grad_{r} AS MATERIALIZED (
+  SELECT vec_id, c, is_test, floor((p - CASE WHEN c = label THEN 1 ELSE 0 END) * 1048576 + 0.5)::BIGINT AS g,
+         floor(p * (1 - p) * 1048576 + 0.5)::BIGINT AS h
+  FROM (SELECT *, exp(m - mx) / sum(exp(m - mx)) OVER (PARTITION BY vec_id) AS p
+        FROM (SELECT *, max(m) OVER (PARTITION BY vec_id) AS mx FROM margin_{r})))"""
+        )
+        views.append(f"node_{r}_0 AS (SELECT vec_id, c, 1 AS node FROM grad_{r})")
+        for level in range(depth):
+            at = f"{r}_{level}"
+            views += [
+                f"""hist_{at} AS (
+  SELECT c, node, feature, bin, sum(g)::BIGINT AS g, sum(h)::BIGINT AS h
+  FROM node_{at} JOIN grad_{r} USING (vec_id, c) JOIN binned b USING (vec_id)
+  WHERE NOT b.is_test AND node >= {1 << level} GROUP BY ALL)""",
+                f"""cum_{at} AS (
+  SELECT c, node, feature, bin, sum(g) OVER up AS gl, sum(h) OVER up AS hl, sum(g) OVER al AS ga, sum(h) OVER al AS ha
+  FROM hist_{at} WINDOW al AS (PARTITION BY c, node, feature),
+       up AS (PARTITION BY c, node, feature ORDER BY bin ROWS UNBOUNDED PRECEDING))""",
+                f"""best_{at} AS MATERIALIZED (
+  SELECT c, node, feature, bin AS cut, gain FROM (
+    SELECT *, row_number() OVER (PARTITION BY c, node ORDER BY gain DESC, feature, bin) AS place FROM (
+      SELECT *, {gain.format("1048576.0::DOUBLE")} AS gain FROM cum_{at} WHERE hl > 0 AND hl < ha))
+  WHERE place = 1 AND gain > 1e-9)""",
+                f"""node_{r}_{level + 1} AS MATERIALIZED (
+  SELECT n.vec_id, n.c, CASE WHEN s.node IS NULL THEN n.node ELSE 2 * n.node + (b.bin > s.cut)::INT END AS node
+  FROM node_{at} n LEFT JOIN best_{at} s ON n.c = s.c AND n.node = s.node
+  LEFT JOIN binned b ON b.vec_id = n.vec_id AND b.feature = s.feature)""",
+            ]
+        views.append(
+            f"""leaf_{r} AS (
+  SELECT c, node, -0.3 * (sum(g) / 1048576.0::DOUBLE) / (sum(h) / 1048576.0::DOUBLE + 1) AS worth
+  FROM node_{r}_{depth} JOIN grad_{r} USING (vec_id, c) WHERE NOT is_test GROUP BY c, node)"""
+        )
+        views.append(
+            f"""margin_{r + 1} AS MATERIALIZED (
+  SELECT vec_id, label, is_test, c, m + worth AS m
+  FROM margin_{r} JOIN node_{r}_{depth} USING (vec_id, c) JOIN leaf_{r} USING (c, node))"""
+        )
+    return v.with_views(*views)
+
+
+def boosted_model(spark, sf):
+    rows = v.table(spark, sf, "embeddings").withColumn("label", F.col("label") % 3)
+    rows = tx.hash_split(rows, "vec_id", 0.6)
+    return bt.fit(rows.filter(~F.col("is_test")), "embedding", **BOOST), rows.filter("is_test")
+
+
+@query(
+    "boosted_trees",
+    boosted_sql(**BOOST)
+    + f"""SELECT vec_id, CAST(any_value(label) AS INTEGER) AS label, CAST(arg_max(c, (m, -c)) AS INTEGER) AS predicted
+FROM margin_{BOOST["rounds"]} WHERE is_test GROUP BY vec_id""",
+)
 def q_boosted_trees(spark, sf):
-    train, test = split_vectors(spark, sf, 3)
-    return ln.boosted_trees(train, test, rounds=3).select("vec_id", "label", "predicted")
+    model, test = boosted_model(spark, sf)
+    return model.predict(test, "embedding").select("vec_id", "label", "predicted")
+
+
+@query(
+    "boosted_importance",
+    boosted_sql(**BOOST)
+    + "SELECT CAST(feature AS INTEGER) AS feature, round(sum(gain), 6) AS gain FROM ("
+    + " UNION ALL ".join(
+        f"SELECT feature, gain FROM best_{r}_{level}" for r in range(BOOST["rounds"]) for level in range(BOOST["depth"])
+    )
+    + ") GROUP BY feature",
+)
+def q_boosted_importance(spark, sf):
+    model, _ = boosted_model(spark, sf)
+    return model.importance(spark).select("feature", F.round("gain", 6).alias("gain"))
 
 
 @query("mlp_classifier")
