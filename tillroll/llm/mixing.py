@@ -244,11 +244,19 @@ def _with_taken_text(placed: DataFrame, text: str, length: str | None, block: in
         return F.when(F.size(chosen) > 0, F.array_join(F.flatten(passages), ""))
 
     some = F.col("taken") > 0
-    cut = placed.withColumns({"__spans": F.when(some, spans), "__words": F.when(some, words)}).withColumn(
-        "__text", F.when(some, F.concat_ws("\n", *[copy(c) for c in range(1, most + 1)])).otherwise(F.lit(""))
+    times = F.transform("__spans", lambda x: x["times"])
+    # A text whose blocks are all taken equally often is not cut into words.
+    even = F.array_min(times) == F.array_max(times)
+    repeated = F.array_join(F.array_repeat(F.col(text), F.array_max(times).cast("int")), "\n")
+    pieced = F.concat_ws("\n", *[copy(c) for c in range(1, most + 1)])
+    cut = (
+        placed.withColumn("__spans", F.when(some, spans))
+        .withColumn("__even", even)
+        .withColumn("__words", F.when(some & ~F.col("__even"), words))
+        .withColumn("__text", F.when(~some, F.lit("")).when(F.col("__even"), repeated).otherwise(pieced))
     )
     if length:
         kind = placed.schema[length].dataType
         follows = F.when(same(F.col("__text"), F.col(text)), F.col(length)).otherwise(F.char_length("__text").cast(kind))
         cut = cut.withColumn(length, follows)
-    return cut.withColumn(text, F.col("__text")).drop("__text", "__spans", "__words")
+    return cut.withColumn(text, F.col("__text")).drop("__text", "__spans", "__words", "__even")
