@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tillroll.functions import html as h
 from tillroll.operators import pages as pg
 from tillroll.plans.crawl import store_products
+from tillroll.registry import crawl, views
 from tillroll.streaming import queue as qu
 
 
@@ -143,3 +144,20 @@ def test_stream_routing_and_fan_out(spark, tmp_path):
     routed = qu.route(qu.messages(spark, source, schema))
     qu.drain(qu.fan_out(routed, "links", "child"), out, mark)
     assert sorted((r["child"], r["status_code"]) for r in spark.read.parquet(out).collect()) == [("x", 429), ("y", 429)]
+
+
+def test_product_pages_are_dealt_out_by_their_number(spark, tmp_path, monkeypatch):
+    rows = [(i, f"name {i}", "b", "t", i, 9.0) for i in range(90)]
+    part = spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(views, "is_local", lambda _: False)
+    monkeypatch.setattr(views, "DEALT_ROWS", 10, raising=False)
+    dealt = crawl.pages_a(spark, str(tmp_path))
+    assert dealt.rdd.getNumPartitions() == 9
+    assert sorted(r["page_id"] for r in dealt.collect()) == list(range(90))
+
+
+def test_review_rows_parse_a_page_once(spark):
+    records = pg.product_records_a(page(spark, '<div class="reviewCard"></div>'), day())
+    plan = pg.review_rows(records)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

@@ -425,9 +425,12 @@ def product_records_b(pages: DataFrame, data_date: Column) -> DataFrame:
 
 def review_rows(records: DataFrame) -> DataFrame:
     """One row per review card."""
-    return records.select(
-        "hash_id", F.posexplode("goods_commend_review_card_list").alias("card_no", "card")
-    ).select("hash_id", "card_no", "card.*")
+    # Exploding the bare column adds a filter on its size, which would be moved below the records and parse
+    # every page a second time, before the pages are dealt out.
+    cards = F.transform("goods_commend_review_card_list", lambda c: c)
+    return records.select("hash_id", F.posexplode(cards).alias("card_no", "card")).select(
+        "hash_id", "card_no", "card.*"
+    )
 
 
 def cards_of_products(records: DataFrame) -> DataFrame:

@@ -363,7 +363,7 @@ def pages_a(spark, sf):
         F.lit(' &amp; more</i></div><div class="reviewCard"><i class="RatingStarGroup" score="3"></i><i class="CommentContainer">ok</i></div></body></html>'),
     ]
     url = F.concat(F.lit(f"{HOST}/goods/"), c("p_partkey").cast("string"))
-    return v.table(spark, sf, "part").select(
+    return v.dealt(spark, sf, "part").select(
         c("p_partkey").alias("page_id"), url.alias("url"), F.concat(*pieces).alias("html")
     )
 
@@ -434,7 +434,7 @@ def pages_b(spark, sf):
         F.lit(" </span></li><li>評價:<span>5.0/5.0</span></li></ul></div></body></html>"),
     ]
     url = F.concat(F.lit(f"{HOST}/item/"), c("s_suppkey").cast("string"))
-    return v.table(spark, sf, "supplier").select(
+    return v.dealt(spark, sf, "supplier").select(
         c("s_suppkey").alias("page_id"), url.alias("url"), F.concat(*pieces).alias("html")
     )
 

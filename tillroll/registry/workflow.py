@@ -283,7 +283,7 @@ def q_page_bar_fanout(spark, sf):
     """List pages with a page bar such as 1 ... /12; every fourth has none."""
     bar = F.concat(F.lit('<div class="pageArea"><span>1</span><span>/'), F.col("p_size").cast("string"), F.lit("</span></div>"))
     body = F.concat(F.lit("<html><body><span>/99</span>"), F.when(F.col("p_size") % 4 == 0, "").otherwise(bar), F.lit("</body></html>"))
-    lists = v.table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), body.alias("html"))
+    lists = v.dealt(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), body.alias("html"))
     read = pg.parsed(lists, {"bar": (".pageArea", "span")}).select("page_id", pg.page_count(F.col("el.bar")).alias("n"))
     return pg.fan_out_pages(read, F.col("n")).select("page_id", "page_no")
 
