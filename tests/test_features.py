@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillroll.functions import places
 from tillroll.operators import features as ft
 from tillroll.plans.member_features import member_features
+from tillroll.registry import views
 from tillroll.sources.tables import SCHEMAS
 
 D = dt.date
@@ -152,3 +153,10 @@ def test_no_cartesian_product_in_the_feature_plan(spark):
     plan = entry.entry(spark)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "PushedFilters" in plan or "FileScan" in plan
+
+
+def test_tasks_of_lines_follow_their_number(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    monkeypatch.setattr(views, "LINE_ROWS", 500, raising=False)
+    pos = views.pos_lines(spark, folder)
+    assert pos.rdd.getNumPartitions() == -(-spark.read.parquet(f"{folder}/lineitem.parquet").count() // 500)
