@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -160,3 +161,34 @@ def test_tasks_of_lines_follow_their_number(spark, monkeypatch):
     monkeypatch.setattr(views, "LINE_ROWS", 500, raising=False)
     pos = views.pos_lines(spark, folder)
     assert pos.rdd.getNumPartitions() == -(-spark.read.parquet(f"{folder}/lineitem.parquet").count() // 500)
+
+
+def _odd_lines(spark):
+    """Receipts over several dates and stores, a missing receipt number and a very active member."""
+    data = [line(mid=f"m{i % 7:02}", pma=str(10 + i % 3), rec=f"r{i % 11}", day=START + dt.timedelta(days=i % 5), store=str(i % 6)) for i in range(90)]
+    data += [line(mid="m01", pma="10", rec=f"s{i}", store="999") for i in range(200)] + [line(rec=None)]
+    return lines(spark, data).repartition(13, "rec_no")  # as pos_lines deals them
+
+
+def test_fixed_tasks_give_the_same_features_and_hold_for_every_exchange(spark, monkeypatch):
+    members = spark.createDataFrame([(f"m{i:02}", D(1990, 1, 1 + i), "台北", "1") for i in range(7)], SCHEMAS["member"])
+    weekend = spark.createDataFrame([(D(2023, 7, 22),)], "start_date date")
+    made = lambda tasks: member_features(members, _odd_lines(spark), weekend, stores(spark), START, 7, D(2023, 8, 1), tasks=tasks)
+    plain = rows(made(None))
+    assert len(plain) > 15 and rows(made(13)) == plain
+    monkeypatch.setattr("tillroll.plans.member_features.small", lambda df: df)  # stores too many for a broadcast
+    dealt = made(13)
+    assert rows(dealt) == plain
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    keyed = re.findall(r"Exchange hashpartitioning\((?:mid|store_no)[^)]*, (\d+)\), REPARTITION_BY_NUM", plan)
+    assert len(keyed) >= 8 and set(keyed) == {"13"}
+    merged = re.findall(r"Exchange hashpartitioning\(([^)]*), 4\), ENSURE_REQUIREMENTS", plan)
+    assert not [k for k in merged if k.startswith("mid")], merged
+
+
+def test_lines_meet_their_parts_in_tasks_fixed_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(views, "LINE_ROWS", 500, raising=False)
+    folder = "/root/testdata/sf0.001"
+    n = -(-spark.read.parquet(f"{folder}/lineitem.parquet").count() // 500)
+    plan = views.pos_lines(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"hashpartitioning\(l_partkey[^)]*, {n}\), REPARTITION_BY_NUM", plan)
