@@ -10,6 +10,7 @@ from tillroll.operators import clustering as cl
 from tillroll.operators import names as nm
 from tillroll.operators.prepare import Options
 from tillroll.plans.segmentation import segment
+from tillroll.session import materialize
 
 
 @pytest.fixture(scope="module")
@@ -275,3 +276,17 @@ def test_silhouettes_of_several_labellings(spark, blobs):
     assert math.isnan(found[1])
     for k in (2, 4):
         assert found[k] == pytest.approx(cl.silhouette(labelled[k], ["x", "y"]))
+
+
+def test_products_are_dealt_by_their_number_and_cut_into_grams_once(spark, monkeypatch):
+    from tillroll.registry import text as rt
+    from tillroll.registry import views
+
+    folder = "/root/testdata/sf0.001"
+    monkeypatch.setattr(views, "DEALT_ROWS", 20, raising=False)
+    rows = rt.products(spark, folder)
+    assert rows.rdd.getNumPartitions() == -(-spark.read.parquet(f"{folder}/part.parquet").count() // 20)
+    written = []
+    monkeypatch.setattr(nm, "materialize", lambda df: written.append(df.columns) or materialize(df))
+    nm.train_classifier(rows, "item_name", "category", max_iter=2)
+    assert written == [["item_name", "category", "_grams"]]

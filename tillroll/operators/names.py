@@ -232,10 +232,12 @@ def train_classifier(
 ) -> PipelineModel:
     """Linear classifier over the mean of the gram vectors of a name.
 
-    All grams have a vector; ``vocabulary`` keeps only the most frequent ones on request.
+    All grams have a vector; ``vocabulary`` keeps only the most frequent ones on request.  Grams are made
+    once and written, as the fits read them several times.
     """
+    rows = materialize(with_grams(df.select(name, label), name))
     if vocabulary is None:
-        grams = with_grams(df, name).select(F.explode("_grams").alias("g"))
+        grams = rows.select(F.explode("_grams").alias("g"))
         vocabulary = max(1, grams.agg(F.count_distinct("g")).first()[0])
     stages = [
         StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc"),
@@ -245,7 +247,7 @@ def train_classifier(
             featuresCol="_mean", labelCol="_label", maxIter=max_iter, family="multinomial"
         ),
     ]
-    return Pipeline(stages=stages).fit(with_grams(df, name))
+    return Pipeline(stages=stages).fit(rows)
 
 
 def with_grams(df: DataFrame, name: str) -> DataFrame:
