@@ -82,3 +82,27 @@ def test_a_narrow_spread_finds_most_and_looks_at_less(spark):
     assert len(pairs(near) & truth) >= 0.9 * len(truth)
     total = lambda df: sum(r.candidates for r in df.collect())
     assert total(some) < 0.8 * total(every)
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_pairs_beyond_the_limit_get_no_exact_cost(monkeypatch, metric):
+    """Noise that no bound separates: few pairs are ranked, and the neighbours are those of all pairs."""
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(3000, 16)).astype("float32").astype("float64")
+    x[7], x[8], x[9] = 0, np.nan, x[10]
+    q, ids, starts = x[:200], np.arange(3000), np.arange(0, 3001, 300)
+    every = np.ones((200, 10), bool)
+    block = vi._Block(starts, ids, x, metric)
+    plain = block.search(ids[:200], q, every, 10, True)
+    cost = plain[2].reshape(-1, 10) if len(plain[2]) == 2000 else None
+    limit = np.full(200, np.inf)
+    rows, last = np.unique(plain[0], return_index=True)
+    limit[rows] = (np.maximum.reduceat(plain[2], last) * (2 if metric == "cosine" else 1)) + (2 if metric == "cosine" else 0) + 4e-4
+    limit[3] *= 1.5
+    assert cost is None  # the query that is no number has no neighbours
+    ranked = []
+    exact = vi._pair_cost
+    monkeypatch.setattr(vi, "_pair_cost", lambda a, b, m: ranked.append(len(a)) or exact(a, b, m))
+    got = block.search(ids[:200], q, every, 10, True, limit)
+    assert all((a == b).all() for a, b in zip(got[:2], plain[:2])) and np.abs(got[2] - plain[2]).max() <= 1e-4
+    assert 0 < sum(ranked) < 0.05 * 200 * 3000

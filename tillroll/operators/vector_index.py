@@ -50,6 +50,10 @@ FIRST_CELLS = 2
 #: Scores are rounded before ranking, so a bound must leave that much room.
 _ROOM = 2 * 10.0**-DIGITS
 _STEP = 1_000_000
+#: Share of a cell's pairs within their limits above which all of them are ranked.
+_MANY = 0.05
+#: Numbers up to here are compared with the limits in single precision, with room for its errors.
+_SINGLE, _ERROR = 1e15, 1e-5
 
 
 def _array(column: pa.Array) -> np.ndarray:
@@ -194,6 +198,90 @@ def _cell_top(q_ids, q, r_ids, r, k, metric, skip_same) -> tuple[np.ndarray, np.
     return row, r_ids[best[row, col]], found[row, col]
 
 
+def _pair_cost(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
+    """Costs of pairs, row by row."""
+    if metric == "cosine":
+        return np.round(-np.einsum("ij,ij->i", _unit(q), _unit(r)), DIGITS)
+    d = (q * q).sum(1) + (r * r).sum(1) - 2.0 * np.einsum("ij,ij->i", q, r)
+    return np.round(np.maximum(d, 0.0), DIGITS)
+
+
+def _k_best(row, ref, cost, k) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best references of every row, in order."""
+    best = np.lexsort((ref, cost, row))
+    row, ref, cost = row[best], ref[best], cost[best]
+    kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[kept], ref[kept], cost[kept]
+
+
+class _Block:
+    """References of a block, cell by cell, and for a quick look their products with a query in single precision."""
+
+    def __init__(self, starts: np.ndarray, r_ids: np.ndarray, r: np.ndarray, metric: str):
+        self.starts, self.r_ids, self.r, self.metric = starts, r_ids, r, metric
+        placed = _placed(r, metric)
+        self.single = self._in_single(placed)
+        if self.single:
+            norm = (placed * placed).sum(1)
+            self.reach = float(np.sqrt(np.nanmax(norm, initial=0.0)))
+            self.lean = np.hstack([placed, -0.5 * norm[:, None]]).astype(np.float32)
+
+    @staticmethod
+    def _in_single(x: np.ndarray) -> bool:
+        return bool(np.nanmax(np.abs(x), initial=0.0) < _SINGLE)
+
+    def search(self, q_ids, q, visit, k, skip_same, limit=None):
+        """Row of the query, id and cost of the k best references in the visited cells, none beyond the limits.
+
+        A pair within its limit has a product of at least ``least``; only such pairs get their exact cost.  A
+        query's limit shrinks to its k-th best so far.
+        """
+        placed = _placed(q, self.metric)
+        quick = limit is not None and self.single and self._in_single(placed)
+        if quick:
+            norm, limit = (placed * placed).sum(1), limit.copy()
+            room = _ERROR * (np.sqrt(norm) * self.reach + self.reach**2 + norm)
+            least = lambda: ((norm - limit) / 2 - room - _ERROR * np.minimum(limit, 1e30)).astype(np.float32)[:, None]
+            lean = np.hstack([placed, np.ones((len(q), 1))]).astype(np.float32)
+            bar = least()
+        found, n, full = [], 0, 8 * k * len(q)
+        for cell in np.flatnonzero(visit.any(0) & (self.starts[1:] > self.starts[:-1])):
+            here, of = np.flatnonzero(visit[:, cell]), slice(self.starts[cell], self.starts[cell + 1])
+            r_ids, r = self.r_ids[of], self.r[of]
+            step = max(1, _STEP // len(r_ids))
+            for at in range(0, len(here), step):
+                some = here[at : at + step]
+                near = None
+                if quick:
+                    hit = lean[some] @ self.lean[of].T >= bar[some]
+                    near = np.flatnonzero(hit) if np.count_nonzero(hit) <= _MANY * hit.size else None
+                if near is None:
+                    row, ref, cost = _cell_top(q_ids[some], q[some], r_ids, r, k, self.metric, skip_same)
+                    row = some[row]
+                else:
+                    row, col = np.divmod(near, len(r_ids))
+                    row, ref = some[row], r_ids[col]
+                    other = q_ids[row] != ref if skip_same else np.ones(len(row), bool)
+                    row, ref, col = row[other], ref[other], col[other]
+                    cost = _pair_cost(q[row], r[col], self.metric)
+                    fine = np.isfinite(cost)
+                    row, ref, cost = row[fine], ref[fine], cost[fine]
+                if len(row):
+                    found.append((row, ref, cost))
+                    n += len(row)
+                if n > full:
+                    found = [_k_best(*(np.concatenate(c) for c in zip(*found)), k)]
+                    n = len(found[0][0])
+                    full = n + 8 * k * len(q)
+                    if quick:
+                        kth = np.flatnonzero(np.bincount(found[0][0], minlength=len(q)) == k)
+                        worst = found[0][2][np.searchsorted(found[0][0], kth, "right") - 1]
+                        worst = 2.0 + 2.0 * worst if self.metric == "cosine" else worst
+                        limit[kth] = np.minimum(limit[kth], worst + 2 * _ROOM)
+                        bar = least()
+        return _k_best(*(np.concatenate(c) for c in zip(*found)), k) if found else None
+
+
 def _search_block(index: VectorIndex, queries: DataFrame, block: int, k: int, skip_same: bool, need: int, probes: int, spread: float | None):
     """The k best references of one block for every query that visits one of its cells."""
     spark, metric, cells = queries.sparkSession, index.metric, index.cells()
@@ -205,28 +293,21 @@ def _search_block(index: VectorIndex, queries: DataFrame, block: int, k: int, sk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell_of, r_ids, r = held.value
-        starts = np.searchsorted(cell_of, np.arange(len(cells.count) + 1))
+        block = _Block(np.searchsorted(cell_of, np.arange(len(cells.count) + 1)), r_ids, r, metric)
         for b in batches:
             for at in range(0, b.num_rows, step := max(1, _STEP // len(cells.count))):
                 part = b.slice(at, step)
                 q_ids, q = part.column(0).to_numpy(), _array(part.column(1))
                 d, visit = _near(_placed(q, metric), cells, need, probes)
+                limit = None
                 if spread is not None:
-                    visit = ~visit & _beyond(d, part.column(2).to_numpy(zero_copy_only=False), cells, spread)
-                found = []
-                for cell in np.flatnonzero(visit.any(0) & (starts[1:] > starts[:-1])):
-                    here, of = np.flatnonzero(visit[:, cell]), slice(starts[cell], starts[cell + 1])
-                    row, ref, cost = _cell_top(q_ids[here], q[here], r_ids[of], r[of], k, metric, skip_same)
-                    found.append((here[row], ref, cost))
-                if found:
-                    row, ref, cost = (np.concatenate(c) for c in zip(*found))
-                    best = np.lexsort((ref, cost, row))
-                    row, ref, cost = row[best], ref[best], cost[best]
-                    kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+                    limit = part.column(2).to_numpy(zero_copy_only=False)
+                    visit = ~visit & _beyond(d, limit, cells, spread)
+                best = block.search(q_ids, q, visit, k, skip_same, limit)
+                if best:
+                    row, ref, cost = best
                     score = -cost if metric == "cosine" else cost
-                    yield pa.RecordBatch.from_pydict(
-                        {"query_id": q_ids[row[kept]], "ref_id": ref[kept], "score": score[kept]}
-                    )
+                    yield pa.RecordBatch.from_pydict({"query_id": q_ids[row], "ref_id": ref, "score": score})
 
     return queries.mapInArrow(run, _PAIR_SCHEMA)
 

@@ -21,7 +21,7 @@ THRESHOLD = 1.9
 
 
 def vectors(spark, sf):
-    return v.table(spark, sf, "embeddings").select(
+    return v.dealt(spark, sf, "embeddings").select(
         F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"), "label"
     )
 
