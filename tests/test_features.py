@@ -192,3 +192,20 @@ def test_lines_meet_their_parts_in_tasks_fixed_by_their_number(spark, monkeypatc
     n = -(-spark.read.parquet(f"{folder}/lineitem.parquet").count() // 500)
     plan = views.pos_lines(spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert re.search(rf"hashpartitioning\(l_partkey[^)]*, {n}\), REPARTITION_BY_NUM", plan)
+
+
+def test_lines_of_a_very_frequent_part_pass_its_task_unsorted(spark, tmp_path):
+    lines_of = [(o, 1 if o % 4 else o % 7, 5 + o % 3, 2.0, 10.0) for o in range(40)] + [(3, None, 5, 1.0, 1.0)]
+    given = {
+        "lineitem": (lines_of, "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double"),
+        "orders": ([(o, o % 5, D(1996, 1, 1), "F") for o in range(40)], "o_orderkey long, o_custkey long, o_orderdate date, o_orderstatus string"),
+        "part": ([(1, "A"), (1, "B"), (2, "C"), (None, "D")], "p_partkey long, p_type string"),  # one number twice
+    }
+    for name, (data, schema) in given.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    pos = views.pos_lines(spark, str(tmp_path))
+    types = {1: ["A", "B"], 2: ["C"]}
+    want = sorted((x[0], t) for x in lines_of for t in types.get(x[1], []))
+    assert sorted((r["rec_no"], r["pma_no_fin"]) for r in pos.collect()) == want
+    plan = views.pos_lines(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [l_partkey" in plan and "Sort [l_partkey" not in plan
